@@ -68,11 +68,9 @@ def quadrant(valence: Column, arousal: Column) -> Column:
     )
 
 
-def dummies(value: Column, prefix: str, categories: tuple) -> list[Column]:
-    """0/1 columns for every listed category but the lowest."""
-    return [
-        F.coalesce((value == c).cast("int"), F.lit(0)).alias(f"{prefix}_{c}") for c in sorted(categories)[1:]
-    ]
+def dummies(value: str, prefix: str, categories: tuple) -> dict[str, str]:
+    """0/1 columns, as SQL text, for every listed category but the lowest."""
+    return {f"{prefix}_{c}": f"coalesce(CAST({value} = {c} AS INT), 0)" for c in sorted(categories)[1:]}
 
 
 def three_bands(value: Column, low: Column, high: Column) -> Column:
@@ -88,16 +86,6 @@ def three_bands(value: Column, low: Column, high: Column) -> Column:
     )
 
 
-def ratio(top: Column, bottom: Column) -> Column:
-    """Division that gives null instead of an ANSI error for a zero divisor."""
-    return top / F.nullif(bottom.cast("double"), F.lit(0.0))
-
-
-def total_or_zero(present: Column, value: Column) -> Column:
-    """Sum that is 0 when all present values are missing and null when nothing is present."""
-    return F.when(F.sum(present.cast("bigint")) > 0, F.coalesce(F.sum(value), F.lit(0.0)))
-
-
 def safe_corr(x: Column, y: Column) -> Column:
     """Pearson correlation over rows where both sides are present; null for a constant side."""
     both = x.isNotNull() & y.isNotNull()
@@ -119,14 +107,3 @@ def sample_skew(x: Column) -> Column:
 def hash_fraction(text: Column) -> Column:
     """Stable number in [0, 1) from the first 8 hex digits of the md5 of a text."""
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)
-
-
-def interpolated(x: Column, pos: Column, before: Column, after: Column) -> Column:
-    """Value on the line between two (pos, value) neighbours; flat where one side is absent."""
-    slope = (after["value"] - before["value"]) * (pos - before["pos"]) / (after["pos"] - before["pos"])
-    return F.coalesce(
-        x,
-        F.when(before.isNull(), after["value"]).when(after.isNull(), before["value"]).otherwise(
-            before["value"] + slope
-        ),
-    )

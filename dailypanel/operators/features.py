@@ -5,11 +5,12 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dailypanel.catalog import TODS, Catalog
 from dailypanel.functions import expressions as E
+from dailypanel.functions.wide import SO_FAR, order_of, over, with_exprs
 
 MONTHS = tuple(range(1, 13))
 WEEKDAYS = tuple(range(7))
@@ -17,18 +18,14 @@ SPAN = 7
 CLASS_WIDTH = 0.5
 
 
-def ordered(grain: str = "daily"):
-    keys = ["date"] if grain == "daily" else ["date", "tod"]
-    return Window.partitionBy("entity").orderBy(*keys)
-
-
 def add_quadrant(panel: DataFrame, catalog: Catalog, grain: str = "daily") -> DataFrame:
     """Quadrant of mean valence and arousal as 0/1 columns, the lowest code left out."""
     code = E.quadrant(
         F.col(catalog.column(catalog.valence, "mean", grain)),
         F.col(catalog.column(catalog.arousal, "mean", grain)),
     )
-    return panel.select("*", *E.dummies(code, f"quadrant_{grain}", E.QUADRANTS))
+    coded = panel.withColumn("_quadrant", code)
+    return with_exprs(coded, E.dummies("_quadrant", f"quadrant_{grain}", E.QUADRANTS)).drop("_quadrant")
 
 
 def add_sleep(panel: DataFrame) -> DataFrame:
@@ -38,31 +35,30 @@ def add_sleep(panel: DataFrame) -> DataFrame:
     clock hours across midnight: it gets the mean too, and the bed hour before it becomes wake minus mean.
     There is no wrap from the first row to the last one.
     """
-    days = ordered()
-    bed, wake = F.col("bed_time_daily"), F.col("wake_time_daily")
-    before = F.lag(bed).over(days)
-    night = F.when(before.between(15, 23), 24 - before + wake).otherwise(wake - before)
-    timed = panel.withColumn("_night", night)
-    timed = timed.withColumn("_usual", F.avg("_night").over(Window.partitionBy("entity")))
-    next_night, next_wake = F.lead("_night").over(days), F.lead(wake).over(days)
-    usual = F.col("_usual")
-    return timed.withColumns(
+    days = over(order="date")
+    timed = with_exprs(panel, {"_before": f"lag(bed_time_daily) {days}"})
+    night = """CASE WHEN _before BETWEEN 15 AND 23 THEN 24 - _before + wake_time_daily
+      ELSE wake_time_daily - _before END"""
+    timed = with_exprs(timed, {"_night": night})
+    timed = with_exprs(
+        timed,
         {
-            "bed_time_daily": F.when(next_night <= 0, next_wake - usual).otherwise(bed),
-            "sleep_daily": F.when(F.col("_night") > 0, F.col("_night")).otherwise(usual),
-        }
-    ).drop("_night", "_usual")
+            "_usual": f"avg(_night) {over()}",
+            "_next": f"lead(_night) {days}",
+            "_next_wake": f"lead(wake_time_daily) {days}",
+        },
+    )
+    repaired = {
+        "bed_time_daily": "CASE WHEN _next <= 0 THEN _next_wake - _usual ELSE bed_time_daily END",
+        "sleep_daily": "CASE WHEN _night > 0 THEN _night ELSE _usual END",
+    }
+    return with_exprs(timed, repaired).drop("_before", "_night", "_usual", "_next", "_next_wake")
 
 
 def add_changes(panel: DataFrame, columns: list[str], grain: str = "daily") -> DataFrame:
     """Difference to the previous row; 0 on the first row."""
-    rows = ordered(grain)
-    return panel.withColumns(
-        {
-            f"change_{c}": F.coalesce(F.col(c) - F.lag(c).over(rows), F.lit(0.0))
-            for c in columns
-        }
-    )
+    rows = over(order=order_of(grain))
+    return with_exprs(panel, {f"change_{c}": f"coalesce(`{c}` - lag(`{c}`) {rows}, 0D)" for c in columns})
 
 
 def add_ewma(panel: DataFrame, columns: list[str], span: int = SPAN, grain: str = "daily") -> DataFrame:
@@ -70,56 +66,60 @@ def add_ewma(panel: DataFrame, columns: list[str], span: int = SPAN, grain: str
 
     The weighted sum is built from running sums inside blocks of rows plus the total of the block before,
     so the cost per row does not depend on the span and no array is collected. A block is long enough for
-    anything older to weigh less than 1e-16.
-    Needs a column without gaps: impute first. Missing values weigh nothing and do not age the others' order.
+    anything older to weigh less than 1e-16. Needs columns without gaps: impute first.
     """
     decay = 1 - 2 / (span + 1)
     block = max(2, math.ceil(math.log(1e-16) / math.log(decay)))
-    row = F.row_number().over(ordered(grain)) - 1
-    framed = panel.withColumn("_row", row).withColumns(
-        {"_block": F.floor(F.col("_row") / block), "_at": F.col("_row") % block}
+    framed = with_exprs(panel, {"_row": f"row_number() {over(order=order_of(grain))} - 1"})
+    framed = with_exprs(framed, {"_block": f"_row DIV {block}", "_at": f"_row % {block}"})
+    framed = with_exprs(
+        framed,
+        {
+            "_rise": f"pow({decay}D, -_at)",
+            "_fall": f"pow({decay}D, {block - 1} - _at)",
+            "_age": f"pow({decay}D, _at)",
+            "_weight": f"(1 - pow({decay}D, _row + 1)) / (1 - {decay}D)",
+        },
     )
-    inside = Window.partitionBy("entity", "_block").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
-    block_before = Window.partitionBy("entity").orderBy("_block").rangeBetween(-1, -1)
-    rise, fall = F.pow(F.lit(decay), -F.col("_at")), F.pow(F.lit(decay), F.lit(block - 1) - F.col("_at"))
-    framed = framed.withColumns({f"_in_{c}": F.sum(F.col(c) * rise).over(inside) for c in columns})
-    framed = framed.withColumns({f"_old_{c}": F.sum(F.col(c) * fall).over(block_before) for c in columns})
-    age = F.pow(F.lit(decay), F.col("_at"))
-    weight = (1 - F.pow(F.lit(decay), F.col("_row") + 1)) / (1 - decay)
+    inside = over("entity, _block", "_row", SO_FAR)
+    block_before = over(order="_block", frame="RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING")
+    framed = with_exprs(framed, {f"_in_{c}": f"sum(`{c}` * _rise) {inside}" for c in columns})
+    framed = with_exprs(framed, {f"_old_{c}": f"sum(`{c}` * _fall) {block_before}" for c in columns})
     means = [
-        F.when(
-            F.col(c).isNotNull(),
-            (age * F.col(f"_in_{c}") + age * decay * F.coalesce(F.col(f"_old_{c}"), F.lit(0.0))) / weight,
-        ).alias(f"ewma{span}_{c}")
+        f"CASE WHEN `{c}` IS NOT NULL THEN _age * (`_in_{c}` + {decay}D * coalesce(`_old_{c}`, 0D)) / _weight END "
+        f"AS `ewma{span}_{c}`"
         for c in columns
     ]
-    return framed.select(*panel.columns, *means)
+    return framed.selectExpr(*[f"`{c}`" for c in panel.columns], *means)
 
 
 def add_class_target(
     panel: DataFrame, catalog: Catalog, width: float = CLASS_WIDTH, span: int = SPAN
 ) -> DataFrame:
     """Next change of the target: 1 above, -1 below, 0 within ``width`` smoothed daily deviations."""
-    change = F.lead(f"change_{catalog.column(catalog.target, 'mean')}").over(ordered())
-    edge = F.col(f"ewma{span}_{catalog.column(catalog.target, 'std')}") * width
-    banded = (
-        F.when((change <= edge) & (change >= -edge), 0.0).when(change > edge, 1.0).when(change < -edge, -1.0)
-    )
-    return panel.withColumn("categorical_target", banded)
+    change = f"change_{catalog.column(catalog.target, 'mean')}"
+    edge = f"ewma{span}_{catalog.column(catalog.target, 'std')}"
+    ahead = with_exprs(panel, {"_change": f"lead(`{change}`) {over(order='date')}"})
+    return with_exprs(ahead, {"categorical_target": class_of("_change", f"`{edge}`", width)}).drop("_change")
+
+
+def class_of(change: str, edge: str, width: float = CLASS_WIDTH) -> str:
+    """Class of a change, as SQL text; a change on the edge is 0, a missing side has no class."""
+    return f"""CASE WHEN {change} > {width}D * {edge} THEN 1D WHEN {change} < -{width}D * {edge} THEN -1D
+      WHEN {change} IS NOT NULL AND {edge} IS NOT NULL THEN 0D END"""
 
 
 def add_calendar(panel: DataFrame) -> DataFrame:
     """Month and weekday, Monday being 0."""
-    return panel.withColumns({"month": F.month("date"), "weekday": F.weekday("date")})
+    return with_exprs(panel, {"month": "month(date)", "weekday": "weekday(date)"})
 
 
 def encode_calendar(panel: DataFrame, months=MONTHS, weekdays=WEEKDAYS) -> DataFrame:
     """0/1 columns for month, weekday and, if present, time of day; the number of the latter is kept."""
-    parts = E.dummies(F.col("month"), "month", months) + E.dummies(F.col("weekday"), "weekday", weekdays)
-    keep = [c for c in panel.columns if c not in ("month", "weekday", "tod")]
+    flags = {**E.dummies("month", "month", months), **E.dummies("weekday", "weekday", weekdays)}
     if "tod" in panel.columns:
-        parts = [F.col("tod").alias("tod_number")] + parts + E.dummies(F.col("tod"), "tod", TODS)
-    return panel.select(*keep, *parts)
+        flags = {"tod_number": "tod", **flags, **E.dummies("tod", "tod", TODS)}
+    return with_exprs(panel, flags).drop("month", "weekday", "tod")
 
 
 def wrap_bed(panel: DataFrame) -> DataFrame:
@@ -132,9 +132,9 @@ def add_next_day(panel: DataFrame, column: str, grain: str = "daily", drop: bool
     On the three rows a day of the time-of-day panel the next day is three rows ahead.
     """
     step = 1 if grain == "daily" else len(TODS)
-    rows = ordered(grain)
-    added = panel.withColumns(
-        {"target": F.lead(column, step).over(rows), "next_date": F.lead("date", step).over(rows)}
+    rows = over(order=order_of(grain))
+    added = with_exprs(
+        panel, {"target": f"lead(`{column}`, {step}) {rows}", "next_date": f"lead(date, {step}) {rows}"}
     )
     return added.na.drop(subset=["target", "next_date"]) if drop else added
 

@@ -7,54 +7,50 @@ bounds each window by the calendar, not by the number of readings.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dailypanel.catalog import Catalog
-from dailypanel.functions import expressions as E
+from dailypanel.catalog import TODS, Catalog
+from dailypanel.functions.wide import SO_FAR, over, with_exprs
 from dailypanel.operators.quantiles import exact_quantiles
 
 
-def entity():
-    """All rows of one entity."""
-    return Window.partitionBy("entity")
-
-
 def fill_zero(panel: DataFrame, columns: list[str]) -> DataFrame:
-    return panel.na.fill(0.0, columns)
+    return panel.na.fill(0.0, columns) if columns else panel
 
 
 def fill_mean(panel: DataFrame, columns: list[str]) -> DataFrame:
-    return panel.withColumns({c: F.coalesce(F.col(c), F.avg(c).over(entity())) for c in columns})
+    return with_exprs(panel, {c: f"coalesce(`{c}`, avg(`{c}`) {over()})" for c in columns})
 
 
 def fill_mode(panel: DataFrame, columns: list[str]) -> DataFrame:
     """Most frequent value of the entity, the smallest one on ties."""
-    return panel.withColumns(
-        {c: F.coalesce(F.col(c), F.mode(F.col(c), True).over(entity())) for c in columns}
-    )
+    return with_exprs(panel, {c: f"coalesce(`{c}`, mode(`{c}`, true) {over()})" for c in columns})
 
 
 def fill_linear(panel: DataFrame, columns: list[str], grain: str = "daily") -> DataFrame:
-    """Straight line between known neighbours, flat at the edges; an entity without values stays null."""
-    pos = F.datediff(F.col("date"), F.lit("1970-01-01").cast("date")).cast("double")
-    if grain == "tod":
-        pos = pos * 3 + F.col("tod")
-    so_far = (Window.unboundedPreceding, Window.currentRow)
-    forward = Window.partitionBy("entity").orderBy("_pos").rowsBetween(*so_far)
-    backward = Window.partitionBy("entity").orderBy(F.desc("_pos")).rowsBetween(*so_far)
-
-    def known(c: str):
-        point = F.struct(F.col("_pos").alias("pos"), F.col(c).alias("value"))
-        return F.last(F.when(F.col(c).isNotNull(), point), ignorenulls=True)
-
-    framed = panel.withColumn("_pos", pos)
-    framed = framed.withColumns({f"_b_{c}": known(c).over(forward) for c in columns})
-    framed = framed.withColumns({f"_a_{c}": known(c).over(backward) for c in columns})
-    filled = {
-        c: E.interpolated(F.col(c), F.col("_pos"), F.col(f"_b_{c}"), F.col(f"_a_{c}")) for c in columns
-    }
-    return framed.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in panel.columns])
+    """Straight line between known neighbours, flat at the edges; an entity without values stays null.
+
+    The neighbour after a row is found by a running window in descending order: a frame that looks ahead
+    would visit every following row again.
+    """
+    day = "CAST(unix_date(date) AS DOUBLE)"
+    framed = with_exprs(panel, {"_pos": day if grain == "daily" else f"{day} * {len(TODS)} + tod"})
+
+    def known(c: str, order: str) -> str:
+        point = f"CASE WHEN `{c}` IS NOT NULL THEN struct(_pos AS p, `{c}` AS v) END"
+        return f"last({point}, true) {over(order=order, frame=SO_FAR)}"
+
+    framed = with_exprs(framed, {f"_b_{c}": known(c, "_pos") for c in columns})
+    framed = with_exprs(framed, {f"_a_{c}": known(c, "_pos DESC") for c in columns})
+    filled = {c: _on_line(f"`{c}`", f"`_b_{c}`", f"`_a_{c}`") for c in columns}
+    return framed.selectExpr(*[f"{filled[c]} AS `{c}`" if c in filled else f"`{c}`" for c in panel.columns])
+
+
+def _on_line(x: str, before: str, after: str) -> str:
+    """Value on the line between two (p, v) neighbours, or the one neighbour there is."""
+    line = f"{before}.v + ({after}.v - {before}.v) * (_pos - {before}.p) / ({after}.p - {before}.p)"
+    return f"coalesce({x}, CASE WHEN {before} IS NULL THEN {after}.v WHEN {after} IS NULL THEN {before}.v ELSE {line} END)"
 
 
 def impute_all(panel: DataFrame, catalog: Catalog, grain: str = "daily") -> DataFrame:

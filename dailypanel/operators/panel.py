@@ -7,64 +7,68 @@ is filled from the gap to the next present day, so no grid join is needed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dailypanel.catalog import TODS, Catalog
 from dailypanel.functions import expressions as E
+from dailypanel.functions.wide import over, with_exprs
+from dailypanel.operators.lookup import settle
 
 
-def by_date():
-    """Rows of one entity in calendar order."""
-    return Window.partitionBy("entity").orderBy("date")
+def reading_stats(readings: DataFrame, catalog: Catalog, grains=("daily",)) -> DataFrame:
+    """One row per entity, date, variable and, at the time-of-day grain, band, with all statistics.
 
-
-def reading_stats(readings: DataFrame, catalog: Catalog, grain: str = "daily") -> DataFrame:
-    """One row per entity, date (, tod) and variable with every statistic the panels need."""
+    With both grains the raw rows are read and combined once, as two grouping sets; ``tod`` is null at the
+    daily grain.
+    """
     value, hour = F.col("value"), F.col("hour")
     averaged = F.col("variable").isin(list(catalog.averaged))
-    keys = ["entity", "date"] + (["tod"] if grain == "tod" else []) + ["variable"]
-    stats = [
+    order = F.when(averaged & value.isNotNull(), E.in_day_order(F.col("ts"), F.col("seq")))
+    extremes = [F.avg("value").alias("mean"), F.min("value").alias("min"), F.max("value").alias("max")]
+    whole_day = [
         F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+        F.var_pop("value").alias("var"),
+        F.coalesce(F.sum("value"), F.lit(0.0)).alias("sum"),
+        F.min_by("value", order).alias("first"),
+        F.max_by("value", order).alias("last"),
+        F.max(E.late_hour(hour)).alias("late"),
+        F.max(E.early_hour(hour)).alias("early"),
+        F.min(E.wake_hour(hour)).alias("wake"),
     ]
-    if grain == "daily":
-        order = F.when(averaged & value.isNotNull(), E.in_day_order(F.col("ts"), F.col("seq")))
-        stats += [
-            F.var_pop("value").alias("var"),
-            F.coalesce(F.sum("value"), F.lit(0.0)).alias("sum"),
-            F.min_by("value", order).alias("first"),
-            F.max_by("value", order).alias("last"),
-            F.max(E.late_hour(hour)).alias("late"),
-            F.max(E.early_hour(hour)).alias("early"),
-            F.min(E.wake_hour(hour)).alias("wake"),
-        ]
-    return readings.groupBy(*keys).agg(*stats)
+    day = ["entity", "date", "variable"]
+    if tuple(grains) == ("daily",):
+        return readings.groupBy(*day).agg(*extremes, *whole_day)
+    if tuple(grains) == ("tod",):
+        return readings.groupBy(*day, "tod").agg(*extremes)
+    sets = [[F.col(c) for c in day], [F.col(c) for c in (*day, "tod")]]
+    return readings.groupingSets(sets, *day, "tod").agg(*extremes, *whole_day)
 
 
-def _pick(variable: str, stat: str) -> Column:
-    return F.max(F.when(F.col("variable") == variable, F.col(stat)))
+def _pick(variable: str, stat: str, extra: str = "") -> str:
+    return f"max(CASE WHEN variable = '{variable}' {extra} THEN `{stat}` END)"
 
 
-def _fill_days(by_day: DataFrame, columns: list[str]) -> DataFrame:
-    """Add the missing calendar days between the first and last day of each entity, with null columns."""
-    to_next = F.sequence(F.col("date"), F.coalesce(F.date_sub("_next", 1), F.col("date")))
+def _by_day(stats: DataFrame, picks: dict[str, str]) -> DataFrame:
+    """One row per entity and day, hashed by entity: the partitioning all later windows use."""
     return (
-        by_day.withColumn("_next", F.lead("date").over(by_date()))
-        .withColumn("_day", F.explode(to_next))
-        .select(
-            "entity",
-            F.col("_day").alias("date"),
-            *[F.when(F.col("_day") == F.col("date"), F.col(c)).alias(c) for c in columns],
-        )
+        stats.repartition("entity")
+        .groupBy("entity", "date")
+        .agg(*[F.expr(f"{e} AS `{name}`") for name, e in picks.items()])
     )
 
 
-def _daily_base(readings: DataFrame, catalog: Catalog) -> DataFrame:
+def _fill_days(by_day: DataFrame, columns: list[str]) -> DataFrame:
+    """Add the missing calendar days between the first and last day of each entity, with null columns."""
+    ahead = with_exprs(by_day, {"_next": f"lead(date) {over(order='date')}"})
+    days = "explode(sequence(date, coalesce(date_sub(_next, 1), date)))"
+    filled = [f"CASE WHEN _day = date THEN `{c}` END AS `{c}`" for c in columns]
+    return with_exprs(ahead, {"_day": days}).selectExpr("entity", "_day AS date", *filled)
+
+
+def _daily_base(stats: DataFrame, catalog: Catalog) -> DataFrame:
     """Dense days with picked statistics and the moments that later steps combine."""
-    restful = ~F.col("variable").isin(list(catalog.static))
+    awake = "".join(f" AND variable <> '{v}'" for v in catalog.static)
     picks = {}
     for v in catalog.averaged:
         for stat in ("mean", "max", "min", "first", "last", "n", "var"):
@@ -73,72 +77,95 @@ def _daily_base(readings: DataFrame, catalog: Catalog) -> DataFrame:
         picks[catalog.column(v, "sum")] = _pick(v, "sum")
     for v in catalog.peaked:
         picks[catalog.column(v, "max")] = _pick(v, "max")
-    picks["wake_time_daily"] = F.min(F.when(restful, F.col("wake"))).cast("double")
-    picks["_late"] = F.max(F.when(restful, F.col("late")))
-    picks["_early"] = F.max(F.when(restful, F.col("early")))
-    by_day = (
-        reading_stats(readings, catalog)
-        .repartition("entity")
-        .groupBy("entity", "date")
-        .agg(*[expr.alias(name) for name, expr in picks.items()])
-    )
-    return _fill_days(by_day, list(picks))
+    picks["wake_time_daily"] = f"CAST(min(CASE WHEN true{awake} THEN wake END) AS DOUBLE)"
+    picks["_late"] = f"max(CASE WHEN true{awake} THEN late END)"
+    picks["_early"] = f"max(CASE WHEN true{awake} THEN early END)"
+    return _fill_days(_by_day(stats, picks), list(picks))
 
 
-def _sample_std(n: Column, squares: Column) -> Column:
-    return F.when(n > 1, F.sqrt(squares / (n - 1)))
+def _sample_std(n: str, squares: str) -> str:
+    return f"CASE WHEN {n} > 1 THEN sqrt(({squares}) / ({n} - 1)) END"
 
 
-def sliding_std(catalog: Catalog, variable: str, days: int = 3) -> Column:
-    """Sample deviation of the raw readings of the last ``days`` calendar days, from daily moments."""
-    back = range(days)
-    n, mean, var = (F.col(catalog.column(variable, s)) for s in ("n", "mean", "var"))
-    ns = [F.coalesce(F.lag(n, i).over(by_date()), F.lit(0)) for i in back]
-    means = [F.coalesce(F.lag(mean, i).over(by_date()), F.lit(0.0)) for i in back]
-    squares = [F.coalesce(F.lag(var * n, i).over(by_date()), F.lit(0.0)) for i in back]
-    total = sum(ns[1:], ns[0])
-    centre = E.ratio(sum((a * b for a, b in zip(ns[1:], means[1:])), ns[0] * means[0]), total)
-    spread = sum(
-        (s + k * (m - centre) * (m - centre) for s, k, m in zip(squares, ns, means)), F.lit(0.0)
-    )
-    return _sample_std(total, spread)
+def with_sliding_std(panel: DataFrame, catalog: Catalog, days: int = 3) -> DataFrame:
+    """Sample deviation of the raw readings of the last ``days`` calendar days, from daily moments.
+
+    The days' means are compared with the common mean, which stays exact for values far from zero.
+    """
+    moments, centres, spreads = {}, {}, {}
+    for v in catalog.averaged:
+        n, mean, var = (f"`{catalog.column(v, s)}`" for s in ("n", "mean", "var"))
+        for i in range(days):
+            back = over(order="date")
+            moments[f"_{v}_n{i}"] = f"coalesce(lag({n}, {i}) {back}, 0)"
+            moments[f"_{v}_m{i}"] = f"coalesce(lag({mean}, {i}) {back}, 0D)"
+            moments[f"_{v}_s{i}"] = f"coalesce(lag({var} * {n}, {i}) {back}, 0D)"
+        total = " + ".join(f"`_{v}_n{i}`" for i in range(days))
+        weighted = " + ".join(f"`_{v}_n{i}` * `_{v}_m{i}`" for i in range(days))
+        centres[f"_{v}_n"] = total
+        centres[f"_{v}_m"] = f"({weighted}) / nullif(CAST({total} AS DOUBLE), 0D)"
+        squares = " + ".join(
+            f"`_{v}_s{i}` + `_{v}_n{i}` * (`_{v}_m{i}` - `_{v}_m`) * (`_{v}_m{i}` - `_{v}_m`)" for i in range(days)
+        )
+        spreads[catalog.column(v, "std_slide")] = _sample_std(f"`_{v}_n`", squares)
+    return with_exprs(with_exprs(with_exprs(panel, moments), centres), spreads)
 
 
 def daily_panel(readings: DataFrame, catalog: Catalog) -> DataFrame:
     """One row per entity and calendar day between its first and last reading."""
-    base = _daily_base(readings, catalog)
+    return daily_from_stats(reading_stats(readings, catalog), catalog)
+
+
+def daily_from_stats(stats: DataFrame, catalog: Catalog) -> DataFrame:
+    base = with_sliding_std(_daily_base(stats, catalog), catalog)
     derived = {}
     for v in catalog.averaged:
-        n, var = F.col(catalog.column(v, "n")), F.col(catalog.column(v, "var"))
-        derived[catalog.column(v, "std")] = _sample_std(n, var * n)
-        derived[catalog.column(v, "std_slide")] = sliding_std(catalog, v)
+        n, var = (f"`{catalog.column(v, s)}`" for s in ("n", "var"))
+        derived[catalog.column(v, "std")] = _sample_std(n, f"{var} * {n}")
     # Hours before 5 of the next calendar day end the evening of this one.
-    derived["bed_time_daily"] = F.coalesce(F.lead("_early").over(by_date()), F.col("_late")).cast("double")
-    return base.withColumns(derived).select("entity", "date", *catalog.names("daily"))
+    derived["bed_time_daily"] = f"CAST(coalesce(lead(_early) {over(order='date')}, _late) AS DOUBLE)"
+    return with_exprs(base, derived).select("entity", "date", *catalog.names("daily"))
 
 
 def tod_panel(readings: DataFrame, catalog: Catalog) -> DataFrame:
     """Three rows per entity and calendar day, one for each time of day."""
+    return tod_from_stats(reading_stats(readings, catalog, ("tod",)), catalog)
+
+
+def tod_from_stats(stats: DataFrame, catalog: Catalog) -> DataFrame:
     cells = [(c.variable, c.stat, c.name) for c in catalog.tod_columns()]
-    in_tod = {
-        (t, name): F.max(F.when((F.col("tod") == t) & (F.col("variable") == v), F.col(stat)))
-        for t in TODS
-        for v, stat, name in cells
+    wide = {
+        f"_{t}_{name}": _pick(v, stat, f"AND tod = {t}") for t in TODS for v, stat, name in cells
     }
-    wide = {f"_{t}_{name}": expr for (t, name), expr in in_tod.items()}
-    by_day = (
-        reading_stats(readings, catalog, "tod")
-        .repartition("entity")
-        .groupBy("entity", "date")
-        .agg(*[expr.alias(name) for name, expr in wide.items()])
-    )
-    rows = F.array(
-        *[
-            F.struct(F.lit(t).alias("tod"), *[F.col(f"_{t}_{name}").alias(name) for _, _, name in cells])
-            for t in TODS
-        ]
+    days = _fill_days(_by_day(stats, wide), list(wide))
+    rows = ", ".join(
+        "named_struct('tod', "
+        + ", ".join([str(t)] + [f"'{name}', `_{t}_{name}`" for _, _, name in cells])
+        + ")"
+        for t in TODS
     )
-    return _fill_days(by_day, list(wide)).select("entity", "date", F.inline(rows))
+    return days.selectExpr("entity", "date", f"inline(array({rows}))")
+
+
+def both_panels(readings: DataFrame, catalog: Catalog) -> tuple[DataFrame, DataFrame]:
+    """Daily and time-of-day panel from one pass over the readings.
+
+    The statistics are written once to the checkpoint folder, because both panels start from them.
+    """
+    stats = settle(reading_stats(readings, catalog, ("daily", "tod")))
+    daily = daily_from_stats(stats.filter("tod IS NULL").drop("tod"), catalog)
+    return daily, tod_from_stats(stats.filter("tod IS NOT NULL"), catalog)
+
+
+def both_pivot(readings: DataFrame, catalog: Catalog) -> DataFrame:
+    """The time-of-day panel with the day's columns repeated on each of its three rows."""
+    daily, tod = both_panels(readings, catalog)
+    return tod.join(daily, ["entity", "date"], "left")
+
+
+def daily_part(both: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per entity and day of a panel with three equal daily parts."""
+    return both.filter("tod = 0").select("entity", "date", *columns)
 
 
 def dense_calendar(readings: DataFrame) -> DataFrame:

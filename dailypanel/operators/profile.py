@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +12,16 @@ from dailypanel.operators.lookup import attach
 from dailypanel.operators.quantiles import exact_quantiles
 
 
+def numeric_columns(df: DataFrame, exclude=(), without: str = "") -> list[str]:
+    """Numeric columns by the schema, leaving out some names and names that contain a text."""
+    numeric = ("tinyint", "smallint", "int", "bigint", "float", "double")
+    return [
+        c
+        for c, kind in df.dtypes
+        if (kind in numeric or kind.startswith("decimal")) and c not in exclude and not (without and without in c)
+    ]
+
+
 def count_by(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n"))
 
@@ -231,7 +240,3 @@ def spec_report(df: DataFrame, column: str) -> DataFrame:
             F.max(F.coalesce("high", "low")).alias("high"),
         )
     )
-
-
-def sum_columns(columns: list[str]) -> Column:
-    return reduce(Column.__add__, [F.coalesce(F.col(c), F.lit(0.0)) for c in columns])

@@ -12,16 +12,26 @@ from pyspark.sql import DataFrame
 from dailypanel.catalog import Catalog
 from dailypanel.operators import features as X
 from dailypanel.operators.impute import impute_all
-from dailypanel.operators.panel import daily_panel, tod_panel, trim_observed_span, trim_override
+from dailypanel.operators.panel import (
+    both_panels,
+    daily_panel,
+    tod_panel,
+    trim_observed_span,
+    trim_override,
+)
 
 
-def trimmed_panel(readings: DataFrame, catalog: Catalog, overrides=(), grain: str = "daily") -> DataFrame:
-    """Panel cut to the span in which the target variable was observed."""
-    panel = daily_panel(readings, catalog) if grain == "daily" else tod_panel(readings, catalog)
+def trim(panel: DataFrame, catalog: Catalog, overrides=(), grain: str = "daily") -> DataFrame:
+    """Cut a panel to the span in which the target variable was observed, and further by the overrides."""
     observed = catalog.column(catalog.target, "mean", grain)
     return trim_override(trim_observed_span(panel, observed), list(overrides))
 
 
+def trimmed_panel(readings: DataFrame, catalog: Catalog, overrides=(), grain: str = "daily") -> DataFrame:
+    panel = daily_panel(readings, catalog) if grain == "daily" else tod_panel(readings, catalog)
+    return trim(panel, catalog, overrides, grain)
+
+
 def daily_features(trimmed: DataFrame, catalog: Catalog, span: int = X.SPAN) -> DataFrame:
     """Imputed daily panel with quadrant, sleep, changes, smoothed columns and the class target.
 
@@ -40,21 +50,30 @@ def tod_features(trimmed: DataFrame, catalog: Catalog, span: int = X.SPAN) -> Da
     return X.add_ewma(panel, catalog.smoothed_columns("tod"), span, "tod")
 
 
-def ready_panel(readings: DataFrame, catalog: Catalog, overrides=(), span: int = X.SPAN) -> DataFrame:
+def ready_panel(
+    readings: DataFrame, catalog: Catalog, overrides=(), span: int = X.SPAN, trimmed: bool = True
+) -> DataFrame:
     """The daily chain: one row per entity and day that has a next day."""
-    panel = daily_features(trimmed_panel(readings, catalog, overrides), catalog, span)
+    panel = daily_panel(readings, catalog)
+    if trimmed:
+        panel = trim(panel, catalog, overrides)
+    panel = daily_features(panel, catalog, span)
     panel = X.wrap_bed(X.encode_calendar(X.add_calendar(panel)))
     return X.add_next_day(panel, catalog.column(catalog.target, "mean"))
 
 
-def both_panel(readings: DataFrame, catalog: Catalog, overrides=(), span: int = X.SPAN) -> DataFrame:
+def both_panel(
+    readings: DataFrame, catalog: Catalog, overrides=(), span: int = X.SPAN, trimmed: bool = True
+) -> DataFrame:
     """Three rows per day with time-of-day features, the day's features repeated on each.
 
     The next-day target is taken on the daily side: on dense calendars that is three rows ahead here.
     """
-    daily = daily_features(trimmed_panel(readings, catalog, overrides), catalog, span)
+    daily, tod = both_panels(readings, catalog)
+    if trimmed:
+        daily, tod = trim(daily, catalog, overrides), trim(tod, catalog, overrides, "tod")
+    daily = daily_features(daily, catalog, span)
     daily = X.add_next_day(daily, catalog.column(catalog.target, "mean"), drop=False)
-    tod = tod_features(trimmed_panel(readings, catalog, overrides, "tod"), catalog, span)
-    joined = tod.join(daily, ["entity", "date"], "left")
+    joined = tod_features(tod, catalog, span).join(daily, ["entity", "date"], "left")
     panel = X.wrap_bed(X.encode_calendar(X.add_calendar(joined)))
     return panel.na.drop(subset=["target", "next_date"])

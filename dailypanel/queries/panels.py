@@ -66,6 +66,20 @@ def tod_panel(spark, sf):
     return tidy(P.tod_panel(B.clean(spark, sf), CAT))
 
 
+@query(
+    "both_pivot",
+    f"""{S.upto('daily', S.TOD)} SELECT entity, {D}, tod, {S.rounded(S.TOD_CELLS + S.DAILY_COLUMNS)}
+    FROM tod_panel LEFT JOIN panel USING (entity, date)""",
+)
+def both_pivot(spark, sf):
+    return tidy(P.both_pivot(B.clean(spark, sf), CAT))
+
+
+@query("daily_part", f"{S.upto('daily')} SELECT entity, {D}, {S.rounded(S.DAILY_COLUMNS)} FROM panel")
+def daily_part(spark, sf):
+    return tidy(P.daily_part(P.both_pivot(B.clean(spark, sf), CAT), S.DAILY_COLUMNS))
+
+
 _FIRST_LAST = [f"{v}_{s}_daily" for v in S.MEANS for s in ("first", "last")]
 
 

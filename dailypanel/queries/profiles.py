@@ -61,11 +61,12 @@ def _missing_sql(entity: str, group: str) -> str:
 @query(
     "missing_profile",
     f"""{S.upto('daily')}, long AS ({' UNION ALL '.join(
-        f"SELECT entity, '{c}' AS variable, {c} AS value FROM panel" for c in S.DAILY_COLUMNS)})
+        f"SELECT entity, '{c}' AS variable, {r(c)} AS value FROM panel" for c in S.DAILY_COLUMNS)})
     {_missing_sql('CAST(entity AS VARCHAR)', 'entity, variable')} UNION ALL {_missing_sql("'all'", 'variable')}""",
 )
 def missing_profile(spark, sf):
-    return tidy(A.missing_profile(P.daily_panel(B.clean(spark, sf), B.CATALOG), S.DAILY_COLUMNS), 3)
+    panel = tidy(P.daily_panel(B.clean(spark, sf), B.CATALOG))
+    return tidy(A.missing_profile(panel, S.DAILY_COLUMNS), 3)
 
 
 TEXTS = ["c_mktsegment", "c_nation"]
@@ -201,7 +202,7 @@ def log_transform(spark, sf):
     "skewness_profile",
     f"WITH {_LINES_SQL} "
     + " UNION ALL ".join(
-        f"SELECT '{c}' AS variable, {r(f'skewness({c})') if c != 'one' else 'CAST(NULL AS DOUBLE)'} AS skewness FROM l"
+        f"SELECT '{c}' AS variable, {r(f'skewness({c})') if c != 'one' else 'CAST(min(NULL) AS DOUBLE)'} AS skewness FROM l"
         for c in CONSTANT
     ),
 )

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,25 +29,21 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-def shown(value: Column, digits: int = 6) -> Column:
-    return F.round(value + F.lit(NUDGE), digits)
-
-
 def tidy(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round floating columns and print dates as text, so that results can be compared by value."""
 
-    def plain(name: str, kind: str) -> Column:
+    def plain(name: str, kind: str) -> str:
         if kind in ("double", "float"):
-            return shown(F.col(name).cast("double"), digits).alias(name)
+            return f"round(CAST(`{name}` AS DOUBLE) + {NUDGE}D, {digits}) AS `{name}`"
         if kind == "date":
-            return F.col(name).cast("string").alias(name)
+            return f"CAST(`{name}` AS STRING) AS `{name}`"
         if kind == "timestamp_ntz":
-            return F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(name)
-        return F.col(name)
+            return f"date_format(`{name}`, 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS `{name}`"
+        return f"`{name}`"
 
-    return df.select(*[plain(c, kind) for c, kind in df.dtypes])
+    return df.selectExpr(*[plain(c, kind) for c, kind in df.dtypes])
 
 
 def r(sql: str, digits: int = 6) -> str:
-    """The SQL twin of ``shown``."""
+    """The rounding of ``tidy`` in SQL."""
     return f"round(CAST({sql} AS DOUBLE) + 3.1e-8, {digits})"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from dailypanel.operators import scale as C
 from dailypanel.operators import sequences as Q
 from dailypanel.operators import split as L
+from dailypanel.operators.lookup import settle
 from dailypanel.operators.quantiles import exact_quantiles
 from dailypanel.plans.datasets import sequence_dataset
 from dailypanel.queries import sql as S
@@ -100,7 +101,7 @@ def split_date_ranges(spark, sf):
     {r('max(target)')} AS max FROM cut GROUP BY split""",
 )
 def split_describe(spark, sf):
-    parts = split_ready(spark, sf).select("split", "target").cache()
+    parts = settle(split_ready(spark, sf).select("split", "target"))
     moments = parts.groupBy("split").agg(
         F.count("target").alias("n"),
         F.avg("target").alias("mean"),
