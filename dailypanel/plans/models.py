@@ -61,7 +61,7 @@ def elastic_net(train: DataFrame, alpha: float, l1_ratio: float) -> R.LinearRegr
 
 def _penalised(strength: float, ratio: float) -> R.LinearRegression:
     return R.LinearRegression(
-        regParam=strength, elasticNetParam=ratio, standardization=False, solver="l-bfgs", maxIter=200, tol=1e-8
+        regParam=strength, elasticNetParam=ratio, standardization=False, solver="l-bfgs", maxIter=200, tol=1e-7
     )
 
 
