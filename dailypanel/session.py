@@ -17,6 +17,8 @@ def local_session(cpus: int | str = "*", app: str = "dailypanel") -> SparkSessio
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
+        # Small test tables should still use all cores; on a cluster the default of 1 MB is right.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("DAILYPANEL_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
