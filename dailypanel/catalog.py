@@ -10,11 +10,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-# Statistics per variable group, and the order in which columns are shown.
-MEAN_STATS = ("mean", "std", "std_slide", "max", "min", "first", "last")
-TOD_STATS = ("mean", "max", "min")
-SUM_STATS = ("sum", "max")
-TODS = (0, 1, 2)
+from dailypanel.fixed import MEAN_STATS, TOD_STATS
 
 
 @dataclass(frozen=True)

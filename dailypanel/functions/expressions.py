@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Hour edges of the day bands and of the sleep search, and quadrant codes.
-TOD_EDGES = (10, 17)
-DAY_SHIFT_HOURS = 5
-BED_FROM_HOUR = 18
-WAKE_HOURS = (5, 13)
-BED_WRAP_BELOW = 15
-QUADRANTS = (-10, 1, 2, 3, 4)
-QUADRANT_MISSING = -1
+from dailypanel.fixed import (
+    BED_FROM_HOUR,
+    BED_WRAP_BELOW,
+    DAY_SHIFT_HOURS,
+    QUADRANT_MISSING,
+    QUADRANTS,
+    TOD_EDGES,
+    WAKE_HOURS,
+)
 
 
 def tod_band(hour: Column) -> Column:

@@ -41,7 +41,7 @@ def class_index(df: DataFrame, column: str, name: str = "class_index") -> DataFr
 
 def frequency_encoding(df: DataFrame, column: str, drop_original: bool = True) -> DataFrame:
     """Share of all rows that have the row's value; missing stays missing but counts in the total."""
-    counted = df.groupBy(column).agg(F.count("*").alias("_n"))
+    counted = settle(df.groupBy(column).agg(F.count("*").alias("_n")))
     total = counted.agg(F.sum("_n")).first()[0]
     shares = counted.filter(F.col(column).isNotNull()).select(
         column, (F.col("_n") / F.lit(float(total or 1))).alias(f"{column}_freq")

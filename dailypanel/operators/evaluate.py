@@ -7,14 +7,12 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dailypanel.fixed import BAND_CODES, CONFIDENCE
 from dailypanel.functions.wide import over, with_exprs
 from dailypanel.operators.lookup import settle
 from dailypanel.operators.profile import add_value_bands, value_range
 from dailypanel.operators.quantiles import exact_quantiles
 
-CONFIDENCE = 1.96
-
-
 def regression_aggregates(actual: str = "actual", predicted: str = "predicted") -> dict[str, Column]:
     """R2, MAE, MSE and RMSE; R2 is null for fewer than two rows or a constant actual."""
     error = F.col(actual) - F.col(predicted)
@@ -153,9 +151,6 @@ def classification_report(confusion: DataFrame) -> DataFrame:
     )
 
 
-BAND_CODES = {"Low": 0, "Medium": 1, "High": 2}
-
-
 def banded_confusion(predictions: DataFrame) -> DataFrame:
     """Confusion of value bands, both banded by the range of the actual values; no band is code -1."""
     ends = value_range(predictions, "actual")

@@ -8,16 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dailypanel.catalog import TODS, Catalog
+from dailypanel.catalog import Catalog
+from dailypanel.fixed import CLASS_WIDTH, EVENING_HOURS, MONTHS, QUADRANTS, SPAN, TODS, WEEKDAYS
 from dailypanel.functions import expressions as E
 from dailypanel.functions.wide import SO_FAR, order_of, over, with_exprs
 
-MONTHS = tuple(range(1, 13))
-WEEKDAYS = tuple(range(7))
-SPAN = 7
-CLASS_WIDTH = 0.5
-
-
 def add_quadrant(panel: DataFrame, catalog: Catalog, grain: str = "daily") -> DataFrame:
     """Quadrant of mean valence and arousal as 0/1 columns, the lowest code left out."""
     code = E.quadrant(
@@ -25,7 +20,7 @@ def add_quadrant(panel: DataFrame, catalog: Catalog, grain: str = "daily") -> Da
         F.col(catalog.column(catalog.arousal, "mean", grain)),
     )
     coded = panel.withColumn("_quadrant", code)
-    return with_exprs(coded, E.dummies("_quadrant", f"quadrant_{grain}", E.QUADRANTS)).drop("_quadrant")
+    return with_exprs(coded, E.dummies("_quadrant", f"quadrant_{grain}", QUADRANTS)).drop("_quadrant")
 
 
 def add_sleep(panel: DataFrame) -> DataFrame:
@@ -37,7 +32,8 @@ def add_sleep(panel: DataFrame) -> DataFrame:
     """
     days = over(order="date")
     timed = with_exprs(panel, {"_before": f"lag(bed_time_daily) {days}"})
-    night = """CASE WHEN _before BETWEEN 15 AND 23 THEN 24 - _before + wake_time_daily
+    evening = " AND ".join(str(h) for h in EVENING_HOURS)
+    night = f"""CASE WHEN _before BETWEEN {evening} THEN 24 - _before + wake_time_daily
       ELSE wake_time_daily - _before END"""
     timed = with_exprs(timed, {"_night": night})
     timed = with_exprs(

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dailypanel.catalog import TODS, Catalog
+from dailypanel.catalog import Catalog
+from dailypanel.fixed import TODS
 from dailypanel.functions.wide import SO_FAR, over, with_exprs
 from dailypanel.operators.quantiles import exact_quantiles
 

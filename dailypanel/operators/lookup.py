@@ -18,16 +18,22 @@ def settle(table: DataFrame) -> DataFrame:
 
 
 def attach(
-    data: DataFrame, table: DataFrame, keys: list[str], how: str = "inner", limit: int = BROADCAST_ROWS
+    data: DataFrame,
+    table: DataFrame,
+    keys: list[str],
+    how: str = "inner",
+    limit: int = BROADCAST_ROWS,
+    settled: bool = False,
 ) -> DataFrame:
     """Join ``table`` (one row per key) to ``data``.
 
     The table is broadcast only when its counted size is within ``limit``. Beyond that both sides are
-    shuffled with a salt, so that one hot key is spread over ``SALTS`` tasks.
+    shuffled with a salt, so that one hot key is spread over ``SALTS`` tasks. A missing key matches nothing.
     """
-    table = settle(table)
+    table = table if settled else settle(table)
     if table.count() <= limit:
         return data.join(F.broadcast(table), keys, how)
     salted = data.withColumn("_salt", F.pmod(F.xxhash64(*data.columns), F.lit(SALTS)))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
+    copies = table.withColumn("_salt", F.explode(salts))
     return salted.join(copies, keys + ["_salt"], how).drop("_salt")

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dailypanel.catalog import TODS, Catalog
+from dailypanel.catalog import Catalog
+from dailypanel.fixed import SLIDE_DAYS, TODS
 from dailypanel.functions import expressions as E
 from dailypanel.functions.wide import over, with_exprs
 from dailypanel.operators.lookup import settle
@@ -87,7 +88,7 @@ def _sample_std(n: str, squares: str) -> str:
     return f"CASE WHEN {n} > 1 THEN sqrt(({squares}) / ({n} - 1)) END"
 
 
-def with_sliding_std(panel: DataFrame, catalog: Catalog, days: int = 3) -> DataFrame:
+def with_sliding_std(panel: DataFrame, catalog: Catalog, days: int = SLIDE_DAYS) -> DataFrame:
     """Sample deviation of the raw readings of the last ``days`` calendar days, from daily moments.
 
     The days' means are compared with the common mean, which stays exact for values far from zero.

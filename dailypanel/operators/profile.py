@@ -7,8 +7,9 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dailypanel.fixed import SPEC_ABSENT, SPEC_COMPACT, SPEC_FEET, SPEC_OPEN, SPEC_RANGE, SPEC_UNKNOWN
 from dailypanel.functions import expressions as E
-from dailypanel.operators.lookup import attach
+from dailypanel.operators.lookup import attach, settle
 from dailypanel.operators.quantiles import exact_quantiles
 
 
@@ -109,9 +110,10 @@ def histogram(df: DataFrame, columns: list[str], bins: int, by: list[str] | None
     ends = ends.withColumns(
         {"lo": F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")), "hi": F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi"))}
     ).withColumn("width", (F.col("hi") - F.col("lo")) / bins)
+    ends = settle(ends)
     place = F.floor((F.col("value") - F.col("lo")) / F.col("width"))
     counts = count_by(
-        attach(long, ends, keys).withColumn("bin", F.least(place, F.lit(bins - 1)).cast("int")), keys + ["bin"]
+        attach(long, ends, keys, settled=True).withColumn("bin", F.least(place, F.lit(bins - 1)).cast("int")), keys + ["bin"]
     )
     every = ends.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     return every.join(counts, keys + ["bin"], "left").select(
@@ -191,34 +193,29 @@ def add_value_bands(df: DataFrame, column: str, name: str = "band", ends: tuple
     return df.withColumn(name, E.three_bands(F.col(column), F.lit(low), F.lit(high)))
 
 
-SPEC_TEXT = r"^\s*(\S+) to (\S+)(?: (.*?))?\s*$"
-SPEC_OPEN = r"^\s*([^+]*?)\s*\+\s*(.*?)\s*$"
-FEET = r"^\s*(\d+)\s*'\s*(\d+)\s*\"?\s*$"
-
-
 def spec_columns(text: Column) -> dict[str, Column]:
     """Parts of a measurement text: ``a to b unit``, ``a+ unit``, ``f' i"`` or a bare unit.
 
     Lengths in feet and inches become inches; a missing text or "None or Unspecified" is a length of 0.
     """
-    unknown = text.contains("Unidentified")
-    compact = text.contains("Unidentified (Compact Construction)")
-    absent = text.isNull() | (text == "None or Unspecified")
-    is_range, is_open = text.rlike(SPEC_TEXT), text.contains("+")
-    is_length = text.rlike(FEET)
+    unknown = text.contains(SPEC_UNKNOWN)
+    compact = text.contains(SPEC_COMPACT)
+    absent = text.isNull() | (text == SPEC_ABSENT)
+    is_range, is_open = text.rlike(SPEC_RANGE), text.contains("+")
+    is_length = text.rlike(SPEC_FEET)
 
     def number(pattern: str, group: int) -> Column:
         return F.regexp_extract(text, pattern, group).try_cast("double")
 
-    inches = number(FEET, 1) * 12 + number(FEET, 2)
-    low = F.when(absent, 0.0).when(unknown, None).when(is_range, number(SPEC_TEXT, 1))
+    inches = number(SPEC_FEET, 1) * 12 + number(SPEC_FEET, 2)
+    low = F.when(absent, 0.0).when(unknown, None).when(is_range, number(SPEC_RANGE, 1))
     low = low.when(is_open, number(SPEC_OPEN, 1)).when(is_length, inches)
-    high = F.when(absent, 0.0).when(unknown, None).when(is_range, number(SPEC_TEXT, 2)).when(is_length, inches)
+    high = F.when(absent, 0.0).when(unknown, None).when(is_range, number(SPEC_RANGE, 2)).when(is_length, inches)
     unit = (
         F.when(absent | is_length, "Inches")
-        .when(compact, "Unidentified (Compact Construction)")
-        .when(unknown, "Unidentified")
-        .when(is_range, F.regexp_extract(text, SPEC_TEXT, 3))
+        .when(compact, SPEC_COMPACT)
+        .when(unknown, SPEC_UNKNOWN)
+        .when(is_range, F.regexp_extract(text, SPEC_RANGE, 3))
         .when(is_open, F.regexp_extract(text, SPEC_OPEN, 2))
         .otherwise(text)
     )

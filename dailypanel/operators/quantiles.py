@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dailypanel.operators.lookup import attach
+from dailypanel.operators.lookup import attach, settle
 
 BINS = 2048
 
@@ -27,6 +27,10 @@ def _bin(at: Column, low: Column, high: Column) -> Column:
     return F.coalesce(F.least(F.greatest(step, F.lit(0)), F.lit(BINS - 1)), F.lit(0))
 
 
+def _count(df: DataFrame, keys: list[str]) -> DataFrame:
+    return df.groupBy(*keys).agg(F.count("*").alias("n"))
+
+
 def _holding(counts: DataFrame, wanted: DataFrame, keys: list[str], by: str) -> DataFrame:
     """For each wanted rank the ``by`` cell that holds it; ``base`` is the number of smaller rows there."""
     order = Window.partitionBy(*keys).orderBy(by)
@@ -41,53 +45,51 @@ def _holding(counts: DataFrame, wanted: DataFrame, keys: list[str], by: str) ->
 def exact_quantiles(
     df: DataFrame, columns: list[str], probabilities: list[float], by: list[str] | None = None
 ) -> DataFrame:
-    """Linearly interpolated quantiles as rows (by..., variable, probability, value); nulls are ignored."""
+    """Linearly interpolated quantiles as rows (by..., variable, probability, value).
+
+    Missing values are ignored, and so are rows whose group is missing.
+    """
     by = by or []
-    keys = by + ["variable"]
+    keys = [*by, "variable"]
     numbers = [F.col(c).cast("double").alias(c) for c in columns]
     long = df.select(*by, *numbers).unpivot(by, columns, "variable", "value").filter("value IS NOT NULL")
     long = long.withColumn("at", _scale(F.col("value")))
 
-    ends = long.groupBy(*keys).agg(F.count("*").alias("n"), F.min("at").alias("lo"), F.max("at").alias("hi"))
-    first = attach(long, ends.drop("n"), keys).withColumn("b1", _bin(F.col("at"), F.col("lo"), F.col("hi")))
-
+    ends = settle(
+        long.groupBy(*keys).agg(F.count("*").alias("n"), F.min("at").alias("lo"), F.max("at").alias("hi"))
+    )
     place = F.col("probability") * (F.col("n") - 1)
+    asked = ends.withColumn(
+        "probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
+    ).withColumn("_place", place)
     wanted = (
-        ends.withColumn("probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))
-        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(place), F.ceil(place)))))
+        asked.withColumn("rank", F.explode(F.array(F.floor("_place"), F.ceil("_place"))))
         .select(*keys, "rank", F.lit(0).cast("bigint").alias("base"))
         .distinct()
     )
-    coarse = _holding(first.groupBy(*keys, "b1").agg(F.count("*").alias("n")), wanted, keys, "b1")
 
-    slices = coarse.select(*keys, "b1").distinct()
-    second = attach(first, slices, keys + ["b1"])
-    inner = second.groupBy(*keys, "b1").agg(F.min("at").alias("lo2"), F.max("at").alias("hi2"))
-    second = attach(second, inner, keys + ["b1"]).withColumn(
-        "b2", _bin(F.col("at"), F.col("lo2"), F.col("hi2"))
-    )
-    fine = _holding(
-        second.groupBy(*keys, "b1", "b2").agg(F.count("*").alias("n")), coarse, keys + ["b1"], "b2"
-    )
+    low, high = F.col("lo"), F.col("hi")
+    first = attach(long, ends.drop("n"), keys, settled=True).withColumn("b1", _bin(F.col("at"), low, high))
+    coarse = settle(_holding(_count(first, [*keys, "b1"]), wanted, keys, "b1"))
 
-    thin = fine.select(*keys, "b1", "b2").distinct()
-    values = attach(second, thin, keys + ["b1", "b2"]).groupBy(*keys, "b1", "b2", "value").agg(
-        F.count("*").alias("n")
+    step = (high - low) / BINS
+    second = attach(first, coarse.select(*keys, "b1").distinct(), [*keys, "b1"]).withColumn(
+        "b2", _bin(F.col("at"), low + F.col("b1") * step, low + (F.col("b1") + 1) * step)
     )
-    found = _holding(values, fine, keys + ["b1", "b2"], "value").select(*keys, "rank", "value")
-
-    asked = ends.withColumn(
-        "probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
-    ).select(*keys, "probability", place.alias("_place"))
-    low = found.select(*keys, F.col("rank").alias("_lo"), F.col("value").alias("_low"))
-    high = found.select(*keys, F.col("rank").alias("_hi"), F.col("value").alias("_high"))
-    return (
-        asked.withColumns({"_lo": F.floor("_place"), "_hi": F.ceil("_place")})
-        .join(low, keys + ["_lo"])
-        .join(high, keys + ["_hi"])
-        .select(
-            *keys,
-            "probability",
-            (F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_place") - F.col("_lo"))).alias("value"),
-        )
+    fine = settle(_holding(_count(second, [*keys, "b1", "b2"]), coarse, [*keys, "b1"], "b2"))
+
+    thin = attach(second, fine.select(*keys, "b1", "b2").distinct(), [*keys, "b1", "b2"])
+    values = _count(thin, [*keys, "b1", "b2", "value"])
+    found = _holding(values, fine, [*keys, "b1", "b2"], "value").select(*keys, "rank", "value")
+
+    ranks = F.array_distinct(F.array(F.floor("_place"), F.ceil("_place")))
+    ends_of = (
+        asked.select(*keys, "probability", "_place", F.explode(ranks).alias("rank"))
+        .join(found, [*keys, "rank"])
+        .groupBy(*keys, "probability", "_place")
+        .agg(F.min("value").alias("_low"), F.max("value").alias("_high"))
+    )
+    share = F.col("_place") - F.floor("_place")
+    return ends_of.select(
+        *keys, "probability", (F.col("_low") + (F.col("_high") - F.col("_low")) * share).alias("value")
     )

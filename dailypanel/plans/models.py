@@ -6,7 +6,7 @@ trees and metrics reach the driver.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, Transformer
+from pyspark.ml import Transformer
 from pyspark.ml import classification as C
 from pyspark.ml import regression as R
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
@@ -131,7 +131,7 @@ def grid_search(
         RegressionEvaluator(metricName=metric) if regression else MulticlassClassificationEvaluator(metricName=metric)
     )
     search = CrossValidator(
-        estimator=Pipeline(stages=[estimator]),
+        estimator=estimator,
         estimatorParamMaps=combinations,
         evaluator=evaluator,
         numFolds=folds,

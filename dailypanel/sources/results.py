@@ -6,11 +6,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dailypanel.fixed import BASE_DATE
 from dailypanel.functions.wide import over, with_exprs
 
-BASE_DATE = "2023-01-01"
-
-
 def write_panel(panel: DataFrame, path: str) -> None:
     """Partitioned by month; rows of an entity lie together inside a file."""
     dated = panel.withColumn("panel_month", F.date_trunc("month", "date").cast("date"))
