@@ -16,6 +16,11 @@ def with_exprs(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
     return df.selectExpr(*kept, *[f"{e} AS `{c}`" for c, e in exprs.items() if c not in names])
 
 
+def literal(text: str) -> str:
+    """A text as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def over(by: str = "entity", order: str | None = None, frame: str | None = None) -> str:
     """Text of a window."""
     parts = [f"PARTITION BY {by}"]

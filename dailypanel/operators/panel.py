@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from dailypanel.catalog import Catalog
 from dailypanel.fixed import SLIDE_DAYS, TODS
 from dailypanel.functions import expressions as E
-from dailypanel.functions.wide import over, with_exprs
+from dailypanel.functions.wide import literal, over, with_exprs
 from dailypanel.operators.lookup import settle
 
 
@@ -47,7 +47,7 @@ def reading_stats(readings: DataFrame, catalog: Catalog, grains=("daily",)) -> D
 
 
 def _pick(variable: str, stat: str, extra: str = "") -> str:
-    return f"max(CASE WHEN variable = '{variable}' {extra} THEN `{stat}` END)"
+    return f"max(CASE WHEN variable = {literal(variable)} {extra} THEN `{stat}` END)"
 
 
 def _by_day(stats: DataFrame, picks: dict[str, str]) -> DataFrame:
@@ -69,7 +69,7 @@ def _fill_days(by_day: DataFrame, columns: list[str]) -> DataFrame:
 
 def _daily_base(stats: DataFrame, catalog: Catalog) -> DataFrame:
     """Dense days with picked statistics and the moments that later steps combine."""
-    awake = "".join(f" AND variable <> '{v}'" for v in catalog.static)
+    awake = "".join(f" AND variable <> {literal(v)}" for v in catalog.static)
     picks = {}
     for v in catalog.averaged:
         for stat in ("mean", "max", "min", "first", "last", "n", "var"):

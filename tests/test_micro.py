@@ -17,6 +17,7 @@ from dailypanel.operators import profile as A
 from dailypanel.operators import scale as C
 from dailypanel.operators import sequences as Q
 from dailypanel.operators import split as L
+from dailypanel.plans import ready as R
 from dailypanel.sources.readings import drop_negative, with_time_columns
 
 CAT = Catalog(
@@ -118,6 +119,25 @@ def test_column_order_follows_variable_then_statistic():
     assert names.index("activity_sum_daily") < names.index("activity_max_daily")
 
 
+def test_dotted_variables_and_usage_columns(spark):
+    catalog = Catalog(
+        averaged=("mood", "c.valence", "c.arousal"),
+        summed=("call", "it's"),
+        signed=("c.valence", "c.arousal"),
+        usage=("call", "it's"),
+        valence="c.valence",
+        arousal="c.arousal",
+    )
+    rows = [
+        (1, f"2024-01-{d:02d} {h:02d}:00:00", v, x)
+        for d, h, v, x in ((1, 9, "mood", 5), (1, 10, "c.valence", 1), (2, 8, "c.arousal", 1), (3, 8, "mood", 7), (3, 9, "it's", 4), (3, 23, "mood", 7))
+    ]
+    panel = R.ready_panel(readings(spark, rows), catalog).orderBy("date").collect()
+    assert [r["target"] for r in panel] == [6.0, 7.0]
+    assert [(r["call_sum_daily"], r["it's_sum_daily"]) for r in panel] == [(0.0, 0.0), (0.0, 0.0)]
+    assert panel[0]["quadrant_daily_1"] == 1
+
+
 def test_trim(spark):
     panel = series(spark, [None, 1, None, 2, None]).unionByName(series(spark, [None, None], entity=2))
     kept = P.trim_observed_span(panel, "x").orderBy("date").collect()
