@@ -42,3 +42,27 @@ SPEC_FEET = r"^\s*(\d+)\s*'\s*(\d+)\s*\"?\s*$"
 SPEC_UNKNOWN = "Unidentified"
 SPEC_COMPACT = "Unidentified (Compact Construction)"
 SPEC_ABSENT = "None or Unspecified"
+
+# Tuning grids by model. alpha and l1_ratio are penalties of the usual per-row objectives.
+REGRESSION_GRIDS = {
+    "linear": {},
+    "ridge": {"alpha": [0.01, 0.1, 0.5, 1.0, 5.0, 10.0, 50.0, 100.0]},
+    "lasso": {"alpha": [0.00001, 0.0001, 0.001, 0.01, 0.05, 0.1, 0.5, 1.0]},
+    "elastic_net": {
+        "alpha": [0.00001, 0.0001, 0.001, 0.01, 0.05, 0.1, 0.5],
+        "l1_ratio": [0.1, 0.3, 0.5, 0.7, 0.9],
+    },
+    "tree": {"maxDepth": [2, 3, 4, 5], "minInstancesPerNode": [1, 2, 4]},
+    "forest": {"numTrees": [50, 100, 200], "maxDepth": [3, 4, 5], "minInstancesPerNode": [1, 2, 4]},
+    "boosted": {
+        "maxIter": [50, 100, 200],
+        "stepSize": [0.01, 0.05, 0.1],
+        "maxDepth": [2, 3, 4],
+        "subsamplingRate": [0.8, 0.9, 1.0],
+    },
+}
+CLASSIFICATION_GRIDS = {
+    "logistic": {"C": [0.01, 0.1, 1.0, 10.0]},
+    "tree": {"maxDepth": [2, 3, 4, 5], "minInstancesPerNode": [1, 2, 4]},
+    "forest": {"numTrees": [50, 100, 200], "maxDepth": [3, 4, 5], "minInstancesPerNode": [1, 2, 4]},
+}

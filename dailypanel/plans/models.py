@@ -15,9 +15,10 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dailypanel.fixed import CLASSIFICATION_GRIDS, REGRESSION_GRIDS
 from dailypanel.functions.expressions import hash_fraction
 from dailypanel.operators.correlate import top_correlated
-from dailypanel.operators.evaluate import regression_metrics
+from dailypanel.operators.evaluate import classification_metrics, confusion_matrix, regression_metrics
 
 SEED = 42
 
@@ -45,18 +46,24 @@ def linear_regression() -> R.LinearRegression:
     return R.LinearRegression(regParam=0.0, standardization=False)
 
 
+def _ridge_strength(alpha: float, spread: float, n: int) -> tuple[float, float]:
+    return alpha * spread / n, 0.0
+
+
+def _net_strength(alpha: float, l1_ratio: float, spread: float) -> tuple[float, float]:
+    l1, l2 = alpha * l1_ratio, alpha * (1 - l1_ratio)
+    strength = l1 + l2 * spread
+    return strength, l1 / strength if strength else 0.0
+
+
 def ridge(train: DataFrame, alpha: float) -> R.LinearRegression:
     """Squared error sum + alpha * squared norm. Spark divides by n and by the label's spread."""
-    spread, n = _label_spread(train)
-    return _penalised(alpha * spread / n, 0.0)
+    return _penalised(*_ridge_strength(alpha, *_label_spread(train)))
 
 
 def elastic_net(train: DataFrame, alpha: float, l1_ratio: float) -> R.LinearRegression:
     """Half mean squared error + alpha * (ratio * l1 + (1 - ratio)/2 * l2); ratio 1 is the lasso."""
-    spread, _ = _label_spread(train)
-    l1, l2 = alpha * l1_ratio, alpha * (1 - l1_ratio)
-    strength = l1 + l2 * spread
-    return _penalised(strength, l1 / strength if strength else 0.0)
+    return _penalised(*_net_strength(alpha, l1_ratio, _label_spread(train)[0]))
 
 
 def _penalised(strength: float, ratio: float) -> R.LinearRegression:
@@ -115,6 +122,23 @@ def with_folds(df: DataFrame, folds: int = 3) -> DataFrame:
     return df.withColumn("fold", F.floor(hash_fraction(day) * folds).cast("int"))
 
 
+def _is_regression(metric: str) -> bool:
+    return metric in ("rmse", "mse", "r2", "mae")
+
+
+def _search(rows: DataFrame, estimator, combinations: list[dict], metric: str, folds: int, parallelism: int):
+    """Cross-validate parameter combinations over the column ``fold``."""
+    evaluator = RegressionEvaluator if _is_regression(metric) else MulticlassClassificationEvaluator
+    return CrossValidator(
+        estimator=estimator,
+        estimatorParamMaps=combinations,
+        evaluator=evaluator(metricName=metric),
+        numFolds=folds,
+        foldCol="fold",
+        parallelism=parallelism,
+    ).fit(rows)
+
+
 def grid_search(
     rows: DataFrame, estimator, grid: dict[str, list], metric: str, folds: int = 3, parallelism: int = 4
 ) -> DataFrame:
@@ -122,30 +146,59 @@ def grid_search(
 
     ``rows`` needs the column ``fold``. Metrics of classifiers are those of the multiclass evaluator.
     """
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(estimator.getParam(name), values)
-    combinations = builder.build()
-    regression = metric in ("rmse", "mse", "r2", "mae")
-    evaluator = (
-        RegressionEvaluator(metricName=metric) if regression else MulticlassClassificationEvaluator(metricName=metric)
-    )
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=combinations,
-        evaluator=evaluator,
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    best = search.fit(rows)
+    combinations = combined(estimator, grid)
+    found = _search(rows, estimator, combinations, metric, folds, parallelism)
     settings = [
         (i, ", ".join(f"{p.name}={v}" for p, v in sorted(c.items(), key=lambda kv: kv[0].name)), metric, float(m))
-        for i, (c, m) in enumerate(zip(combinations, best.avgMetrics))
+        for i, (c, m) in enumerate(zip(combinations, found.avgMetrics))
     ]
     return rows.sparkSession.createDataFrame(settings, "trial int, setting string, metric string, score double")
 
 
+def combined(estimator, grid: dict[str, list]) -> list[dict]:
+    """Every combination of a grid of Spark parameters."""
+    builder = ParamGridBuilder()
+    for name, values in grid.items():
+        builder = builder.addGrid(estimator.getParam(name), values)
+    return builder.build()
+
+
+def penalty_combinations(name: str, train: DataFrame, grid: dict[str, list]) -> list[dict]:
+    """Combinations of the penalty grids in Spark's parameters."""
+    if name == "logistic":
+        n = train.count()
+        model = classifiers()[name]
+        return [{model.regParam: 1.0 / (c * n)} for c in grid["C"]]
+    estimator, spread_n = R.LinearRegression, _label_spread(train)
+    settings = []
+    for alpha in grid["alpha"]:
+        if name == "ridge":
+            settings.append(_ridge_strength(alpha, *spread_n))
+        else:
+            ratios = grid.get("l1_ratio", [1.0])
+            settings += [_net_strength(alpha, ratio, spread_n[0]) for ratio in ratios]
+    return [{estimator.regParam: strength, estimator.elasticNetParam: ratio} for strength, ratio in settings]
+
+
+def tuned_model(
+    name: str, rows: DataFrame, metric: str = "r2", grid: dict | None = None, folds: int = 3, parallelism: int = 4
+):
+    """Best model of a tuning grid, fitted on all ``rows``; a model without a grid is just fitted."""
+    regression = _is_regression(metric)
+    grid = grid if grid is not None else (REGRESSION_GRIDS if regression else CLASSIFICATION_GRIDS).get(name, {})
+    estimator = (regressors(rows) if regression else classifiers())[name]
+    if not grid:
+        return estimator.fit(rows)
+    penalised = "alpha" in grid or "C" in grid
+    if penalised:
+        combinations = [
+            {estimator.getParam(p.name): v for p, v in c.items()} for c in penalty_combinations(name, rows, grid)
+        ]
+    else:
+        combinations = combined(estimator, grid)
+    return _search(rows, estimator, combinations, metric, folds, parallelism).bestModel
+
+
 def learning_curve(rows: DataFrame, estimator, shares: list[float], folds: int = 3) -> DataFrame:
     """Train and test RMSE, mean and population deviation over folds, by share of the training rows.
 
@@ -179,14 +232,41 @@ def feature_sets(
 def experiment_grid(
     df: DataFrame, features: list[str], target: str, baseline: str, top: int, models: list[str] | None = None
 ) -> DataFrame:
-    """Metrics of every model on every feature set and part of the split."""
+    """Regression metrics of every model on every feature set and part of the split."""
+
+    def score(rows: DataFrame, name: str) -> DataFrame:
+        estimator = regressors(rows.filter("split = 'train'"))[name]
+        return regression_metrics(fit_predict(estimator, rows), ["split"])
+
+    names = models or list(REGRESSION_GRIDS)
+    return _over_feature_sets(df, features, target, baseline, top, names, score)
+
+
+def class_experiment_grid(
+    df: DataFrame,
+    features: list[str],
+    target: str,
+    classes: list[float],
+    baseline: str,
+    top: int,
+    models: list[str] | None = None,
+) -> DataFrame:
+    """Accuracy and weighted precision, recall and F1 of every classifier, feature set and part of the split."""
+
+    def score(rows: DataFrame, name: str) -> DataFrame:
+        matrix = confusion_matrix(fit_predict(classifiers()[name], rows), classes, ["split"])
+        return classification_metrics(matrix, ["split"])
+
+    names = models or list(classifiers())
+    return _over_feature_sets(df, features, target, baseline, top, names, score)
+
+
+def _over_feature_sets(df, features, target, baseline, top, names, score) -> DataFrame:
     results = None
     for approach, chosen in feature_sets(df.filter("split = 'train'"), features, target, baseline, top).items():
         rows = assembled(df, chosen, target)
-        available = regressors(rows.filter("split = 'train'"))
-        for name in models or list(available):
-            metrics = regression_metrics(fit_predict(available[name], rows), ["split"])
-            labelled = metrics.withColumns({"approach": F.lit(approach), "model": F.lit(name)})
+        for name in names:
+            labelled = score(rows, name).withColumns({"approach": F.lit(approach), "model": F.lit(name)})
             results = labelled if results is None else results.unionByName(labelled)
     return results
 

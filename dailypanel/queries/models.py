@@ -7,6 +7,7 @@ from pyspark.ml import regression as R
 from pyspark.sql import functions as F
 
 from dailypanel.operators import evaluate as V
+from dailypanel.operators.correlate import target_correlation
 from dailypanel.operators.lookup import settle
 from dailypanel.operators.scale import scale_by_entity
 from dailypanel.operators.split import chrono_split, group_hash_split
@@ -93,8 +94,47 @@ def experiment_grid(spark, sf):
     return tidy(M.experiment_grid(rows, FEATURES, "target", "mood_mean_daily", 5, ["linear", "ridge", "tree"]))
 
 
-@query("grouped_importance")
+@query("class_experiment_grid")
+def class_experiment_grid(spark, sf):
+    rows = M.class_labels(scaled_rows(spark, sf, "categorical_target", "minmax"))
+    return tidy(
+        M.class_experiment_grid(
+            rows, FEATURES, "class_label", [0.0, 1.0, 2.0], "mood_mean_daily", 5, ["logistic", "tree"]
+        )
+    )
+
+
+@query("tuned_ridge")
+def tuned_ridge(spark, sf):
+    """Penalty chosen by cross-validation on the training part, metrics of all parts."""
+    rows = M.assembled(M.with_folds(scaled_rows(spark, sf)), FEATURES, "target")
+    model = M.tuned_model("ridge", rows.filter("split = 'train'"), grid={"alpha": [0.1, 10.0, 100.0]})
+    return tidy(V.regression_metrics(M.predicted(model, rows), ["split"]))
+
+
+_SQUARES = "t AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, pow(corr({c}, target), 2) AS importance FROM ready" for c in FEATURES
+) + ")"
+
+
+@query(
+    "grouped_importance",
+    f"""{S.upto('ready', _SQUARES)},
+    g AS (SELECT CASE WHEN starts_with(feature, 'change_') THEN 'change' WHEN starts_with(feature, 'ewma7_') THEN 'ewma7'
+      ELSE feature END AS source, sum(importance) AS importance FROM t GROUP BY 1),
+    k AS (SELECT *, row_number() OVER (ORDER BY importance DESC, source) AS k FROM g)
+    SELECT CASE WHEN k <= 6 THEN source ELSE 'Other' END AS source, {r('sum(importance)')} AS importance FROM k GROUP BY 1""",
+)
 def grouped_importance(spark, sf):
+    """Squared correlations as importances, added up by the family a feature belongs to."""
+    found = target_correlation(ready(spark, sf), FEATURES, "target").select(
+        F.col("variable").alias("feature"), (F.col("r") * F.col("r")).alias("importance")
+    )
+    return tidy(V.grouped_importance(found, ["change", "ewma7"], 6))
+
+
+@query("forest_importance")
+def forest_importance(spark, sf):
     """Forest importances added up by the column a feature was derived from."""
     rows = M.assembled(scaled_rows(spark, sf), FEATURES, "target").filter("split = 'train'")
     model = R.RandomForestRegressor(numTrees=20, maxDepth=5, seed=M.SEED).fit(rows)

@@ -73,6 +73,19 @@ def test_every_model_fits(spark, data):
         assert (predicted["actual"] == predicted["predicted"]).mean() > 0.5, name
 
 
+@pytest.mark.parametrize("name,metric", [("ridge", "r2"), ("elastic_net", "mse"), ("linear", "r2"), ("logistic", "accuracy")])
+def test_tuning(spark, data, name, metric):
+    x, y = data
+    folded = M.with_folds(rows(spark, x, y if metric != "accuracy" else (y > 4).astype(float)))
+    small = {"ridge": {"alpha": [0.1, 1e5]}, "elastic_net": {"alpha": [0.001, 5.0], "l1_ratio": [0.5]}, "logistic": {"C": [1e-6, 1.0]}}
+    model = M.tuned_model(name, folded, metric, grid=small.get(name))
+    scored = M.predicted(model, folded)
+    if metric == "accuracy":
+        assert scored.filter("actual = predicted").count() > 240
+    else:
+        assert regression_metrics(scored, []).first()["r2"] > 0.8
+
+
 def test_folds_and_search(spark, data):
     folded = M.with_folds(rows(spark, *data))
     assert {r["fold"] for r in folded.select("fold").distinct().collect()} == {0, 1, 2}
