@@ -13,15 +13,19 @@ from pyspark.sql import functions as F
 from dailypanel.operators.lookup import attach
 
 
+# A spread below this share of the center is a constant column: smoothing keeps one constant only to rounding.
+CONSTANT_SHARE = 1e-12
+
+
 def _center_scale(column: Column, kind: str, over=lambda c: c) -> tuple[Column, Column]:
-    """Center and spread; a zero spread divides by 1."""
+    """Center and spread; a constant column divides by 1."""
     if kind == "standard":
         center, spread = over(F.avg(column)), over(F.stddev_pop(column))
     elif kind == "minmax":
         center, spread = over(F.min(column)), over(F.max(column)) - over(F.min(column))
     else:
         raise ValueError(f"unknown kind of scaling: {kind}")
-    return center, F.when(spread == 0, 1.0).otherwise(spread)
+    return center, F.when(spread <= F.abs(center) * CONSTANT_SHARE, 1.0).otherwise(spread)
 
 
 def _train(name: str) -> Column:

@@ -137,7 +137,7 @@ def scaled_sql(columns, kind: str, by: str = "PARTITION BY entity", show=r) -> s
         else:
             center, spread = f"min({x}) OVER ({by})", f"(max({x}) OVER ({by}) - min({x}) OVER ({by}))"
         parts.append(
-            show(f"({c} - {center}) / CASE WHEN {spread} = 0 THEN 1 ELSE {spread} END") + f" AS {c}"
+            show(f"({c} - {center}) / CASE WHEN {spread} <= abs({center}) * 1e-12 THEN 1 ELSE {spread} END") + f" AS {c}"
         )
     return ", ".join(parts)
 
@@ -164,7 +164,7 @@ _scale_query("scale_target", SCALED + ["target"], "standard", True, cut(), split
 @query(
     "inverse_scale",
     f"""{S.upto('ready', cut())},
-    p AS (SELECT entity, avg(target) AS m, CASE WHEN stddev_pop(target) = 0 THEN 1 ELSE stddev_pop(target) END AS s
+    p AS (SELECT entity, avg(target) AS m, CASE WHEN stddev_pop(target) <= abs(avg(target)) * 1e-12 THEN 1 ELSE stddev_pop(target) END AS s
           FROM cut WHERE split = 'train' GROUP BY entity)
     SELECT entity, {D}, {r('(target - m) / s')} AS scaled_actual, {r('(mood_mean_daily - m) / s')} AS scaled_predicted,
       {r('target')} AS actual, {r('mood_mean_daily')} AS predicted FROM cut JOIN p USING (entity)""",

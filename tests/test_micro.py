@@ -225,6 +225,12 @@ def test_standard_scale_of_a_constant(spark):
     assert column(C.scale_by_entity(df, ["x"])) == [0, 0, 0]
 
 
+def test_a_column_constant_to_rounding_is_constant(spark):
+    df = series(spark, [0.1 + 0.2, 0.3, 0.3]).withColumn("split", F.lit("train"))
+    for kind in ("standard", "minmax"):
+        assert column(C.scale_by_entity(df, ["x"], kind)) == pytest.approx([0, 0, 0], abs=1e-12)
+
+
 def test_scaling_leaves_unseen_entities(spark):
     df = series(spark, [1, 3]).withColumn("split", F.lit("train")).unionByName(
         series(spark, [7], entity=2).withColumn("split", F.lit("test"))

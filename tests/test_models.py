@@ -18,7 +18,7 @@ def data():
 
 def rows(spark, x, y):
     listed = [(i, "train" if i % 4 else "test", float(a), float(b), float(t)) for i, ((a, b), t) in enumerate(zip(x, y))]
-    df = spark.createDataFrame(listed, "entity bigint, split string, a double, b double, y double")
+    df = spark.createDataFrame(listed, "entity bigint, split string, a double, b double, y double").coalesce(2)
     return M.assembled(df.selectExpr("*", "date_add(DATE '2024-01-01', CAST(entity % 30 AS INT)) AS date"), FEATURES, "y")
 
 
