@@ -141,8 +141,11 @@ def classification_metrics(confusion: DataFrame, by: list[str] | None = None) ->
 
 
 def classification_report(confusion: DataFrame) -> DataFrame:
-    """One row per class and one each for the plain and the weighted average."""
-    rated = _per_class(confusion, [])
+    """One row per class and one each for the plain and the weighted average.
+
+    The rates are written once (a row per class), so the predictions behind them are read once.
+    """
+    rated = settle(_per_class(confusion, []))
     classes = rated.select(F.col("class").cast("string").alias("class"), *SCORES, "support")
     macro = rated.agg(*[F.avg(s).alias(s) for s in SCORES], F.sum("support").alias("support"))
     weighted = rated.agg(*[_weighted(s).alias(s) for s in SCORES], F.sum("support").alias("support"))
@@ -181,7 +184,8 @@ def melt(results: DataFrame, keys: list[str], scores: list[str]) -> DataFrame:
 
 
 def best_per_group(results: DataFrame, by: list[str], score: str) -> DataFrame:
-    """Rows with the highest score of their group; ties are kept."""
+    """Rows with the highest score of their group; ties are kept. The results are written once."""
+    results = settle(results)
     best = results.groupBy(*by).agg(F.max(score).alias(score))
     return results.join(best, [*by, score])
 
@@ -214,7 +218,7 @@ def grouped_importance(importances: DataFrame, sources: list[str], top: int = 10
     source = F.coalesce(
         *[F.when(F.col("feature").startswith(f"{s}_"), s) for s in sources], F.col("feature")
     )
-    summed = importances.groupBy(source.alias("source")).agg(F.sum("importance").alias("importance"))
+    summed = settle(importances.groupBy(source.alias("source")).agg(F.sum("importance").alias("importance")))
     best = summed.orderBy(F.desc("importance"), "source").limit(top)
     kept = best.select("source", F.lit(True).alias("_kept"))
     label = F.when(F.col("_kept"), F.col("source")).otherwise("Other")
