@@ -11,9 +11,9 @@ from dailypanel.sources import readings as S
 from dailypanel.sources import results as O
 
 CSV = """,id,time,variable,value
-1,AS14.01,2014-02-26 13:00:00.000,mood,6.0
-2,AS14.01,2014-02-26 15:00:00.000,mood,NA
-3,AS14.12,2014-02-27 03:30:00.000,circumplex.valence,-1.0
+1,user.01,2014-02-26 13:00:00.000,mood,6.0
+2,user.01,2014-02-26 15:00:00.000,mood,NA
+3,user.12,2014-02-27 03:30:00.000,circumplex.valence,-1.0
 4,broken,2014-02-27 18:00:00.000,screen,2.5
 """
 
