@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dailypanel.llm import lines, mixing, ngram_join, pieces, rules
+from dailypanel.llm import licenses, lines, mixing, ngram_join, page_text, pieces, rules
 from dailypanel.llm.common import read, sha256_hex, whole
 
 QUERIES, ORACLES = {}, {}
@@ -95,3 +95,24 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, name = mixing.mix(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     m = F.col(name)
     return out.select("doc_id", m["size"].alias("size"), m["source_size"].alias("source_size"), F.round(m["target"], 4).alias("target"), m["taken"].alias("taken"))
+
+
+@query()
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, name = page_text.extract_pages(read(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", F.col(name).alias("text"), F.length(name).cast("long").alias("n_chars"))
+
+
+LICENSES_SQL = """
+SELECT doc_id, len(w)::BIGINT AS n_words, len(p)::BIGINT AS n_base, list_min(p) - 1 AS first_word, list_max(p) - 1 AS last_word,
+  array_to_string(list_sort(list_distinct(list_transform(p, lambda x: CASE WHEN w[x] = 'mit' THEN 'mit' WHEN w[x] = 'apache' THEN 'apache' ELSE 'gpl' END))), ',') AS base_labels
+FROM (SELECT doc_id, w, list_filter(generate_series(1, len(w)), lambda i: (w[i] = 'mit' AND w[i + 1] = 'license') OR (w[i] = 'apache' AND w[i + 1] = 'license')
+    OR (w[i] = 'general' AND w[i + 1] = 'public' AND w[i + 2] = 'license')) AS p
+  FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents))
+"""
+
+
+@query()
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, name = licenses.scan_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", f"{name}.*")
