@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +24,35 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors' Python, once per application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if getattr(context, "dailypanel_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="dailypanel-")) / "dailypanel_code.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context.dailypanel_shipped = True
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder, so that several readers don't compute it again."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 
+def scratch_table(df: DataFrame) -> DataFrame:
+    """``df`` as a parquet table in the shared checkpoint folder: readers of a few columns read only these."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, or a longer form of it that no column of ``df`` has (names are compared without case)."""
     taken = {c.lower() for c in df.columns}

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dailypanel.llm.common import free_name, whole
+from dailypanel.llm.common import free_name, ship, whole
 
 #: Phrases that name a license by themselves.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -217,5 +217,6 @@ def scan_documents(docs: DataFrame, templates: dict[str, str] | None = None, bas
     """``docs`` with one struct column (its name is returned) of SCHEMA's fields.
 
     Null texts count as empty: no words, no labels, score 0. Other columns stay as they are; repeated rows are scanned alike."""
+    ship(docs.sparkSession)
     name = free_name(docs, "license")
     return docs.withColumn(name, scan_column(whole(F.col("text")), templates, base)), name

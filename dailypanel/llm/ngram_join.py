@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dailypanel.llm.common import mix64, settle, shingle_hashes, slices, split_words, text_key, whole, word_hashes
+from dailypanel.llm.common import mix64, settle, shingle_hashes, ship, slices, split_words, text_key, whole, word_hashes
 from dailypanel.llm.components import components
 
 WORDS, LIKE = 5, 0.8
@@ -146,6 +146,7 @@ def join_ngrams(docs: DataFrame, words: int = WORDS, like: float = LIKE, recall:
 
     Null texts count as empty. Texts without words have no links. Texts of fewer words than the n-gram are one n-gram. A document without
     doc_id has a number of its text's hash, above 2^62, as its id here. Repeated rows are copies. Empty in, empty out."""
+    ship(docs.sparkSession)
     bands, rows = banding(like, recall)
     text = whole(F.col("text"))
     node = F.coalesce(F.col("doc_id").cast("long"), nameless(text))

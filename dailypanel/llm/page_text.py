@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dailypanel.llm.common import free_name, whole
+from dailypanel.llm.common import free_name, ship, whole
 
 #: Pages that teach the model, at most about.
 SAMPLE_PAGES = 2_000
@@ -346,6 +346,7 @@ def extract_pages(pages: DataFrame, model: Model | None = None) -> tuple[DataFra
 
     Null and empty pages give an empty text, so do pages without content; broken markup is mended; character references become their
     characters; repeated rows are treated alike; other columns stay as they are."""
+    ship(pages.sparkSession)
     model = model or train(pages)
     name = free_name(pages, "text")
 

@@ -18,7 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dailypanel.llm.common import free_name, whole
+from dailypanel.llm.common import free_name, ship, whole
 
 SPACE = "▁"
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -314,6 +314,7 @@ def encode_documents(docs: DataFrame, model_file: str) -> tuple[DataFrame, str]:
     """``docs`` with one struct column (its name is returned): ids, and whether decoding them gives the text back, byte for byte.
 
     Null texts count as empty ones, which have no ids; repeated rows are encoded alike; other columns stay as they are."""
+    ship(docs.sparkSession)
     pieces = broadcast_pieces(docs.sparkSession, model_file)
     name = free_name(docs, "pieces")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dailypanel.llm import licenses, lines, mixing, ngram_join, page_text, pieces, rules
+from dailypanel.llm import fm_index, licenses, lines, mixing, ngram_join, page_text, pieces, rules
 from dailypanel.llm.common import read, sha256_hex, whole
 
 QUERIES, ORACLES = {}, {}
@@ -116,3 +116,9 @@ FROM (SELECT doc_id, w, list_filter(generate_series(1, len(w)), lambda i: (w[i]
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, name = licenses.scan_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", f"{name}.*")
+
+
+@query()
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fm_index.dedup_substrings(read(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", sha256_hex(F.col("kept")).alias("kept_sha256"))

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dailypanel.llm.common import free_name
+from dailypanel.llm.common import free_name, ship
 
 #: Labelled documents that teach the rules, at most about.
 SAMPLE_ROWS = 20_000
@@ -188,6 +188,7 @@ def judge(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[
 
     Null texts count as empty and fail the base rule; repeated rows are judged alike; without labels only the base rule
     rejects. Other columns stay as they are, whatever their names."""
+    ship(docs.sparkSession)
     rules = learn(labelled(docs, labels, rows))
     name = free_name(docs, "quality_verdict")
     with_stats = docs.withColumn(name, statistics(F.col("text")))
