@@ -25,19 +25,33 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
 
 
-def chunk_ends(lines: str, hashes: str, window: int, every: int) -> str:
-    """SQL for the last line (from 1) of each chunk; ``hashes`` has a hash for each of ``lines``. Rolling hash of line i:
-    the sum of FACTOR^k times the hash of line i-k for k below ``window``, modulo MODULUS."""
-    terms = " + ".join(f"(CASE WHEN i > {k} THEN {hashes}[i - 1 - {k}] * {FACTOR ** k}L ELSE 0L END)" for k in range(window))
-    return f"filter(sequence(1, size({lines})), i -> i = size({lines}) OR (({terms}) % {MODULUS}L) % {every} = 0)"
+def _plus(factor: int):
+    return lambda a, b: a + b * F.lit(factor).cast("long")
 
 
-def chunked(docs: DataFrame, window: int = WINDOW, every: int = EVERY) -> DataFrame:
-    """doc_id, mark (tells texts of one doc_id apart), chunks: the text's chunks, each an array of lines."""
-    cut = docs.select("doc_id", F.xxhash64("text").alias("mark"), lines_of(F.col("text")).alias("lines"))
-    cut = cut.withColumn("hashes", F.transform("lines", line_hash))
-    cut = cut.withColumn("ends", F.expr(chunk_ends("lines", "hashes", window, every)))
-    return cut.select("doc_id", "mark", F.expr("transform(ends, (e, k) -> slice(lines, if(k = 0, 1, ends[k - 1] + 1), e - if(k = 0, 0, ends[k - 1])))").alias("chunks"))
+def chunks_of(text: Column, window: int = WINDOW, every: int = EVERY) -> Column:
+    """The text's chunks in order, as strings of coded lines. Rolling hash of line i: the sum of FACTOR^k times the hash of line i - k for k
+    below ``window``, modulo MODULUS; lines before the first count as 0.
+
+    A coded line begins with an x, so two line ends in a row stand between chunks only. Every step goes over the arrays once, without
+    looking up elements, because Spark would compute an array anew for each look-up."""
+    lines = lines_of(text)
+    hashes = F.transform(lines, line_hash)
+    rolled = hashes
+    for k in range(1, window):
+        before = F.slice(F.concat(F.array_repeat(F.lit(0).cast("long"), k), hashes), F.lit(1), F.size(hashes))
+        rolled = F.zip_with(rolled, before, _plus(FACTOR ** k))
+    coded = F.zip_with(lines, rolled, lambda line, r: F.concat(F.lit("x"), line, F.when(r % F.lit(MODULUS).cast("long") % every == 0, "\n").otherwise("")))
+    return F.split(F.rtrim(F.array_join(coded, "\n"), F.lit("\n")), "\n\n", -1)
+
+
+def decoded(chunk: Column) -> Column:
+    """The lines of a chunk, or of chunks joined by line ends, as they were."""
+    return F.replace(F.substring(chunk, 2, 2 ** 31 - 1), F.lit("\nx"), F.lit("\n"))
+
+
+def line_count(chunk: Column) -> Column:
+    return F.length(chunk) - F.length(F.replace(chunk, F.lit("\n"), F.lit(""))) + 1
 
 
 def repeated(docs: DataFrame, window: int = WINDOW, every: int = EVERY, min_lines: int = 2) -> DataFrame:
@@ -46,8 +60,8 @@ def repeated(docs: DataFrame, window: int = WINDOW, every: int = EVERY, min_line
     Chunk hashes are counted first, without texts. The chunks of repeated hashes are then grouped by their bytes, so equal hashes
     of different chunks don't count. The first of equal chunks, by doc_id (null last) and position, stays; rows
     that share a doc_id and position share the place, so none of them is removed."""
-    chunks = chunked(docs, window, every).select("doc_id", "mark", F.posexplode("chunks").alias("pos", "body"))
-    chunks = chunks.filter(F.size("body") >= min_lines).withColumn("body", F.array_join("body", "\n")).filter(F.col("body").rlike(r"[^\x20\x09-\x0D]"))
+    chunks = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(chunks_of(F.col("text"), window, every)).alias("pos", "body"))
+    chunks = chunks.filter((line_count(F.col("body")) >= min_lines) & decoded(F.col("body")).rlike(r"[^\x20\x09-\x0D]"))
     last = F.lit("9223372036854775807").cast("decimal(20,0)")
     place = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), last) * F.lit(1_000_000_000).cast("decimal(10,0)") + F.col("pos")
     chunks = chunks.select("doc_id", "mark", "pos", "body", place.alias("place"), F.xxhash64("body").alias("h"))
@@ -68,13 +82,11 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, every: int = EVERY, min_l
     name = free_name(docs, "line_dedup")
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.col("gone").alias("__gone"))
     both = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__mark")), "left")
-    cut = both.withColumn("__lines", lines_of(F.col("text"))).withColumn("__hashes", F.transform("__lines", line_hash))
-    cut = cut.withColumn("__ends", F.expr(chunk_ends("__lines", "__hashes", window, every)))
-    cut = cut.withColumn("__gone", F.coalesce("__gone", F.array().cast("array<int>")))
-    removed = "aggregate(__gone, 0, (n, k) -> n + __ends[k] - if(k = 0, 0, __ends[k - 1]))"
-    left = ("flatten(transform(filter(sequence(0, size(__ends) - 1), k -> NOT array_contains(__gone, k)), "
-            "k -> slice(__lines, if(k = 0, 1, __ends[k - 1] + 1), __ends[k] - if(k = 0, 0, __ends[k - 1]))))")
-    cut = cut.withColumn("text", F.when(F.size("__gone") == 0, whole(F.col("text"))).otherwise(F.array_join(F.expr(left), "\n")))
-    cut = cut.withColumn(name, F.struct(F.size("__lines").cast("long").alias("n_lines"), F.size("__ends").cast("long").alias("n_chunks"),
-                                        F.expr(removed).cast("long").alias("n_removed")))
+    cut = both.withColumn("__chunks", chunks_of(F.col("text"), window, every)).withColumn("__gone", F.coalesce("__gone", F.array().cast("array<int>")))
+    left = F.filter("__chunks", lambda chunk, k: ~F.array_contains("__gone", k))
+    n_lines = lambda chunks: F.aggregate(chunks, F.lit(0), lambda n, chunk: n + line_count(chunk))
+    some = F.size("__gone") > 0
+    cut = cut.withColumn(name, F.struct(F.size(lines_of(F.col("text"))).cast("long").alias("n_lines"), F.size("__chunks").cast("long").alias("n_chunks"),
+                                        F.when(some, n_lines(F.col("__chunks")) - n_lines(left)).otherwise(0).cast("long").alias("n_removed")))
+    cut = cut.withColumn("text", F.when(some, decoded(F.array_join(left, "\n"))).otherwise(whole(F.col("text"))))
     return cut.select(*[F.col(f"`{c}`") for c in docs.columns], name), name
