@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dailypanel.llm.common import free_name, whole
+from dailypanel.llm.common import free_name, scratch_table, whole
 
 WINDOW = 2
 EVERY = 4
@@ -29,20 +29,21 @@ def _plus(factor: int):
     return lambda a, b: a + b * F.lit(factor).cast("long")
 
 
-def chunks_of(text: Column, window: int = WINDOW, every: int = EVERY) -> Column:
-    """The text's chunks in order, as strings of coded lines. Rolling hash of line i: the sum of FACTOR^k times the hash of line i - k for k
-    below ``window``, modulo MODULUS; lines before the first count as 0.
+def with_chunks(docs: DataFrame, window: int = WINDOW, every: int = EVERY) -> DataFrame:
+    """Adds __chunks, the chunks of ``text`` in order, as strings of coded lines. Rolling hash of line i: the sum of FACTOR^k times the
+    hash of line i - k for k below ``window``, modulo MODULUS; lines before the first count as 0.
 
     A coded line begins with an x, so two line ends in a row stand between chunks only. Every step goes over the arrays once, without
-    looking up elements, because Spark would compute an array anew for each look-up."""
-    lines = lines_of(text)
-    hashes = F.transform(lines, line_hash)
-    rolled = hashes
+    looking up elements; ``inline`` keeps Spark from computing an array once for each use."""
+    lines = lines_of(F.col("text"))
+    cut = docs.select("*", F.inline(F.array(F.struct(lines.alias("__lines"), F.transform(lines, line_hash).alias("__hashes")))))
+    rolled = F.col("__hashes")
     for k in range(1, window):
-        before = F.slice(F.concat(F.array_repeat(F.lit(0).cast("long"), k), hashes), F.lit(1), F.size(hashes))
+        before = F.slice(F.concat(F.array_repeat(F.lit(0).cast("long"), k), "__hashes"), F.lit(1), F.size("__hashes"))
         rolled = F.zip_with(rolled, before, _plus(FACTOR ** k))
-    coded = F.zip_with(lines, rolled, lambda line, r: F.concat(F.lit("x"), line, F.when(r % F.lit(MODULUS).cast("long") % every == 0, "\n").otherwise("")))
-    return F.split(F.rtrim(F.array_join(coded, "\n"), F.lit("\n")), "\n\n", -1)
+    coded = F.zip_with("__lines", rolled, lambda line, r: F.concat(F.lit("x"), line, F.when(r % F.lit(MODULUS).cast("long") % every == 0, "\n").otherwise("")))
+    chunks = F.split(F.rtrim(F.array_join(coded, "\n"), F.lit("\n")), "\n\n", -1)
+    return cut.select("*", F.inline(F.array(F.struct(chunks.alias("__chunks"))))).drop("__lines", "__hashes")
 
 
 def decoded(chunk: Column) -> Column:
@@ -57,14 +58,15 @@ def line_count(chunk: Column) -> Column:
 def repeated(docs: DataFrame, window: int = WINDOW, every: int = EVERY, min_lines: int = 2) -> DataFrame:
     """(doc_id, mark, gone): positions of the chunks to remove, for documents that have any.
 
-    Chunk hashes are counted first, without texts. The chunks of repeated hashes are then grouped by their bytes, so equal hashes
+    The chunks are written once. Their hashes are counted first, without texts. The chunks of repeated hashes are then grouped by their bytes, so equal hashes
     of different chunks don't count. The first of equal chunks, by doc_id (null last) and position, stays; rows
     that share a doc_id and position share the place, so none of them is removed."""
-    chunks = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.posexplode(chunks_of(F.col("text"), window, every)).alias("pos", "body"))
+    chunks = with_chunks(docs.select("doc_id", F.xxhash64("text").alias("mark"), "text"), window, every)
+    chunks = chunks.select("doc_id", "mark", F.posexplode("__chunks").alias("pos", "body"))
     chunks = chunks.filter((line_count(F.col("body")) >= min_lines) & decoded(F.col("body")).rlike(r"[^\x20\x09-\x0D]"))
     last = F.lit("9223372036854775807").cast("decimal(20,0)")
     place = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), last) * F.lit(1_000_000_000).cast("decimal(10,0)") + F.col("pos")
-    chunks = chunks.select("doc_id", "mark", "pos", "body", place.alias("place"), F.xxhash64("body").alias("h"))
+    chunks = scratch_table(chunks.select("doc_id", "mark", "pos", place.alias("place"), F.xxhash64("body").alias("h"), "body"))
     twice = chunks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
     rows = chunks.join(twice, "h")
     first = rows.groupBy("body").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first")).filter("n > 1").select(F.col("body").alias("same"), "first")
@@ -82,7 +84,7 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, every: int = EVERY, min_l
     name = free_name(docs, "line_dedup")
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.col("gone").alias("__gone"))
     both = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__mark")), "left")
-    cut = both.withColumn("__chunks", chunks_of(F.col("text"), window, every)).withColumn("__gone", F.coalesce("__gone", F.array().cast("array<int>")))
+    cut = with_chunks(both, window, every).withColumn("__gone", F.coalesce("__gone", F.array().cast("array<int>")))
     left = F.filter("__chunks", lambda chunk, k: ~F.array_contains("__gone", k))
     n_lines = lambda chunks: F.aggregate(chunks, F.lit(0), lambda n, chunk: n + line_count(chunk))
     some = F.size("__gone") > 0
