@@ -278,7 +278,7 @@ def decode_batch(p: Pieces, ids: pa.Array) -> pa.Array:
     return pa.array(texts, pa.string())
 
 
-def in_pieces(texts: pa.Array, size: int = 16_000_000):
+def in_pieces(texts: pa.Array, size: int = 5_000_000):
     """Slices of about ``size`` bytes of text, so that a task's memory doesn't grow with its batch."""
     total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
     edges = [0, *(np.flatnonzero(total[1:] != total[:-1]) + 1).tolist(), len(texts)]
