@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dailypanel.llm import fm_index, licenses, lines, mixing, ngram_join, page_text, pieces, rules
+from dailypanel.llm import ctw, fm_index, licenses, lines, mixing, ngram_join, page_text, pieces, rules
 from dailypanel.llm.common import read, sha256_hex, whole
 
 QUERIES, ORACLES = {}, {}
@@ -122,3 +122,8 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fm_index.dedup_substrings(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", sha256_hex(F.col("kept")).alias("kept_sha256"))
+
+
+@query()
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_documents(read(spark, sf_dir, "documents"))
