@@ -9,10 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dailypanel.llm.common import free_name, scratch_table, whole
+from dailypanel.llm.common import free_name, scratch_table, settle, whole
 
 WINDOW = 2
 EVERY = 4
+#: Up to this many repeated hashes (8 bytes each) are sent to all executors, more are joined by shuffle.
+BROADCAST_HASHES = 1_000_000
 #: Multiplier and modulus of the rolling hash.
 FACTOR, MODULUS = 31, 4_294_967_291
 
@@ -67,8 +69,8 @@ def repeated(docs: DataFrame, window: int = WINDOW, every: int = EVERY, min_line
     last = F.lit("9223372036854775807").cast("decimal(20,0)")
     place = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), last) * F.lit(1_000_000_000).cast("decimal(10,0)") + F.col("pos")
     chunks = scratch_table(chunks.select("doc_id", "mark", "pos", place.alias("place"), F.xxhash64("body").alias("h"), "body"))
-    twice = chunks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h")
-    rows = chunks.join(twice, "h")
+    twice = settle(chunks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"))
+    rows = chunks.join(F.broadcast(twice) if twice.count() <= BROADCAST_HASHES else twice, "h")
     first = rows.groupBy("body").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first")).filter("n > 1").select(F.col("body").alias("same"), "first")
     extra = rows.join(first, (F.col("body") == F.col("same")) & (F.col("place") > F.col("first")))
     return extra.groupBy("doc_id", "mark").agg(F.collect_set("pos").alias("gone"))
