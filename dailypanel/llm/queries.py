@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dailypanel.llm import ctw, fm_index, licenses, lines, mixing, ngram_join, page_text, pieces, rules
+from dailypanel.llm import ctw, fingerprints, fm_index, licenses, lines, mixing, ngram_join, page_text, pieces, rules
 from dailypanel.llm.common import read, sha256_hex, whole
 
 QUERIES, ORACLES = {}, {}
@@ -127,3 +127,8 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score_documents(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"))
