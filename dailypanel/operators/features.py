@@ -60,32 +60,36 @@ def add_changes(panel: DataFrame, columns: list[str], grain: str = "daily") -> D
 def add_ewma(panel: DataFrame, columns: list[str], span: int = SPAN, grain: str = "daily") -> DataFrame:
     """Exponentially weighted mean with adjusted weights, a = 2/(span+1).
 
-    The weighted sum is built from running sums inside blocks of rows plus the total of the block before,
-    so the cost per row does not depend on the span and no array is collected. A block is long enough for
-    anything older to weigh less than 1e-16. Needs columns without gaps: impute first.
+    Every row counts with decay^age, however old it is. Sums run inside blocks of rows; each block's total is carried on as a state,
+    state = total + decay^block * state before, so the cost per row does not depend on the span. A missing value has no
+    weight but time passes: the mean stays what it was before, and a row before the first value has none.
     """
+    if span <= 1:
+        last = over(order=order_of(grain), frame=SO_FAR)
+        return with_exprs(panel, {f"ewma{span}_{c}": f"last_value(CAST(`{c}` AS DOUBLE), true) {last}" for c in columns})
     decay = 1 - 2 / (span + 1)
-    block = max(2, math.ceil(math.log(1e-16) / math.log(decay)))
+    # powers inside a block stay far from the ends of the double range
+    block = max(2, math.ceil(-math.log(1e100) / math.log(decay)))
     framed = with_exprs(panel, {"_row": f"row_number() {over(order=order_of(grain))} - 1"})
     framed = with_exprs(framed, {"_block": f"_row DIV {block}", "_at": f"_row % {block}"})
+    framed = with_exprs(framed, {"_rise": f"pow({decay}D, -_at)", "_age": f"pow({decay}D, _at)"})
+    inside = over("entity, _block", "_row", SO_FAR)
+    sums = {}
+    for i, c in enumerate(columns):
+        sums[f"_sum{i}"] = f"sum(`{c}` * _rise) {inside}"
+        sums[f"_mass{i}"] = f"sum(CASE WHEN `{c}` IS NOT NULL THEN _rise END) {inside}"
+    framed = with_exprs(framed, sums)
+    totals = ", ".join(f"'{x}', coalesce(`{x}`, 0D) * _age" for x in sums)
     framed = with_exprs(
         framed,
-        {
-            "_rise": f"pow({decay}D, -_at)",
-            "_fall": f"pow({decay}D, {block - 1} - _at)",
-            "_age": f"pow({decay}D, _at)",
-            "_weight": f"(1 - pow({decay}D, _row + 1)) / (1 - {decay}D)",
-        },
+        {"_blocks": f"collect_list(CASE WHEN _at = {block - 1} THEN named_struct({totals}) END) {over(order='_row', frame=SO_FAR)}"},
     )
-    inside = over("entity, _block", "_row", SO_FAR)
-    block_before = over(order="_block", frame="RANGE BETWEEN 1 PRECEDING AND 1 PRECEDING")
-    framed = with_exprs(framed, {f"_in_{c}": f"sum(`{c}` * _rise) {inside}" for c in columns})
-    framed = with_exprs(framed, {f"_old_{c}": f"sum(`{c}` * _fall) {block_before}" for c in columns})
-    means = [
-        f"CASE WHEN `{c}` IS NOT NULL THEN _age * (`_in_{c}` + {decay}D * coalesce(`_old_{c}`, 0D)) / _weight END "
-        f"AS `ewma{span}_{c}`"
-        for c in columns
-    ]
+    carried = "aggregate(slice(_blocks, 1, CAST(_block AS INT)), 0D, (s, t) -> t.`{0}` + {1}D * s)"
+    state = "coalesce(`{0}`, 0D) + {1}D * CASE WHEN _block = 0 THEN 0D ELSE {2} END"
+    means = []
+    for i, c in enumerate(columns):
+        over_rows, mass = (state.format(x, decay, carried.format(x, decay**block)) for x in (f"_sum{i}", f"_mass{i}"))
+        means.append(f"({over_rows}) / nullif({mass}, 0D) AS `ewma{span}_{c}`")
     return framed.selectExpr(*[f"`{c}`" for c in panel.columns], *means)
 
 
