@@ -14,16 +14,28 @@ from dailypanel.operators.profile import add_value_bands, value_range
 from dailypanel.operators.quantiles import exact_quantiles
 
 def regression_aggregates(actual: str = "actual", predicted: str = "predicted") -> dict[str, Column]:
-    """R2, MAE, MSE and RMSE; R2 is null for fewer than two rows or a constant actual."""
+    """R2, MAE, MSE and RMSE of complete pairs; R2 is null for fewer than two pairs or a constant actual."""
     error = F.col(actual) - F.col(predicted)
     mse = F.avg(error * error)
-    spread = F.when(F.count(error) > 1, F.nullif(F.var_pop(actual), F.lit(0.0)))
+    paired = F.when(error.isNotNull(), F.col(actual))
+    spread = F.when(F.count(error) > 1, F.nullif(F.var_pop(paired), F.lit(0.0)))
     return {"r2": 1 - mse / spread, "mae": F.avg(F.abs(error)), "mse": mse, "rmse": F.sqrt(mse)}
 
 
+def pairs() -> Column:
+    """Rows that have both an actual and a predicted value."""
+    return F.count(F.col("actual") - F.col("predicted"))
+
+
+def missing_pairs(predictions: DataFrame, by: list[str]) -> DataFrame:
+    """Rows that no metric can use, because one side is missing."""
+    return predictions.groupBy(*by).agg((F.count("*") - pairs()).alias("n_missing"))
+
+
 def regression_metrics(predictions: DataFrame, by: list[str]) -> DataFrame:
+    """``n`` is the number of complete pairs; ``missing_pairs`` counts the others."""
     return predictions.groupBy(*by).agg(
-        F.count("*").alias("n"), *[m.alias(name) for name, m in regression_aggregates().items()]
+        pairs().alias("n"), *[m.alias(name) for name, m in regression_aggregates().items()]
     )
 
 
@@ -32,7 +44,7 @@ def log_scale_metrics(predictions: DataFrame, by: list[str]) -> DataFrame:
     back = predictions.withColumns({"_a": F.expm1("actual"), "_p": F.expm1("predicted")})
     original = regression_aggregates("_a", "_p")
     return back.groupBy(*by).agg(
-        F.count("*").alias("n"),
+        pairs().alias("n"),
         regression_aggregates()["r2"].alias("r2"),
         original["mae"].alias("mae"),
         original["rmse"].alias("rmse"),
@@ -47,7 +59,7 @@ def add_errors(predictions: DataFrame) -> DataFrame:
 def entity_error_report(predictions: DataFrame) -> DataFrame:
     """Metrics and error range of every entity."""
     return add_errors(predictions).groupBy("entity").agg(
-        F.count("*").alias("n"),
+        pairs().alias("n"),
         *[m.alias(name) for name, m in regression_aggregates().items()],
         F.max("abs_error").alias("max_error"),
         F.min("abs_error").alias("min_error"),
@@ -75,19 +87,36 @@ def prediction_stats(predictions: DataFrame, by: list[str]) -> DataFrame:
 def confusion_matrix(predictions: DataFrame, classes: list, by: list[str] | None = None) -> DataFrame:
     """Rows (by..., actual, predicted, n) for every pair of the given classes, including empty cells.
 
-    Every cell is a conditional count of one pass; rows with an unlisted class are left out.
+    Every cell is a conditional count of one pass. Unlisted and missing classes are pooled in the class null; its cells are
+    listed where they have rows, so that every row counts somewhere.
     """
     by = by or []
+
+    def known(side: str) -> Column:
+        return F.coalesce(F.col(side).isin(list(classes)), F.lit(False))
+
+    def is_class(side: str, c) -> Column:
+        return ~known(side) if c is None else F.coalesce(F.col(side) == c, F.lit(False))
+
+    kind = dict(predictions.dtypes)
     cells = [
         F.struct(
-            F.lit(a).alias("actual"),
-            F.lit(p).alias("predicted"),
-            F.count_if((F.col("actual") == a) & (F.col("predicted") == p)).alias("n"),
+            _listed(a, kind["actual"], classes).alias("actual"),
+            _listed(p, kind["predicted"], classes).alias("predicted"),
+            F.count_if(is_class("actual", a) & is_class("predicted", p)).alias("n"),
         )
-        for a, p in product(classes, classes)
+        for a, p in product([*classes, None], repeat=2)
     ]
     grouped = predictions.groupBy(*by) if by else predictions.groupBy()
-    return grouped.agg(F.array(*cells).alias("_cells")).select(*by, F.inline("_cells"))
+    listed = F.col("actual").isNotNull() & F.col("predicted").isNotNull()
+    return grouped.agg(F.array(*cells).alias("_cells")).select(*by, F.inline("_cells")).filter(listed | (F.col("n") > 0))
+
+
+def _listed(c, kind: str, classes: list) -> Column:
+    """A class as a literal; null takes the type of the listed ones."""
+    if c is not None:
+        return F.lit(c)
+    return F.when(F.lit(False), F.lit(classes[0])) if classes else F.lit(None).cast(kind)
 
 
 def _per_class(confusion: DataFrame, by: list[str]) -> DataFrame:
@@ -101,7 +130,7 @@ def _per_class(confusion: DataFrame, by: list[str]) -> DataFrame:
                 F.struct(
                     F.col("predicted").alias("class"),
                     F.lit("predicted").alias("_side"),
-                    (F.col("actual") == F.col("predicted")).cast("int").alias("_hit"),
+                    F.coalesce(F.col("actual") == F.col("predicted"), F.lit(False)).cast("int").alias("_hit"),
                 ),
             )
         ),
@@ -146,7 +175,7 @@ def classification_report(confusion: DataFrame) -> DataFrame:
     The rates are written once (a row per class), so the predictions behind them are read once.
     """
     rated = settle(_per_class(confusion, []))
-    classes = rated.select(F.col("class").cast("string").alias("class"), *SCORES, "support")
+    classes = rated.select(F.coalesce(F.col("class").cast("string"), F.lit("other")).alias("class"), *SCORES, "support")
     macro = rated.agg(*[F.avg(s).alias(s) for s in SCORES], F.sum("support").alias("support"))
     weighted = rated.agg(*[_weighted(s).alias(s) for s in SCORES], F.sum("support").alias("support"))
     return classes.unionByName(macro.withColumn("class", F.lit("macro avg"))).unionByName(
@@ -191,8 +220,8 @@ def best_per_group(results: DataFrame, by: list[str], score: str) -> DataFrame:
 
 
 def best_row(results: DataFrame, by: list[str], score: str, tie: str) -> DataFrame:
-    """One row per group: the highest score, the lowest ``tie`` among equals."""
-    key = F.struct(-F.col(score), F.col(tie))
+    """One row per group: the highest score, the lowest ``tie`` among equals; a missing score is the worst."""
+    key = F.struct(F.col(score).isNull(), -F.col(score), F.col(tie))
     rest = [c for c in results.columns if c not in by]
     return results.groupBy(*by).agg(F.min_by(F.struct(*rest), key).alias("_row")).select(*by, "_row.*")
 

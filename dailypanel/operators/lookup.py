@@ -2,38 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dailypanel.session import ensure_checkpoint_dir
 
-BROADCAST_ROWS = 100_000
-SALTS = 16
-
 
 def settle(table: DataFrame) -> DataFrame:
-    """Compute a per-key table once and cut its lineage, so that it can be counted and then joined."""
+    """Compute a table once and cut its lineage, for tables that several passes read."""
     ensure_checkpoint_dir(table.sparkSession)
     return table.checkpoint()
 
 
-def attach(
-    data: DataFrame,
-    table: DataFrame,
-    keys: list[str],
-    how: str = "inner",
-    limit: int = BROADCAST_ROWS,
-    settled: bool = False,
-) -> DataFrame:
-    """Join ``table`` (one row per key) to ``data``.
+def attach(data: DataFrame, table: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join ``table`` (one row per key) to ``data``; a missing key is a key like any other.
 
-    The table is broadcast only when its counted size is within ``limit``. Beyond that both sides are
-    shuffled with a salt, so that one hot key is spread over ``SALTS`` tasks. A missing key matches nothing.
+    The plan stays lazy and the strategy is Spark's: by the table's size in bytes it is broadcast or both sides are shuffled, and
+    adaptive execution splits the partitions of a hot key. Callers with many equal rows count them first.
     """
-    table = table if settled else settle(table)
-    if table.count() <= limit:
-        return data.join(F.broadcast(table), keys, how)
-    salted = data.withColumn("_salt", F.pmod(F.xxhash64(*data.columns), F.lit(SALTS)))
-    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))
-    copies = table.withColumn("_salt", F.explode(salts))
-    return salted.join(copies, keys + ["_salt"], how).drop("_salt")
+    taken = {*data.columns, *table.columns}
+    names = [next(n for n in (f"_key{i}" + "_" * k for k in range(len(taken) + 1)) if n not in taken) for i, _ in enumerate(keys)]
+    other = table.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], *[c for c in table.columns if c not in keys])
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    return data.join(other, same, how).drop(*names)

@@ -96,7 +96,7 @@ def categorical_profile(df: DataFrame, columns: list[str]) -> DataFrame:
 def histogram(df: DataFrame, columns: list[str], bins: int, by: list[str] | None = None) -> DataFrame:
     """Equal-width bins from minimum to maximum, the last one closed; empty bins are listed with 0.
 
-    A constant column gets a range of width 1 around its value.
+    A constant column gets a range of width 1 around its value. A missing group is a group.
     """
     by = by or []
     keys = by + ["variable"]
@@ -105,18 +105,17 @@ def histogram(df: DataFrame, columns: list[str], bins: int, by: list[str] | None
         .unpivot(by, columns, "variable", "value")
         .filter("value IS NOT NULL")
     )
+    long = settle(long.groupBy(*keys, "value").agg(F.count("*").alias("n")))  # equal rows are one from here on
     ends = long.groupBy(*keys).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     flat = F.col("lo") == F.col("hi")
     ends = ends.withColumns(
         {"lo": F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")), "hi": F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi"))}
     ).withColumn("width", (F.col("hi") - F.col("lo")) / bins)
-    ends = settle(ends)
     place = F.floor((F.col("value") - F.col("lo")) / F.col("width"))
-    counts = count_by(
-        attach(long, ends, keys, settled=True).withColumn("bin", F.least(place, F.lit(bins - 1)).cast("int")), keys + ["bin"]
-    )
+    placed = attach(long, ends, keys).withColumn("bin", F.least(place, F.lit(bins - 1)).cast("int"))
+    counts = placed.groupBy(*keys, "bin").agg(F.sum("n").alias("n"))
     every = ends.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
-    return every.join(counts, keys + ["bin"], "left").select(
+    return attach(every, counts, keys + ["bin"], "left").select(
         *keys,
         "bin",
         (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_start"),
@@ -131,10 +130,11 @@ def skewness_profile(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def skewed_columns(df: DataFrame, columns: list[str], threshold: float = 0.5) -> list[str]:
-    """Columns without gaps whose population skewness is above the threshold; one row comes to the driver."""
+    """Columns without gaps and without values that have no log1p (-1 and below) whose population skewness is above the threshold;
+    one row comes to the driver."""
     row = df.agg(
         *[
-            F.when(F.count_if(F.col(c).isNull()) == 0, E.skew(F.col(c).cast("double"))).alias(c)
+            F.when((F.count_if(F.col(c).isNull()) == 0) & (F.min(F.col(c).cast("double")) > -1), E.skew(F.col(c).cast("double"))).alias(c)
             for c in columns
         ]
     ).first()
@@ -142,7 +142,7 @@ def skewed_columns(df: DataFrame, columns: list[str], threshold: float = 0.5) ->
 
 
 def log_transform(df: DataFrame, columns: list[str], threshold: float = 0.5, exclude=()) -> DataFrame:
-    """log1p of the right-skewed columns."""
+    """log1p of the right-skewed columns; a column with gaps or with values of -1 and below stays as it is."""
     skewed = skewed_columns(df, [c for c in columns if c not in exclude], threshold)
     return df.withColumns({c: F.log1p(F.col(c).cast("double")) for c in skewed})
 

@@ -1,10 +1,9 @@
 """Exact quantiles without gathering a group in one task.
 
-Two rounds of counting narrow each wanted rank to a thin slice of the value range; only the distinct values
-of that slice are then ranked. Bins are equal steps of a signed logarithm, so far outliers do not widen
-them. The bins only steer the work: the result is exact whatever falls into them.
-
-The input is read several times. That is cheap for columns of a stored table; ``settle`` a computed input first.
+Equal values are counted first, in one pass over the input. Where a group has many distinct values, rounds of counting narrow each
+wanted rank to a slice of the value range until every slice is small enough to be ranked by one task. The bins of a round are equal steps of a signed
+logarithm between the slice's own smallest and largest value, so outliers do not widen them and every round gets further. The bins
+only steer the work: the result is exact whatever falls into them.
 """
 
 from __future__ import annotations
@@ -15,6 +14,8 @@ from pyspark.sql import functions as F
 from dailypanel.operators.lookup import attach, settle
 
 BINS = 2048
+#: Distinct values that one task ranks.
+SLICE = 200_000
 
 
 def _scale(value: Column) -> Column:
@@ -27,65 +28,57 @@ def _bin(at: Column, low: Column, high: Column) -> Column:
     return F.coalesce(F.least(F.greatest(step, F.lit(0)), F.lit(BINS - 1)), F.lit(0))
 
 
-def _count(df: DataFrame, keys: list[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count("*").alias("n"))
-
-
 def _holding(counts: DataFrame, wanted: DataFrame, keys: list[str], by: str) -> DataFrame:
     """For each wanted rank the ``by`` cell that holds it; ``base`` is the number of smaller rows there."""
     order = Window.partitionBy(*keys).orderBy(by)
     upto = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
     ranged = counts.withColumn("_upto", upto).withColumn("_below", F.col("_upto") - F.col("n"))
     hit = (F.col("rank") >= F.col("base") + F.col("_below")) & (F.col("rank") < F.col("base") + F.col("_upto"))
-    return wanted.join(ranged, keys).filter(hit).withColumn("base", F.col("base") + F.col("_below")).drop(
+    return attach(wanted, ranged, keys).filter(hit).withColumn("base", F.col("base") + F.col("_below")).drop(
         "n", "_upto", "_below"
     )
 
 
 def exact_quantiles(
-    df: DataFrame, columns: list[str], probabilities: list[float], by: list[str] | None = None
+    df: DataFrame, columns: list[str], probabilities: list[float], by: list[str] | None = None, limit: int = SLICE
 ) -> DataFrame:
     """Linearly interpolated quantiles as rows (by..., variable, probability, value).
 
-    Missing values are ignored, and so are rows whose group is missing.
+    Missing values are ignored; a missing group is a group. No task ranks more than ``limit`` distinct values.
     """
     by = by or []
     keys = [*by, "variable"]
     numbers = [F.col(c).cast("double").alias(c) for c in columns]
     long = df.select(*by, *numbers).unpivot(by, columns, "variable", "value").filter("value IS NOT NULL")
-    long = long.withColumn("at", _scale(F.col("value")))
+    rows = settle(long.groupBy(*keys, "value").agg(F.count("*").alias("n")))
 
-    ends = settle(
-        long.groupBy(*keys).agg(F.count("*").alias("n"), F.min("at").alias("lo"), F.max("at").alias("hi"))
-    )
     place = F.col("probability") * (F.col("n") - 1)
-    asked = ends.withColumn(
-        "probability", F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
-    ).withColumn("_place", place)
+    shares = F.explode(F.array(*[F.lit(float(p)) for p in probabilities]))
+    asked = rows.groupBy(*keys).agg(F.sum("n").alias("n")).withColumn("probability", shares).withColumn("_place", place)
     wanted = (
         asked.withColumn("rank", F.explode(F.array(F.floor("_place"), F.ceil("_place"))))
-        .select(*keys, "rank", F.lit(0).cast("bigint").alias("base"))
+        .select(*keys, "rank", F.lit(0).cast("bigint").alias("base"), F.lit(0).cast("bigint").alias("cell"))
         .distinct()
     )
-
-    low, high = F.col("lo"), F.col("hi")
-    first = attach(long, ends.drop("n"), keys, settled=True).withColumn("b1", _bin(F.col("at"), low, high))
-    coarse = settle(_holding(_count(first, [*keys, "b1"]), wanted, keys, "b1"))
-
-    step = (high - low) / BINS
-    second = attach(first, coarse.select(*keys, "b1").distinct(), [*keys, "b1"]).withColumn(
-        "b2", _bin(F.col("at"), low + F.col("b1") * step, low + (F.col("b1") + 1) * step)
-    )
-    fine = settle(_holding(_count(second, [*keys, "b1", "b2"]), coarse, [*keys, "b1"], "b2"))
-
-    thin = attach(second, fine.select(*keys, "b1", "b2").distinct(), [*keys, "b1", "b2"])
-    values = _count(thin, [*keys, "b1", "b2", "value"])
-    found = _holding(values, fine, [*keys, "b1", "b2"], "value").select(*keys, "rank", "value")
-
+    rows = rows.withColumns({"at": _scale(F.col("value")), "cell": F.lit(0).cast("bigint")})
+    cells = [*keys, "cell"]
+    while True:
+        ends = rows.groupBy(*cells).agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.count("*").alias("_many"))
+        widest = ends.filter("lo < hi").agg(F.max("_many")).first()[0]
+        if (widest or 0) <= limit:
+            break
+        binned = attach(rows, ends.drop("_many"), cells).withColumn("bin", _bin(F.col("at"), F.col("lo"), F.col("hi")))
+        counts = binned.groupBy(*cells, "bin").agg(F.sum("n").alias("n"))
+        wanted = settle(_holding(counts, wanted, cells, "bin"))
+        # the number of smaller rows tells the cells of a group apart
+        held = wanted.select(*cells, "bin", F.col("base").alias("_next")).distinct()
+        rows = settle(attach(binned, held, [*cells, "bin"]).drop("cell", "bin", "lo", "hi").withColumnRenamed("_next", "cell"))
+        wanted = wanted.drop("cell", "bin").withColumn("cell", F.col("base"))
+
+    found = _holding(rows.select(*cells, "value", "n"), wanted, cells, "value").select(*keys, "rank", "value")
     ranks = F.array_distinct(F.array(F.floor("_place"), F.ceil("_place")))
     ends_of = (
-        asked.select(*keys, "probability", "_place", F.explode(ranks).alias("rank"))
-        .join(found, [*keys, "rank"])
+        attach(asked.select(*keys, "probability", "_place", F.explode(ranks).alias("rank")), found, [*keys, "rank"])
         .groupBy(*keys, "probability", "_place")
         .agg(F.min("value").alias("_low"), F.max("value").alias("_high"))
     )

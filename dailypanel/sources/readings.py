@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dailypanel.functions.expressions import tod_band
+from dailypanel.sources.files import changed_at, completed_at
 
 CSV_SCHEMA = "seq BIGINT, id STRING, time TIMESTAMP_NTZ, variable STRING, value DOUBLE"
 
@@ -18,9 +18,9 @@ def read_readings_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def readings_from_text_id(raw: DataFrame) -> DataFrame:
-    """Entity is the integer after the first dot of ``id``; an invalid id gives null."""
+    """Entity is the integer after the first dot of ``id``. Rows without a readable id or time are left to ``unreadable_audit``."""
     return with_time_columns(
-        raw.select(
+        raw.filter(~_unreadable()).select(
             F.expr("try_cast(split_part(id, '.', 2) AS BIGINT)").alias("entity"),
             F.col("time").alias("ts"),
             "seq",
@@ -30,6 +30,15 @@ def readings_from_text_id(raw: DataFrame) -> DataFrame:
     )
 
 
+def unreadable_audit(raw: DataFrame) -> DataFrame:
+    """The raw rows that ``readings_from_text_id`` leaves out."""
+    return raw.filter(_unreadable())
+
+
+def _unreadable():
+    return F.expr("try_cast(split_part(id, '.', 2) AS BIGINT)").isNull() | F.col("time").isNull()
+
+
 def with_time_columns(readings: DataFrame) -> DataFrame:
     """Add date, hour and the time-of-day band."""
     hour = F.hour("ts")
@@ -39,12 +48,11 @@ def with_time_columns(readings: DataFrame) -> DataFrame:
 
 
 def stored_readings(spark: SparkSession, csv_path: str, parquet_path: str) -> DataFrame:
-    """Read the parquet copy of a CSV; write it, partitioned by date, if it is not there yet."""
-    try:
-        return spark.read.parquet(parquet_path)
-    except AnalysisException:
+    """Read the parquet copy of a CSV; write it, partitioned by date, if it is not complete or the CSV is newer."""
+    written = completed_at(spark, parquet_path)
+    if written is None or written < changed_at(spark, csv_path):
         write_readings(read_readings_csv(spark, csv_path), parquet_path)
-        return spark.read.parquet(parquet_path)
+    return spark.read.parquet(parquet_path)
 
 
 def write_readings(readings: DataFrame, path: str) -> None:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dailypanel.fixed import BASE_DATE
 from dailypanel.functions.wide import over, with_exprs
+from dailypanel.sources.files import completed_at
 
 def write_panel(panel: DataFrame, path: str) -> None:
     """Partitioned by month; rows of an entity lie together inside a file."""
@@ -22,12 +22,10 @@ def read_panel(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stored_panel(spark: SparkSession, path: str, build) -> DataFrame:
-    """Read a stored panel; build and write it if it is not there yet."""
-    try:
-        return read_panel(spark, path)
-    except AnalysisException:
+    """Read a stored panel; build and write it if it is not there or not complete."""
+    if completed_at(spark, path) is None:
         write_panel(build(), path)
-        return read_panel(spark, path)
+    return read_panel(spark, path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
