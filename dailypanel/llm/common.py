@@ -96,6 +96,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = 8_000_000
             yield from (batch.slice(a, b - a) for a, b in zip(edges[:-1], edges[1:]))
 
 
+def batch_of(columns: list, schema: pa.Schema) -> pa.RecordBatch:
+    """Arrays as a batch of exactly this schema, whatever types a small or empty slice has led to."""
+    arrays = [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema)]
+    return pa.RecordBatch.from_arrays([a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, schema)], schema=schema)
+
+
 def split_words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
     """All words of a batch of texts as dictionary codes, and the offset of each text's first word (one more at the end)."""
     parts = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.large_string()), ""))

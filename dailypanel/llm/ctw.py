@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dailypanel.llm.common import scratch_table, ship, slices, split_words, whole
+from dailypanel.llm.common import batch_of, scratch_table, ship, slices, split_words, whole
 
 DEPTH = 4
 #: A context is kept if at least one in so many training bytes stands in it: at most this many contexts a depth.
@@ -164,16 +164,17 @@ def lower_words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
 
 
 def gather(depth: int):
-    """For mapInArrow over training texts: (kind 0, token, n) and (kind 1, gram, n) rows, summed within a slice."""
+    """For mapInArrow over training texts: (token, null, n) and (null, gram, n) rows, summed within a slice."""
+    schema = pa.schema([("token", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 6_000_000):
             words, _ = lower_words(batch.column("text"))
             times = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
             tokens = pa.concat_arrays([words.dictionary.cast(pa.string()), pa.array([END])])
-            yield pa.RecordBatch.from_arrays([tokens, pa.nulls(len(tokens), pa.int64()), pa.array(np.append(times, batch.num_rows), pa.int64())], ["token", "gram", "n"])
+            yield batch_of([tokens, pa.nulls(len(tokens), pa.int64()), np.append(times, batch.num_rows)], schema)
             grams, n = gram_counts(*padded(batch.column("text"), depth), depth)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(grams), pa.string()), pa.array(grams), pa.array(n, pa.int64())], ["token", "gram", "n"])
+            yield batch_of([pa.nulls(len(grams), pa.string()), grams, n], schema)
 
     return run
 
@@ -183,6 +184,8 @@ def apply_model(model):
     a broadcast (tree, hashes of the frequent tokens in order, their log10 shares)."""
     import xxhash
 
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "mark", "n_tokens", "n_bytes", "head_n")] + [("head_sum", pa.float64()), ("score", pa.float64()), ("tails", pa.list_(pa.string())), ("tail_n", pa.list_(pa.int64()))])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, hashes, shares = model.value
         for batch in slices(batches, "text", 6_000_000):
@@ -201,10 +204,8 @@ def apply_model(model):
             tails = words.dictionary.cast(pa.string()).take(pa.array(code[~head]))
             data, begins = padded(batch.column("text"), tree.depth)
             n_bytes = np.diff(np.append(begins, len(data))) - tree.depth - 1
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("mark"), pa.array(np.diff(starts) + 1), pa.array(n_bytes), pa.array(head_n), pa.array(head_sum), pa.array(tree.score(data, begins)),
-                 pa.ListArray.from_arrays(offsets, tails), pa.ListArray.from_arrays(offsets, pa.array(n[~head], pa.int64()))],
-                ["doc_id", "mark", "n_tokens", "n_bytes", "head_n", "head_sum", "score", "tails", "tail_n"])
+            lists = [pa.ListArray.from_arrays(offsets, x) for x in (tails, pa.array(n[~head], pa.int64()))]
+            yield batch_of([batch.column("doc_id"), batch.column("mark"), np.diff(starts) + 1, n_bytes, head_n, head_sum, tree.score(data, begins), *lists], schema)
 
     return run
 
