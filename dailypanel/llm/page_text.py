@@ -333,7 +333,8 @@ def train(pages: DataFrame, rows: int = SAMPLE_PAGES) -> Model:
             for page in batch["html"]:
                 for key, n in count_page(page).items():
                     total[key] = total.get(key, 0) + n
-        yield pd.DataFrame({"key": [repr(k) for k in total], "n": np.array(list(total.values()), float)})
+        if total:
+            yield pd.DataFrame({"key": pd.Series([repr(k) for k in total], dtype=object), "n": np.array(list(total.values()), float)})
 
     counted = chosen.mapInPandas(run, "key string, n double").groupBy("key").agg(F.sum("n").alias("n")).collect()
     import ast
