@@ -21,7 +21,7 @@ from dailypanel.llm.common import batch_of, scratch_table, ship, slices, split_w
 
 DEPTH = 4
 #: A context is kept if at least one in so many training bytes stands in it: at most this many contexts a depth.
-CONTEXTS = 8192
+CONTEXTS = 32_768
 #: Tokens at least this frequent (one in so many) are looked up on the executors: at most this many. Others are joined.
 HEAD = 500_000
 #: Begins and ends texts; no UTF-8 text has it.
@@ -168,7 +168,7 @@ def gather(depth: int):
     schema = pa.schema([("token", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 6_000_000):
+        for batch in slices(batches, "text", 4_000_000):
             words, _ = lower_words(batch.column("text"))
             times = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
             tokens = pa.concat_arrays([words.dictionary.cast(pa.string()), pa.array([END])])
@@ -188,7 +188,7 @@ def apply_model(model):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, hashes, shares = model.value
-        for batch in slices(batches, "text", 6_000_000):
+        for batch in slices(batches, "text", 4_000_000):
             words, starts = lower_words(batch.column("text"))
             rows, size = batch.num_rows, max(1, len(words.dictionary))
             owner = np.repeat(np.arange(rows), np.diff(starts))
