@@ -61,6 +61,17 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def folded(docs: DataFrame, *more: str) -> DataFrame:
+    """``row``, all columns but text as one struct, beside doc_id, text and ``more``: no name of an operator's own can clash."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*rest).alias("row"), "doc_id", "text", *more)
+
+
+def unfolded(df: DataFrame, docs: DataFrame, *more) -> DataFrame:
+    """The columns of ``docs`` in their order, and ``more``."""
+    return df.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns], *more)
+
+
 def whole(text: Column) -> Column:
     """A null text is an empty one."""
     return F.coalesce(text, F.lit(""))

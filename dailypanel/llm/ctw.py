@@ -42,7 +42,7 @@ def lgamma(x: np.ndarray) -> np.ndarray:
 def decisions(counts: np.ndarray) -> np.ndarray:
     """Counts of (0, 1) at the 255 binary decisions that lead to a byte, for rows of 256 byte counts: shape (rows, 255, 2)."""
     rows = len(counts)
-    return np.concatenate([counts.reshape(rows, 1 << b, 2, -1).sum(-1) for b in range(8)], axis=1)
+    return np.concatenate([counts.reshape(rows, 1 << b, 2, 128 >> b).sum(-1) for b in range(8)], axis=1)
 
 
 def log_kt(n: np.ndarray) -> np.ndarray:
@@ -114,7 +114,7 @@ class Tree:
         out, at = np.zeros((len(ones), 256)), 0
         for b in range(8):
             p = ones[:, at:at + (1 << b)]
-            both = np.log10(np.stack([1 - p, p], axis=2)).reshape(len(ones), -1)
+            both = np.log10(np.stack([1 - p, p], axis=2)).reshape(len(ones), 2 << b)
             out += np.repeat(both, 256 >> b + 1, axis=1)
             at += 1 << b
         return out

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dailypanel.llm.common import free_name, scratch_table, settle, whole
+from dailypanel.llm.common import folded, free_name, scratch_table, settle, unfolded, whole
 
 WINDOW = 2
 EVERY = 4
@@ -85,7 +85,7 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, every: int = EVERY, min_l
     gone = repeated(docs, window, every, min_lines)
     name = free_name(docs, "line_dedup")
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.col("gone").alias("__gone"))
-    both = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__mark")), "left")
+    both = folded(docs).join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__mark")), "left")
     cut = with_chunks(both, window, every).withColumn("__gone", F.coalesce("__gone", F.array().cast("array<int>")))
     left = F.filter("__chunks", lambda chunk, k: ~F.array_contains("__gone", k))
     n_lines = lambda chunks: F.aggregate(chunks, F.lit(0), lambda n, chunk: n + line_count(chunk))
@@ -93,4 +93,4 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, every: int = EVERY, min_l
     cut = cut.withColumn(name, F.struct(F.size(lines_of(F.col("text"))).cast("long").alias("n_lines"), F.size("__chunks").cast("long").alias("n_chunks"),
                                         F.when(some, n_lines(F.col("__chunks")) - n_lines(left)).otherwise(0).cast("long").alias("n_removed")))
     cut = cut.withColumn("text", F.when(some, decoded(F.array_join(left, "\n"))).otherwise(whole(F.col("text"))))
-    return cut.select(*[F.col(f"`{c}`") for c in docs.columns], name), name
+    return unfolded(cut, docs, name), name

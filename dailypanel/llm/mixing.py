@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dailypanel.llm.common import free_name, settle, whole
+from dailypanel.llm.common import folded, free_name, settle, unfolded, whole
 
 WEIGHTS = (5, 2, 1)
 MOST = 3.0
@@ -99,7 +99,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: float = MOST, seed: str
     targets = settle(source_targets(rows, weights, most))
     plan = targets.join(cut_points(rows, targets).withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     plan = plan.select(F.col("source").alias("__source"), F.struct("source_size", "target", "epochs", "cut", "share").alias("__plan"))
-    out = with_keys(docs, seed, weight).join(settle(plan), F.col("source").eqNullSafe(F.col("__source")), "left")
+    out = with_keys(folded(docs, "source"), seed, weight).join(settle(plan), F.col("source").eqNullSafe(F.col("__source")), "left")
     size, at, p = F.col("__size"), F.col("__at"), F.col("__plan")
     again = (size > 0) & (at < p["cut"])
     rest = F.when(again | (size == 0), F.lit(0)).when(at == p["cut"], p["share"]).otherwise(F.lit(0)).cast("long")
@@ -108,7 +108,7 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, most: float = MOST, seed: str
                                         F.coalesce(rest, F.lit(0)).cast("long").alias("rest")))
     m = F.col(name)
     out = out.withColumn(name, m.withField("taken", m["epochs"] * m["size"] + m["rest"]))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], name), name
+    return unfolded(out, docs, name), name
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dailypanel.llm.common import mix64, settle, shingle_hashes, ship, slices, split_words, text_key, whole, word_hashes
+from dailypanel.llm.common import folded, mix64, settle, shingle_hashes, ship, slices, split_words, text_key, unfolded, whole, word_hashes
 from dailypanel.llm.components import components
 
 WORDS, LIKE = 5, 0.8
@@ -182,6 +182,6 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The first document of each class, with its own columns. Rows that share a doc_id and text are one document."""
     text = whole(F.col("text"))
     node = F.coalesce(F.col("doc_id").cast("long"), nameless(text))
-    firsts = join_ngrams(docs, **options).select(F.col("class_id").alias("__first")).distinct()
-    chosen = docs.withColumn("__node", node).join(firsts, F.col("__node") == F.col("__first"), "left_semi")
-    return chosen.drop("__node").dropDuplicates(["doc_id", "text"])
+    firsts = join_ngrams(docs, **options).select(F.col("class_id").alias("node")).distinct()
+    chosen = folded(docs).withColumn("node", node).join(firsts, "node", "left_semi")
+    return unfolded(chosen.dropDuplicates(["node", "text"]), docs)
