@@ -12,13 +12,14 @@ from pyspark.ml import regression as R
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dailypanel.fixed import CLASSIFICATION_GRIDS, REGRESSION_GRIDS
 from dailypanel.functions.expressions import hash_fraction
 from dailypanel.operators.correlate import top_correlated
 from dailypanel.operators.evaluate import classification_metrics, confusion_matrix, regression_metrics
+from dailypanel.operators.lookup import attach
 
 SEED = 42
 
@@ -37,6 +38,18 @@ def class_labels(df: DataFrame, column: str = "categorical_target") -> DataFrame
     return df.withColumn("class_label", F.col(column) + 1)
 
 
+def class_weights(df: DataFrame, label: str) -> DataFrame:
+    """(label, n, weight): balanced weights, rows / (classes * rows of the class). One row per class; missing labels have none."""
+    counted = df.filter(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
+    every = Window.partitionBy(F.lit(0))
+    return counted.withColumn("weight", F.sum("n").over(every) / (F.count("*").over(every) * F.col("n")))
+
+
+def with_class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
+    """Rows with the balanced weight of their class, for an estimator's ``weightCol``."""
+    return attach(df, class_weights(df, label).select(label, F.col("weight").alias(name)), [label], "left")
+
+
 def _label_spread(train: DataFrame) -> tuple[float, int]:
     row = train.agg(F.stddev_samp("label"), F.count("label")).first()
     return float(row[0] or 1.0), int(row[1])
