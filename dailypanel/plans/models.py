@@ -85,17 +85,25 @@ def _penalised(strength: float, ratio: float) -> R.LinearRegression:
     )
 
 
+#: How each regression model of an experiment is made from its training rows; only penalised ones look at them.
+REGRESSORS = {
+    "linear": lambda train: linear_regression(),
+    "ridge": lambda train: ridge(train, 1.0),
+    "lasso": lambda train: elastic_net(train, 1.0, 1.0),
+    "elastic_net": lambda train: elastic_net(train, 1.0, 0.5),
+    "tree": lambda train: R.DecisionTreeRegressor(maxDepth=5, seed=SEED),
+    "forest": lambda train: R.RandomForestRegressor(numTrees=50, maxDepth=5, seed=SEED),
+    "boosted": lambda train: R.GBTRegressor(maxIter=20, maxDepth=3, stepSize=0.1, seed=SEED),
+}
+
+
+def regressor(name: str, train: DataFrame) -> R.Regressor:
+    return REGRESSORS[name](train)
+
+
 def regressors(train: DataFrame) -> dict[str, R.Regressor]:
-    """The regression models of an experiment. Tree sizes are Spark defaults unless given."""
-    return {
-        "linear": linear_regression(),
-        "ridge": ridge(train, 1.0),
-        "lasso": elastic_net(train, 1.0, 1.0),
-        "elastic_net": elastic_net(train, 1.0, 0.5),
-        "tree": R.DecisionTreeRegressor(maxDepth=5, seed=SEED),
-        "forest": R.RandomForestRegressor(numTrees=50, maxDepth=5, seed=SEED),
-        "boosted": R.GBTRegressor(maxIter=20, maxDepth=3, stepSize=0.1, seed=SEED),
-    }
+    """All regression models of an experiment."""
+    return {name: regressor(name, train) for name in REGRESSORS}
 
 
 def classifiers() -> dict[str, C.Classifier]:
@@ -196,10 +204,13 @@ def penalty_combinations(name: str, train: DataFrame, grid: dict[str, list]) ->
 def tuned_model(
     name: str, rows: DataFrame, metric: str = "r2", grid: dict | None = None, folds: int = 3, parallelism: int = 4
 ):
-    """Best model of a tuning grid, fitted on all ``rows``; a model without a grid is just fitted."""
+    """Best model of a tuning grid, fitted on all ``rows``; an empty grid is just fitted, a model without one is an error."""
     regression = _is_regression(metric)
-    grid = grid if grid is not None else (REGRESSION_GRIDS if regression else CLASSIFICATION_GRIDS).get(name, {})
-    estimator = (regressors(rows) if regression else classifiers())[name]
+    grids = REGRESSION_GRIDS if regression else CLASSIFICATION_GRIDS
+    if grid is None and name not in grids:
+        raise ValueError(f"there is no tuning grid for {name}: give one")
+    grid = grids[name] if grid is None else grid
+    estimator = regressor(name, rows) if regression else classifiers()[name]
     if not grid:
         return estimator.fit(rows)
     penalised = "alpha" in grid or "C" in grid
@@ -248,7 +259,7 @@ def experiment_grid(
     """Regression metrics of every model on every feature set and part of the split."""
 
     def score(rows: DataFrame, name: str) -> DataFrame:
-        estimator = regressors(rows.filter("split = 'train'"))[name]
+        estimator = regressor(name, rows.filter("split = 'train'"))
         return regression_metrics(fit_predict(estimator, rows), ["split"])
 
     names = models or list(REGRESSION_GRIDS)

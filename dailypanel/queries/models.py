@@ -91,7 +91,7 @@ def learning_curve(spark, sf):
 @query("experiment_grid")
 def experiment_grid(spark, sf):
     rows = scaled_rows(spark, sf)
-    return tidy(M.experiment_grid(rows, FEATURES, "target", "mood_mean_daily", 5, ["linear", "ridge", "tree"]))
+    return tidy(M.experiment_grid(rows, FEATURES, "target", "mood_mean_daily", 5))
 
 
 @query("class_experiment_grid")
@@ -99,7 +99,7 @@ def class_experiment_grid(spark, sf):
     rows = M.class_labels(scaled_rows(spark, sf, "categorical_target", "minmax"))
     return tidy(
         M.class_experiment_grid(
-            rows, FEATURES, "class_label", [0.0, 1.0, 2.0], "mood_mean_daily", 5, ["logistic", "tree"]
+            rows, FEATURES, "class_label", [0.0, 1.0, 2.0], "mood_mean_daily", 5, ["logistic", "tree", "forest"]
         )
     )
 
@@ -108,7 +108,7 @@ def class_experiment_grid(spark, sf):
 def tuned_ridge(spark, sf):
     """Penalty chosen by cross-validation on the training part, metrics of all parts."""
     rows = M.assembled(M.with_folds(scaled_rows(spark, sf)), FEATURES, "target")
-    model = M.tuned_model("ridge", rows.filter("split = 'train'"), grid={"alpha": [0.1, 10.0, 100.0]})
+    model = M.tuned_model("ridge", rows.filter("split = 'train'"), grid=None)
     return tidy(V.regression_metrics(M.predicted(model, rows), ["split"]))
 
 
