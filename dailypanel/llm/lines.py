@@ -71,7 +71,8 @@ def repeated(docs: DataFrame, window: int = WINDOW, every: int = EVERY, min_line
     chunks = scratch_table(chunks.select("doc_id", "mark", "pos", place.alias("place"), F.xxhash64("body").alias("h"), "body"))
     twice = settle(chunks.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"))
     rows = chunks.join(F.broadcast(twice) if twice.count() <= BROADCAST_HASHES else twice, "h")
-    first = rows.groupBy("body").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first")).filter("n > 1").select(F.col("body").alias("same"), "first")
+    # written, so that the join below reads two exchanges and a hot chunk's partition can be split
+    first = settle(rows.groupBy("body").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first")).filter("n > 1").select(F.col("body").alias("same"), "first"))
     extra = rows.join(first, (F.col("body") == F.col("same")) & (F.col("place") > F.col("first")))
     return extra.groupBy("doc_id", "mark").agg(F.collect_set("pos").alias("gone"))
 
