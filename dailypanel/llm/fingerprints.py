@@ -7,6 +7,7 @@ were. Only DataFrame functions are used.
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -63,13 +64,21 @@ def next_lower(ids: DataFrame) -> DataFrame:
     return above
 
 
-def codes_to_parts(codes: Column) -> Column:
-    """The full hash and one hash for each lexicon subset, "" where the document has none of its terms; null for too few terms."""
+def with_parts(df: DataFrame, codes: str) -> DataFrame:
+    """Adds parts: the full hash and one hash for each lexicon subset, "" where the document has none of its terms; null for too few terms.
+
+    ``inline`` keeps the sorted terms, and those of them that any subset has, from being made anew for every part."""
     terms = F.sort_array(F.filter(codes, lambda c: c != 0))
-    digest = lambda x: F.substring(F.md5(F.array_join(F.transform(x, lambda c: c.cast("string")), ",")), 1, 8)
-    one = lambda k: F.filter(terms, lambda c: F.getbit(c, k) == 1)
-    parts = F.concat(F.array(digest(terms)), *[F.array(F.when(F.size(one(F.lit(k))) == 0, "").otherwise(digest(one(F.lit(k))))) for k in range(LEXICONS)])
-    return F.when(F.size(terms) >= FEW, parts)
+    df = df.select("*", F.inline(F.array(F.struct(terms.alias("__terms")))))
+    df = df.select("*", F.inline(F.array(F.struct(F.filter("__terms", lambda c: c.bitwiseAND(F.lit(2 ** 32 - 1)) != 0).alias("__in_subsets")))))
+    nothing = hashlib.md5(b"").hexdigest()[:8]
+    digest = lambda x: F.replace(F.substring(F.md5(F.array_join(x.cast("array<string>"), ",")), 1, 8), F.lit(nothing), F.lit(""))
+    parts = F.array(digest(F.col("__terms")), *[digest(F.filter("__in_subsets", _has(k))) for k in range(LEXICONS)])
+    return df.select("*", F.inline(F.array(F.struct(F.when(F.size("__terms") >= FEW, parts).alias("parts"))))).drop("__terms", "__in_subsets")
+
+
+def _has(k: int):
+    return lambda code: code.bitwiseAND(F.lit(1 << k)) != 0
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -84,9 +93,7 @@ def fingerprint_texts(rows: DataFrame, keys: list[str], words: DataFrame, n_word
     terms = rows.select(*keys, sha256_hex(F.col("text")).alias("sha"), F.explode(F.array_append(terms_of(F.col("text")), F.lit(0).cast("long"))).alias("term"))
     found = terms.join(F.broadcast(words) if n_words <= BROADCAST_TERMS else words, "term")
     codes = found.groupBy(*keys, "sha").agg(F.collect_set("code").alias("codes"))
-    # the parts are arrays made anew for each use unless a generator stands between
-    parts = codes.select(*keys, "sha", F.inline(F.array(F.struct(codes_to_parts(F.col("codes")).alias("parts")))))
-    return parts.withColumn("parts", F.coalesce("parts", F.array("sha")))
+    return with_parts(codes, "codes").select(*keys, "sha", F.coalesce("parts", F.array("sha")).alias("parts"))
 
 
 def fingerprint_edits(docs: DataFrame, least: float = LEAST, most: float = MOST) -> DataFrame:
