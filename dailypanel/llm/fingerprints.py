@@ -90,7 +90,9 @@ def likeness(a: Column, b: Column) -> Column:
 
 def fingerprint_texts(rows: DataFrame, keys: list[str], words: DataFrame, n_words: int) -> DataFrame:
     """``keys``, sha and parts for rows with keys and text. Rows alike in keys and text are one. Where rows are dealt by a key already, they stay."""
-    terms = rows.select(*keys, sha256_hex(F.col("text")).alias("sha"), F.explode(F.array_append(terms_of(F.col("text")), F.lit(0).cast("long"))).alias("term"))
+    # the digest first: beside explode it would be made for every term
+    rows = rows.select(*keys, "text", sha256_hex(F.col("text")).alias("sha"))
+    terms = rows.select(*keys, "sha", F.explode(F.array_append(terms_of(F.col("text")), F.lit(0).cast("long"))).alias("term"))
     found = terms.join(F.broadcast(words) if n_words <= BROADCAST_TERMS else words, "term")
     codes = found.groupBy(*keys, "sha").agg(F.collect_set("code").alias("codes"))
     return with_parts(codes, "codes").select(*keys, "sha", F.coalesce("parts", F.array("sha")).alias("parts"))
