@@ -28,7 +28,7 @@ def nameless(text: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(text), 2).bitwiseOR(F.lit(2 ** 62))
 
 
-def banding(like: float = LIKE, recall: float = 0.999, rows: int = 5) -> tuple[int, int]:
+def banding(like: float = LIKE, recall: float = 0.9999, rows: int = 5) -> tuple[int, int]:
     """(bands, rows): the fewest bands of ``rows`` hashes that find a pair of likeness ``like`` with at least this chance."""
     return int(np.ceil(np.log(1 - recall) / np.log(1 - like ** rows))), rows
 
@@ -140,7 +140,7 @@ def verify(words: int, like: float):
     return run
 
 
-def join_ngrams(docs: DataFrame, words: int = WORDS, like: float = LIKE, recall: float = 0.999, block: int = BLOCK) -> DataFrame:
+def join_ngrams(docs: DataFrame, words: int = WORDS, like: float = LIKE, recall: float = 0.9999, block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id (smallest doc_id of the documents that links connect), n_links (other texts whose
     word n-gram sets are at least ``like`` similar), n_copies (documents of the same text, itself included).
 
