@@ -128,12 +128,17 @@ def test_quantiles_with_ties_outliers_and_hot_groups(spark):
         np.testing.assert_allclose(part["value"], want, rtol=1e-12)
 
 
-def test_attach_gives_the_same_beyond_the_broadcast_limit(spark):
+def test_attach_gives_the_same_without_broadcast(spark):
     data = spark.range(1000).withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50))
     table = data.select("k").distinct().filter("k < 40").withColumn("v", F.col("k") * 2)
     for how in ("inner", "left"):
         small = lookup.attach(data, table, ["k"], how).toPandas().sort_values("id").reset_index(drop=True)
-        large = lookup.attach(data, table, ["k"], how, limit=0).toPandas().sort_values("id").reset_index(drop=True)
+        limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        try:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+            large = lookup.attach(data, table, ["k"], how).toPandas().sort_values("id").reset_index(drop=True)
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         pd.testing.assert_frame_equal(small, large[small.columns])
 
 
