@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import product
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dailypanel.fixed import BAND_CODES, CONFIDENCE
@@ -256,3 +257,20 @@ def grouped_importance(importances: DataFrame, sources: list[str], top: int = 10
         .groupBy(label.alias("source"))
         .agg(F.sum("importance").alias("importance"))
     )
+
+
+def parameter_grid(spark: SparkSession, grid: dict[str, list]) -> DataFrame:
+    """One row per combination of settings, numbered from 0 in the order of the lists; the lists come from the caller."""
+    rows = [(k, *combination) for k, combination in enumerate(product(*grid.values()))]
+    return spark.createDataFrame(rows, ["trial", *grid])
+
+
+def best_trial(trials: DataFrame, score: str, largest: bool = True) -> DataFrame:
+    """The trial with the best score, the first of equals; a missing score is the worst."""
+    order = F.col(score).desc_nulls_last() if largest else F.col(score).asc_nulls_last()
+    return trials.orderBy(order, "trial").limit(1)
+
+
+def concat(frames: list[DataFrame]) -> DataFrame:
+    """All rows of frames with different columns; what a frame lacks is null."""
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

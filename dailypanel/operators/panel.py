@@ -14,7 +14,7 @@ from dailypanel.catalog import Catalog
 from dailypanel.fixed import SLIDE_DAYS, TODS
 from dailypanel.functions import expressions as E
 from dailypanel.functions.wide import literal, over, with_exprs
-from dailypanel.operators.lookup import settle
+from dailypanel.operators.lookup import attach, settle
 
 
 def reading_stats(readings: DataFrame, catalog: Catalog, grains=("daily",)) -> DataFrame:
@@ -199,3 +199,14 @@ def trim_override(panel: DataFrame, windows: list[tuple[int, str, str]]) -> Data
         inside = F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
         keep = keep & ((F.col("entity") != entity) | inside)
     return panel.filter(keep)
+
+
+def trim_windows(panel: DataFrame, windows: DataFrame) -> DataFrame:
+    """Cut entities to the window that a table (entity, start, end) has for them; entities without one stay whole.
+
+    Several windows of an entity are taken together from the first start to the last end.
+    """
+    one = windows.groupBy("entity").agg(F.min("start").alias("_start"), F.max("end").alias("_end"))
+    joined = attach(panel, one, ["entity"], "left")
+    inside = F.coalesce(F.col("date").between(F.col("_start").cast("date"), F.col("_end").cast("date")), F.lit(True))
+    return joined.filter(inside).select(*panel.columns)

@@ -9,6 +9,7 @@ import pytest
 from dailypanel.operators import evaluate as V
 from dailypanel.operators.features import add_ewma
 from dailypanel.operators.lookup import attach
+from dailypanel.operators.panel import trim_windows
 from dailypanel.operators.profile import histogram, log_transform
 from dailypanel.operators.quantiles import exact_quantiles
 from dailypanel.sources import readings as S
@@ -94,3 +95,20 @@ def test_attach_is_lazy_and_matches_missing_keys(spark):
     data = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
     table = spark.createDataFrame([(None, "n"), ("a", "x")], "k string, w string")
     assert {(r["v"], r["w"]) for r in attach(data, table, ["k"]).collect()} == {(1, "n"), (2, "x")}
+
+
+def test_trim_windows_from_a_table(spark):
+    day = lambda k: dt.date(2024, 1, k)
+    panel = spark.createDataFrame([(e, day(k)) for e in (1, 2) for k in range(1, 6)], "entity long, date date")
+    windows = spark.createDataFrame([(1, day(2), day(3)), (1, day(3), day(4))], "entity long, start date, end date")
+    got = {(r["entity"], r["date"].day) for r in trim_windows(panel, windows).collect()}
+    assert got == {(1, k) for k in (2, 3, 4)} | {(2, k) for k in range(1, 6)}
+
+
+def test_grid_best_trial_and_concat(spark):
+    grid = V.parameter_grid(spark, {"span": [3, 7], "width": [0.5, 1.0]})
+    assert [tuple(r) for r in grid.orderBy("trial").collect()] == [(0, 3, 0.5), (1, 3, 1.0), (2, 7, 0.5), (3, 7, 1.0)]
+    scored = spark.createDataFrame([(0, None), (1, 0.2), (2, 0.2)], "trial long, r2 double")
+    assert V.best_trial(scored, "r2").first()["trial"] == V.best_trial(scored, "r2", largest=False).first()["trial"] == 1
+    both = V.concat([scored, spark.createDataFrame([(9, "x")], "trial long, note string")])
+    assert both.columns == ["trial", "r2", "note"] and both.filter("r2 IS NULL").count() == 2
