@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dailypanel.llm.common import settle, sha256_hex, whole
+from dailypanel.llm.common import scratch_table, settle, sha256_hex, whole
 
 #: Document shares of lexicon terms. There are at most (mean distinct terms of a document) / LEAST such terms.
 LEAST, MOST = 0.002, 0.2
@@ -112,13 +112,14 @@ def fingerprint_edits(docs: DataFrame, least: float = LEAST, most: float = MOST)
     after = settle(next_lower(per_id.select("k")))
     asked = after.join(per_id.select("k", "need"), "k").select(F.col("next").alias("k"), F.col("k").alias("asker"), "need")
     asked = asked.join(per_id.select("k", "first"), "k")
-    starts = keyed.join(asked, "k").filter("mark = first").select(F.col("asker").alias("k"), F.expr("left(text, need)").alias("start"))
+    dealt = keyed.select("k", "mark", "text").repartition("k")  # one exchange that both joins below read
+    starts = dealt.join(asked, "k").filter("mark = first").select(F.col("asker").alias("k"), F.expr("left(text, need)").alias("start"))
     starts = starts.groupBy("k").agg(F.first("start").alias("start"))
-    both = keyed.join(starts, "k")
+    both = dealt.join(starts, "k")
     n = F.length("text")
     edited = F.concat(F.expr("left(text, cast(length(text) - floor(length(text) / 2) AS int))"), F.expr("left(start, cast(floor(length(text) / 2) AS int))"))
     kinds = both.select("k", "mark", n.cast("long").alias("n_chars"), F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")), F.struct(F.lit(1).alias("kind"), edited.alias("text")))).alias("t"))
-    prints = settle(fingerprint_texts(kinds.select("k", "mark", "n_chars", "t.kind", "t.text"), ["k", "mark", "n_chars", "kind"], words, n_words))
+    prints = scratch_table(fingerprint_texts(kinds.select("k", "mark", "n_chars", "t.kind", "t.text"), ["k", "mark", "n_chars", "kind"], words, n_words))
     own = prints.filter("kind = 0").select("k", "mark", "n_chars", F.col("parts").alias("own"))
     new = prints.filter("kind = 1").select("k", "mark", F.col("sha").alias("edited_sha256"), F.col("parts").alias("new"))
     following = own.join(per_id.select("k", F.col("first").alias("mark")), ["k", "mark"]).select(F.col("k").alias("next"), F.col("own").alias("following"))
