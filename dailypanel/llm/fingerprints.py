@@ -112,7 +112,7 @@ def fingerprint_edits(docs: DataFrame, least: float = LEAST, most: float = MOST)
     after = settle(next_lower(per_id.select("k")))
     asked = after.join(per_id.select("k", "need"), "k").select(F.col("next").alias("k"), F.col("k").alias("asker"), "need")
     asked = asked.join(per_id.select("k", "first"), "k")
-    dealt = keyed.select("k", "mark", "text").repartition("k")  # one exchange that both joins below read
+    dealt = keyed.select("k", "mark", "text").repartition("k")
     starts = dealt.join(asked, "k").filter("mark = first").select(F.col("asker").alias("k"), F.expr("left(text, need)").alias("start"))
     starts = starts.groupBy("k").agg(F.first("start").alias("start"))
     both = dealt.join(starts, "k")
