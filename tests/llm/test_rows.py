@@ -288,6 +288,26 @@ def test_tree_is_context_tree_weighting():
     assert np.allclose((10.0 ** tree.log10.astype(float)).sum(1), 1, atol=1e-4)
 
 
+def test_every_context_is_kept(docs, spark, small):
+    """Scores against the tree of all contexts made in one process, with frequent grams broadcast and rare ones joined."""
+    import numpy as np
+    import pandas as pd
+    import pyarrow as pa
+
+    for rows in (spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text"), docs):
+        local = [(r["doc_id"], (r["text"] or "").encode()) for r in rows.collect()]
+        held = lambda i: zlib.crc32(str(i if i is not None else "").encode()) % 5 == 1
+        grams, n = ctw.gram_counts(*ctw.padded(pa.array([t for i, t in local if not held(i)]), ctw.DEPTH), ctw.DEPTH)
+        frames = []
+        for d in range(ctw.DEPTH + 1):
+            frames.append(pd.DataFrame({"ctx": (grams >> 8) & ((1 << 8 * d) - 1), "next": grams & 255, "n": n}).groupby(["ctx", "next"], as_index=False).sum())
+        want = sorted(zip([i if i is not None else -1 for i, _ in local], ctw.Tree(frames).score(*ctw.padded(pa.array([t for _, t in local]), ctw.DEPTH))))
+        for grams_sent in (ctw.GRAMS, 1000, 0):
+            got = sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["score"]) for r in ctw.score_documents(rows, grams=max(1, grams_sent)).collect())
+            assert [i for i, _ in got] == [i for i, _ in want]
+            assert np.allclose([x for _, x in got], [x for _, x in want], rtol=1e-5, atol=1e-4)
+
+
 def test_substrings(docs):
     for options in ({}, {"hot": 1, "shard_words": 300}):
         got = fm_index.dedup_substrings(docs, **options)
