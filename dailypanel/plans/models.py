@@ -226,13 +226,21 @@ def tuned_model(
 def learning_curve(rows: DataFrame, estimator, shares: list[float], folds: int = 3) -> DataFrame:
     """Train and test RMSE, mean and population deviation over folds, by share of the training rows.
 
-    Growing shares are nested: a row is in when the hash of its entity and day is below the share.
+    Growing shares are nested: a row is in when the hash of its entity and day is below the share. A fold without training
+    rows at a share counts with 0 rows and no RMSE.
     """
     at = hash_fraction(F.concat_ws("_", F.col("entity").cast("string"), F.col("date").cast("string")))
     placed = rows.withColumn("at", at)
+    least = {r["fold"]: r["least"] for r in placed.groupBy("fold").agg(F.min("at").alias("least")).collect()}
     scored = None
     for share in shares:
         for fold in range(folds):
+            if not any(at < share for k, at in least.items() if k != fold):
+                one = rows.sparkSession.createDataFrame(
+                    [(float(share), side, 0, None) for side in ("train", "test")], "share double, side string, n long, rmse double"
+                )
+                scored = one if scored is None else scored.unionByName(one)
+                continue
             train = placed.filter((F.col("fold") != fold) & (F.col("at") < share))
             model = estimator.fit(train)
             for side, part in (("train", train), ("test", placed.filter(F.col("fold") == fold))):

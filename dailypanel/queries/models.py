@@ -6,6 +6,7 @@ from pyspark.ml import classification as C
 from pyspark.ml import regression as R
 from pyspark.sql import functions as F
 
+from dailypanel.fixed import REGRESSION_GRIDS
 from dailypanel.operators import evaluate as V
 from dailypanel.operators.correlate import target_correlation
 from dailypanel.operators.lookup import settle
@@ -78,14 +79,17 @@ _classification("fit_linear_svc", lambda: C.OneVsRest(classifier=C.LinearSVC(max
 @query("grid_search")
 def grid_search(spark, sf):
     rows = M.assembled(M.with_folds(scaled_rows(spark, sf)), FEATURES, "target")
-    grid = {"maxDepth": [2, 4], "minInstancesPerNode": [1, 4]}
-    return tidy(M.grid_search(rows, R.DecisionTreeRegressor(seed=M.SEED), grid, "r2"))
+    return tidy(M.grid_search(rows, R.DecisionTreeRegressor(seed=M.SEED), REGRESSION_GRIDS["tree"], "r2"))
+
+
+#: The reference's training sizes: linspace(0.01, 1, 20).
+SHARES = [0.01 + 0.99 * k / 19 for k in range(19)] + [1.0]
 
 
 @query("learning_curve")
 def learning_curve(spark, sf):
     rows = M.assembled(M.with_folds(scaled_rows(spark, sf)), FEATURES, "target")
-    return tidy(M.learning_curve(rows, M.linear_regression(), [0.25, 0.5, 1.0]))
+    return tidy(M.learning_curve(rows, M.linear_regression(), SHARES))
 
 
 @query("experiment_grid")
@@ -97,11 +101,7 @@ def experiment_grid(spark, sf):
 @query("class_experiment_grid")
 def class_experiment_grid(spark, sf):
     rows = M.class_labels(scaled_rows(spark, sf, "categorical_target", "minmax"))
-    return tidy(
-        M.class_experiment_grid(
-            rows, FEATURES, "class_label", [0.0, 1.0, 2.0], "mood_mean_daily", 5, ["logistic", "tree", "forest"]
-        )
-    )
+    return tidy(M.class_experiment_grid(rows, FEATURES, "class_label", [0.0, 1.0, 2.0], "mood_mean_daily", 5))
 
 
 @query("tuned_ridge")

@@ -91,3 +91,29 @@ def test_folds_and_search(spark, data):
     assert {r["fold"] for r in folded.select("fold").distinct().collect()} == {0, 1, 2}
     found = M.grid_search(folded, M.linear_regression(), {"regParam": [0.0, 100.0]}, "r2").orderBy("trial").collect()
     assert found[0]["score"] > found[1]["score"]
+
+
+def test_queries_pass_the_full_sets(spark, monkeypatch):
+    import numpy as np
+
+    from dailypanel.fixed import REGRESSION_GRIDS
+    from dailypanel.queries import models as Q
+
+    got = {}
+    for name in ("scaled_rows", "tidy"):
+        monkeypatch.setattr(Q, name, lambda *a, **b: None)
+    for name in ("assembled", "with_folds", "class_labels", "linear_regression"):
+        monkeypatch.setattr(M, name, lambda *a, **b: None)
+    for name in ("grid_search", "learning_curve", "class_experiment_grid"):
+        monkeypatch.setattr(M, name, lambda *a, name=name, **b: got.update({name: (a, b)}))
+        getattr(Q, name)(None, None)
+    assert got["grid_search"][0][2] == REGRESSION_GRIDS["tree"]
+    assert np.allclose(got["learning_curve"][0][2], np.linspace(0.01, 1.0, 20))
+    assert len(got["class_experiment_grid"][0]) == 6 and not got["class_experiment_grid"][1]
+
+
+def test_learning_curve_with_a_share_without_rows(spark, data):
+    folded = M.with_folds(rows(spark, *data))
+    found = {(r["share"], r["side"]): r for r in M.learning_curve(folded, M.linear_regression(), [0.0, 1.0]).collect()}
+    assert found[0.0, "train"]["mean_rows"] == 0 and found[0.0, "train"]["rmse_mean"] is None
+    assert len(found) == 4 and found[1.0, "test"]["rmse_mean"] > 0
