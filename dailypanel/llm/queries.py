@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dailypanel.llm import ctw, fingerprints, fm_index, licenses, lines, mixing, ngram_join, page_text, pieces, rules
+from dailypanel.llm import audit, codes, ctw, exact, fingerprints, fm_index, licenses, lines, mixing, ngram_join, page_text, pieces, rules
 from dailypanel.llm.common import read, sha256_hex, whole
 
 QUERIES, ORACLES = {}, {}
@@ -132,3 +132,78 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(read(spark, sf_dir, "documents"))
+
+
+def codes_sql(rounds: int = codes.ROUNDS) -> str:
+    """One chain of tables a round: the nearest entry of every part by comparison with all of them, then the entries' means."""
+    nearest = """(SELECT x.vec_id, x.p, any_value(x.x) AS x, min(d) AS d, arg_min(e, d * 16 + e) AS e FROM (
+      SELECT x.*, b.e, list_sum(list_transform(range(1, len(x.x) + 1), lambda i: (x.x[i] - b.c[i]) * (x.x[i] - b.c[i])))::BIGINT AS d FROM parts x JOIN {b} b ON x.p = b.p) x GROUP BY x.vec_id, x.p)"""
+    steps = ""
+    for k in range(rounds):
+        steps += f"""a{k} AS MATERIALIZED {nearest.format(b=f"b{k}")},
+b{k + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM b{k} b LEFT JOIN (
+  SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (
+    SELECT p, e, i, sum(x)::BIGINT AS s, count(*) AS n FROM (SELECT p, e, unnest(x) AS x, generate_subscripts(x, 1) AS i FROM a{k}) GROUP BY p, e, i) GROUP BY p, e) m ON b.p = m.p AND b.e = m.e),
+"""
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({codes.SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT vec_id, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] AS x FROM kept, range(8) t(p)),
+b0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM parts WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 16)),
+{steps}last AS MATERIALIZED {nearest.format(b=f"b{rounds}")},
+coded AS (SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM last GROUP BY vec_id),
+books AS (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, i)) AS sha FROM (SELECT p, e, unnest(c) AS c, generate_subscripts(c, 1) AS i FROM b{rounds}))
+SELECT k.vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, sha AS codebooks_sha256 FROM kept k JOIN coded USING (vec_id), books
+"""
+
+
+@query(codes_sql())
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, name, books = codes.encode_vectors(read(spark, sf_dir, "embeddings"))
+    return out.select("vec_id", f"{name}.*", F.lit(codes.books_sha256(books)).alias("codebooks_sha256"))
+
+
+AUDIT_SQL = """
+WITH words AS (SELECT *, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first FROM documents),
+marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT coalesce(lang, '') AS part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, concat(
+    CASE WHEN len(w) < 100 THEN 'A' ELSE '' END, CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END,
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END, CASE WHEN d.doc_id > first THEN 'E' ELSE '' END) AS fails
+  FROM words d LEFT JOIN marks m ON d.doc_id = m.doc_id),
+cells AS MATERIALIZED (SELECT part, fails, count(*) AS docs, sum(good) AS good, sum(toxic) AS toxic FROM failed GROUP BY ALL),
+letters(l) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS MATERIALIZED (SELECT concat(a.l, b.l, c.l, d.l, e.l) AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps AS (SELECT filter_order, step, substr(filter_order, step, 1) AS now, '[' || substr(filter_order, 1, step - 1) || '-]' AS before FROM orders, (SELECT unnest(range(1, 6))::INT AS step)),
+told AS (
+  SELECT part, filter_order, step, docs, good, toxic, contains(fails, now) AS here, regexp_matches(fails, before) AS gone, fails = now AS alone, now FROM cells, steps),
+rows AS (
+  SELECT part, filter_order, step, now, coalesce(sum(docs) FILTER (WHERE NOT here AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(docs) FILTER (WHERE here AND NOT gone), 0)::BIGINT AS removed,
+    coalesce(sum(docs) FILTER (WHERE here AND gone), 0)::BIGINT AS redundant, coalesce(sum(docs) FILTER (WHERE alone), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE here AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (WHERE here AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM told GROUP BY part, filter_order, step, now)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, now))::BIGINT AS shapley FROM rows
+"""
+
+
+@query(AUDIT_SQL)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_filters(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+COPIES_SQL = """
+WITH same AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS s FROM documents)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, sha256(s) AS text_sha256 FROM same WINDOW g AS (PARTITION BY s)
+"""
+
+
+@query(COPIES_SQL)
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    digest = sha256_hex(exact.one_space(F.col("text"))).alias("text_sha256")
+    out, name = exact.find_copies(docs, returns=[F.col("doc_id"), digest])
+    return out.select("doc_id", f"{name}.*", "text_sha256")
