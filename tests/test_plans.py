@@ -1,7 +1,8 @@
-"""Physical plans: shuffles, pushdown, and nothing that runs in Python or in one task."""
+"""Physical plans: shuffles, pushdown, and nothing that runs in Python (but the moment matrix) or in one task."""
 
 import pytest
 
+from dailypanel.operators.moments import correlations
 from dailypanel.plans import ready as R
 from dailypanel.queries import bindings as B
 from dailypanel.queries.all import QUERIES
@@ -18,7 +19,7 @@ def test_ready_panel_shuffles_twice(spark, small):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in text
 
 
-@pytest.mark.parametrize("name", ["daily_panel", "both_panel", "sequence_dataset", "histogram", "corr_matrix", "label_encode"])
+@pytest.mark.parametrize("name", ["daily_panel", "both_panel", "sequence_dataset", "histogram", "corr_matrix_by_entity", "label_encode"])
 def test_no_python_and_no_cartesian_product(spark, small, name):
     text = plan(QUERIES[name](spark, small))
     assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
@@ -27,3 +28,10 @@ def test_no_python_and_no_cartesian_product(spark, small, name):
 @pytest.mark.parametrize("name", ["corr_matrix", "value_bands", "family_sum"])
 def test_columns_are_pruned(spark, small, name):
     assert "l_shipdate" not in plan(QUERIES[name](spark, small))
+
+
+def test_correlations_of_80_columns_scan_once(spark, small):
+    lines = B.table(spark, small, "lineitem").selectExpr(*[f"l_quantity * {k} % 7 AS c{k}" for k in range(80)])
+    columns = lines.columns
+    text = plan(correlations(lines, columns, columns))
+    assert text.count("FileScan") == 1 and text.count("MapInArrow") == 1
