@@ -14,7 +14,7 @@ from dailypanel.catalog import Catalog
 from dailypanel.fixed import SLIDE_DAYS, TODS
 from dailypanel.functions import expressions as E
 from dailypanel.functions.wide import literal, over, with_exprs
-from dailypanel.operators.lookup import attach, settle
+from dailypanel.operators.lookup import attach
 
 
 def reading_stats(readings: DataFrame, catalog: Catalog, grains=("daily",)) -> DataFrame:
@@ -67,21 +67,35 @@ def _fill_days(by_day: DataFrame, columns: list[str]) -> DataFrame:
     return with_exprs(ahead, {"_day": days}).selectExpr("entity", "_day AS date", *filled)
 
 
-def _daily_base(stats: DataFrame, catalog: Catalog) -> DataFrame:
-    """Dense days with picked statistics and the moments that later steps combine."""
-    awake = "".join(f" AND variable <> {literal(v)}" for v in catalog.static)
+def _daily_picks(catalog: Catalog, extra: str = "") -> dict[str, str]:
+    """Statistics of a day, and the moments that later steps combine, from the rows that ``extra`` also allows."""
+    awake = "".join(f" AND variable <> {literal(v)}" for v in catalog.static) + f" {extra}"
     picks = {}
     for v in catalog.averaged:
         for stat in ("mean", "max", "min", "first", "last", "n", "var"):
-            picks[catalog.column(v, stat)] = _pick(v, stat)
+            picks[catalog.column(v, stat)] = _pick(v, stat, extra)
     for v in catalog.summed:
-        picks[catalog.column(v, "sum")] = _pick(v, "sum")
+        picks[catalog.column(v, "sum")] = _pick(v, "sum", extra)
     for v in catalog.peaked:
-        picks[catalog.column(v, "max")] = _pick(v, "max")
+        picks[catalog.column(v, "max")] = _pick(v, "max", extra)
     picks["wake_time_daily"] = f"CAST(min(CASE WHEN true{awake} THEN wake END) AS DOUBLE)"
     picks["_late"] = f"max(CASE WHEN true{awake} THEN late END)"
     picks["_early"] = f"max(CASE WHEN true{awake} THEN early END)"
-    return _fill_days(_by_day(stats, picks), list(picks))
+    return picks
+
+
+def _tod_picks(catalog: Catalog) -> dict[str, str]:
+    cells = [(c.variable, c.stat, c.name) for c in catalog.tod_columns()]
+    return {f"_{t}_{name}": _pick(v, stat, f"AND tod = {t}") for t in TODS for v, stat, name in cells}
+
+
+def _cells(catalog: Catalog) -> str:
+    """The time-of-day columns of a day as an array of one struct for each time of day, as SQL text."""
+    rows = ", ".join(
+        "named_struct('tod', " + ", ".join([str(t)] + [f"'{c.name}', `_{t}_{c.name}`" for c in catalog.tod_columns()]) + ")"
+        for t in TODS
+    )
+    return f"array({rows})"
 
 
 def _sample_std(n: str, squares: str) -> str:
@@ -118,14 +132,20 @@ def daily_panel(readings: DataFrame, catalog: Catalog) -> DataFrame:
 
 
 def daily_from_stats(stats: DataFrame, catalog: Catalog) -> DataFrame:
-    base = with_sliding_std(_daily_base(stats, catalog), catalog)
+    picks = _daily_picks(catalog)
+    return _daily_columns(_fill_days(_by_day(stats, picks), list(picks)), catalog)
+
+
+def _daily_columns(days: DataFrame, catalog: Catalog, *more: str) -> DataFrame:
+    """The daily panel's columns, and ``more``, from dense days with picked statistics."""
+    base = with_sliding_std(days, catalog)
     derived = {}
     for v in catalog.averaged:
         n, var = (f"`{catalog.column(v, s)}`" for s in ("n", "var"))
         derived[catalog.column(v, "std")] = _sample_std(n, f"{var} * {n}")
     # Hours before 5 of the next calendar day end the evening of this one.
     derived["bed_time_daily"] = f"CAST(coalesce(lead(_early) {over(order='date')}, _late) AS DOUBLE)"
-    return with_exprs(base, derived).select("entity", "date", *catalog.names("daily"))
+    return with_exprs(base, derived).select("entity", "date", *catalog.names("daily"), *more)
 
 
 def tod_panel(readings: DataFrame, catalog: Catalog) -> DataFrame:
@@ -134,34 +154,30 @@ def tod_panel(readings: DataFrame, catalog: Catalog) -> DataFrame:
 
 
 def tod_from_stats(stats: DataFrame, catalog: Catalog) -> DataFrame:
-    cells = [(c.variable, c.stat, c.name) for c in catalog.tod_columns()]
-    wide = {
-        f"_{t}_{name}": _pick(v, stat, f"AND tod = {t}") for t in TODS for v, stat, name in cells
-    }
-    days = _fill_days(_by_day(stats, wide), list(wide))
-    rows = ", ".join(
-        "named_struct('tod', "
-        + ", ".join([str(t)] + [f"'{name}', `_{t}_{name}`" for _, _, name in cells])
-        + ")"
-        for t in TODS
-    )
-    return days.selectExpr("entity", "date", f"inline(array({rows}))")
+    picks = _tod_picks(catalog)
+    return _fill_days(_by_day(stats, picks), list(picks)).selectExpr("entity", "date", f"inline({_cells(catalog)})")
 
 
-def both_panels(readings: DataFrame, catalog: Catalog) -> tuple[DataFrame, DataFrame]:
-    """Daily and time-of-day panel from one pass over the readings.
+def fused_panel(readings: DataFrame, catalog: Catalog) -> DataFrame:
+    """The daily panel with its day's time-of-day rows as ``cells``, an array of one struct for each time of day.
 
-    The statistics are written once to the checkpoint folder, because both panels start from them.
-    """
-    stats = settle(reading_stats(readings, catalog, ("daily", "tod")))
-    daily = daily_from_stats(stats.filter("tod IS NULL").drop("tod"), catalog)
-    return daily, tod_from_stats(stats.filter("tod IS NOT NULL"), catalog)
+    Both grains come from one pass over the readings and share a row, so nothing has to be joined: daily windows run on this, and
+    ``unfold_cells`` then makes the rows of the finer grain in place, still hashed by entity."""
+    stats = reading_stats(readings, catalog, ("daily", "tod"))
+    picks = {**_daily_picks(catalog, "AND tod IS NULL"), **_tod_picks(catalog)}
+    days = _fill_days(_by_day(stats, picks), list(picks))
+    cells = with_exprs(days, {"cells": _cells(catalog)}).drop(*_tod_picks(catalog))
+    return _daily_columns(cells, catalog, "cells")
+
+
+def unfold_cells(fused: DataFrame) -> DataFrame:
+    """One row for each time of day, the day's columns repeated on each."""
+    return fused.selectExpr("*", "inline(cells)").drop("cells")
 
 
 def both_pivot(readings: DataFrame, catalog: Catalog) -> DataFrame:
     """The time-of-day panel with the day's columns repeated on each of its three rows."""
-    daily, tod = both_panels(readings, catalog)
-    return tod.join(daily, ["entity", "date"], "left")
+    return unfold_cells(fused_panel(readings, catalog))
 
 
 def daily_part(both: DataFrame, columns: list[str]) -> DataFrame:

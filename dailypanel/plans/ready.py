@@ -13,11 +13,12 @@ from dailypanel.catalog import Catalog
 from dailypanel.operators import features as X
 from dailypanel.operators.impute import impute_all
 from dailypanel.operators.panel import (
-    both_panels,
     daily_panel,
+    fused_panel,
     tod_panel,
     trim_observed_span,
     trim_override,
+    unfold_cells,
 )
 
 
@@ -67,13 +68,13 @@ def both_panel(
 ) -> DataFrame:
     """Three rows per day with time-of-day features, the day's features repeated on each.
 
-    The next-day target is taken on the daily side: on dense calendars that is three rows ahead here.
+    A day carries its time-of-day rows until its own windows are done, so the grains are never joined. Both have a value on the same days, so one
+    trim does for both. The next-day target is taken on the daily side: on dense calendars that is three rows ahead here.
     """
-    daily, tod = both_panels(readings, catalog)
+    fused = fused_panel(readings, catalog)
     if trimmed:
-        daily, tod = trim(daily, catalog, overrides), trim(tod, catalog, overrides, "tod")
-    daily = daily_features(daily, catalog, span)
-    daily = X.add_next_day(daily, catalog.column(catalog.target, "mean"), drop=False)
-    joined = tod_features(tod, catalog, span).join(daily, ["entity", "date"], "left")
-    panel = X.wrap_bed(X.encode_calendar(X.add_calendar(joined)))
+        fused = trim(fused, catalog, overrides)
+    daily = X.add_next_day(daily_features(fused, catalog, span), catalog.column(catalog.target, "mean"), drop=False)
+    panel = tod_features(unfold_cells(daily), catalog, span)
+    panel = X.wrap_bed(X.encode_calendar(X.add_calendar(panel)))
     return panel.na.drop(subset=["target", "next_date"])

@@ -19,6 +19,15 @@ def test_ready_panel_shuffles_twice(spark, small):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in text
 
 
+def test_both_grains_shuffle_twice_and_never_join(spark, small):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(R.both_panel(B.clean(spark, small), B.CATALOG, B.OVERRIDES))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange") == 2 and text.count("FileScan") == 1 and "Join" not in text
+
+
 @pytest.mark.parametrize("name", ["daily_panel", "both_panel", "sequence_dataset", "histogram", "corr_matrix_by_entity", "label_encode"])
 def test_no_python_and_no_cartesian_product(spark, small, name):
     text = plan(QUERIES[name](spark, small))
