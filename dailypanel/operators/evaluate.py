@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dailypanel.fixed import BAND_CODES, CONFIDENCE
 from dailypanel.functions.wide import over, with_exprs
-from dailypanel.operators.lookup import settle
+from dailypanel.operators.lookup import attach, settle
 from dailypanel.operators.profile import add_value_bands, value_range
 from dailypanel.operators.quantiles import exact_quantiles
 
@@ -214,10 +214,13 @@ def melt(results: DataFrame, keys: list[str], scores: list[str]) -> DataFrame:
 
 
 def best_per_group(results: DataFrame, by: list[str], score: str) -> DataFrame:
-    """Rows with the highest score of their group; ties are kept. The results are written once."""
+    """Rows with the highest score of their group; ties are kept, and a missing group is a group. The results are written once.
+
+    A group whose scores are all missing has no best row."""
     results = settle(results)
-    best = results.groupBy(*by).agg(F.max(score).alias(score))
-    return results.join(best, [*by, score])
+    best = results.groupBy(*by).agg(F.max(score).alias("_best"))
+    best = attach(results, best, by) if by else results.join(best, F.col(score) == F.col("_best"))
+    return best.filter(F.col(score) == F.col("_best")).select(*results.columns)
 
 
 def best_row(results: DataFrame, by: list[str], score: str, tie: str) -> DataFrame:

@@ -27,3 +27,22 @@ def attach(data: DataFrame, table: DataFrame, keys: list[str], how: str = "inner
     other = table.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], *[c for c in table.columns if c not in keys])
     same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
     return data.join(other, same, how).drop(*names)
+
+
+def attach_by_entity(data: DataFrame, table: DataFrame, key: str = "entity", nulls: bool = True) -> DataFrame:
+    """``data`` with the columns of ``table`` (one row per ``key``), null where it has no row.
+
+    Keys are compared by plain equality, so data and tables that are already hashed by ``key`` meet without another shuffle. The row of the
+    missing key, if the table has one, is sent to all executors by itself; ``nulls=False`` leaves that out where no key can be missing.
+    """
+    names = [c for c in table.columns if c != key]
+    taken = {*data.columns, *names}
+    here, found, alone = (next(n for n in (base + "_" * k for k in range(len(taken) + 1)) if n not in taken) for base in ("_here", "_found", "_alone"))
+    row = F.struct(*[F.col(f"`{c}`") for c in names])
+    joined = data.join(table.select(F.col(f"`{key}`").alias(here), row.alias(found)), F.col(f"`{key}`") == F.col(here), "left")
+    values = F.col(found)
+    if nulls and data.schema[key].nullable:
+        missing = table.filter(F.col(f"`{key}`").isNull()).select(row.alias(alone)).limit(1)
+        joined = joined.join(F.broadcast(missing), F.col(f"`{key}`").isNull(), "left")
+        values = F.when(F.col(f"`{key}`").isNull(), F.col(alone)).otherwise(values)
+    return joined.select(*[F.col(f"`{c}`") for c in data.columns], *[values[c].alias(c) for c in names])

@@ -14,7 +14,7 @@ from dailypanel.catalog import Catalog
 from dailypanel.fixed import SLIDE_DAYS, TODS
 from dailypanel.functions import expressions as E
 from dailypanel.functions.wide import literal, over, with_exprs
-from dailypanel.operators.lookup import attach
+from dailypanel.operators.lookup import attach_by_entity
 
 
 def reading_stats(readings: DataFrame, catalog: Catalog, grains=("daily",)) -> DataFrame:
@@ -209,20 +209,27 @@ def trim_observed_span(panel: DataFrame, column: str) -> DataFrame:
 
 
 def trim_override(panel: DataFrame, windows: list[tuple[int, str, str]]) -> DataFrame:
-    """Cut single entities to given (entity, start, end) windows; the list comes from the caller."""
-    keep = F.lit(True)
+    """Cut single entities to given (entity, start, end) windows; the list comes from the caller.
+
+    A row of a listed entity stays if any of the entity's windows holds its date.
+    """
+    listed = {entity for entity, _, _ in windows}
+    if not listed:
+        return panel
+    inside = F.lit(False)
     for entity, start, end in windows:
-        inside = F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-        keep = keep & ((F.col("entity") != entity) | inside)
-    return panel.filter(keep)
+        held = F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+        inside = inside | ((F.col("entity") == entity) & held)
+    return panel.filter(inside | F.col("entity").isNull() | ~F.col("entity").isin(sorted(listed)))
 
 
 def trim_windows(panel: DataFrame, windows: DataFrame) -> DataFrame:
-    """Cut entities to the window that a table (entity, start, end) has for them; entities without one stay whole.
+    """``trim_override`` with a table (entity, start, end) of any size; entities without a window stay whole.
 
-    Several windows of an entity are taken together from the first start to the last end.
+    An entity's windows come together as one list, which is short: it is bounded by the calendar once equal ones are one.
     """
-    one = windows.groupBy("entity").agg(F.min("start").alias("_start"), F.max("end").alias("_end"))
-    joined = attach(panel, one, ["entity"], "left")
-    inside = F.coalesce(F.col("date").between(F.col("_start").cast("date"), F.col("_end").cast("date")), F.lit(True))
-    return joined.filter(inside).select(*panel.columns)
+    ends = F.struct(F.col("start").cast("date").alias("start"), F.col("end").cast("date").alias("end"))
+    one = windows.groupBy("entity").agg(F.collect_set(ends).alias("_windows"))
+    joined = attach_by_entity(panel, one)
+    held = F.exists("_windows", lambda w: F.col("date").between(w["start"], w["end"]))
+    return joined.filter(F.col("_windows").isNull() | held).select(*panel.columns)

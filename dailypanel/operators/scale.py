@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dailypanel.operators.lookup import attach
+from dailypanel.operators.lookup import attach_by_entity
 
 
 # A spread below this share of the center is a constant column: smoothing keeps one constant only to rounding.
@@ -78,7 +78,7 @@ def fit(df: DataFrame, columns: list[str], kind: str = "standard") -> DataFrame:
     return by_entity.select("entity", F.inline("_params")).filter("center IS NOT NULL")
 
 
-def _with_params(df: DataFrame, params: DataFrame, features: list[str]) -> DataFrame:
+def _with_params(df: DataFrame, params: DataFrame, features: list[str], nulls: bool) -> DataFrame:
     wide = params.groupBy("entity").agg(
         *[
             F.max(F.when(F.col("feature") == f, F.col(part))).alias(f"_{part}_{f}")
@@ -86,13 +86,15 @@ def _with_params(df: DataFrame, params: DataFrame, features: list[str]) -> DataF
             for part in ("center", "scale")
         ]
     )
-    return attach(df, wide, ["entity"], "left")
+    return attach_by_entity(df, wide, nulls=nulls)
 
 
-def apply(df: DataFrame, params: DataFrame, columns: list[str], features: list[str] | None = None) -> DataFrame:
-    """Scale ``columns`` with the parameters of ``features`` (by default their own)."""
+def apply(
+    df: DataFrame, params: DataFrame, columns: list[str], features: list[str] | None = None, nulls: bool = True
+) -> DataFrame:
+    """Scale ``columns`` with the parameters of ``features`` (by default their own); without ``nulls`` no entity may be missing."""
     features = features or columns
-    joined = _with_params(df, params, sorted(set(features)))
+    joined = _with_params(df, params, sorted(set(features)), nulls)
     scaled = {
         c: _scaled(F.col(c).cast("double"), F.col(f"_center_{f}"), F.col(f"_scale_{f}"))
         for c, f in zip(columns, features)
@@ -100,10 +102,12 @@ def apply(df: DataFrame, params: DataFrame, columns: list[str], features: list[s
     return joined.select(*[scaled[c].alias(c) if c in scaled else F.col(c) for c in df.columns])
 
 
-def invert(df: DataFrame, params: DataFrame, columns: list[str], features: list[str] | None = None) -> DataFrame:
+def invert(
+    df: DataFrame, params: DataFrame, columns: list[str], features: list[str] | None = None, nulls: bool = True
+) -> DataFrame:
     """Undo ``apply`` with each entity's own parameters."""
     features = features or columns
-    joined = _with_params(df, params, sorted(set(features)))
+    joined = _with_params(df, params, sorted(set(features)), nulls)
     restored = {
         c: F.coalesce(F.col(c) * F.col(f"_scale_{f}") + F.col(f"_center_{f}"), F.col(c))
         for c, f in zip(columns, features)

@@ -124,6 +124,21 @@ def trim_override(spark, sf):
     return tidy(_trimmed(spark, sf))
 
 
+@query(
+    "trim_windows",
+    f"""{S.upto('daily')}, s AS (SELECT entity, min(date) AS lo, max(date) AS hi FROM panel GROUP BY entity),
+    w AS (SELECT entity, lo + 2 AS a, lo + 5 AS b FROM s WHERE entity % 3 = 0 UNION ALL SELECT entity, lo + 9, hi FROM s WHERE entity % 3 = 0)
+    SELECT entity, {D}, {S.rounded(S.DAILY_COLUMNS)} FROM panel p WHERE entity % 3 <> 0
+      OR EXISTS (FROM w WHERE w.entity = p.entity AND p.date BETWEEN a AND b)""",
+)
+def trim_windows(spark, sf):
+    """Two windows for every third entity, from a table."""
+    readings = B.clean(spark, sf)
+    spans = P.dense_calendar(readings).filter("entity % 3 = 0").groupBy("entity").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    windows = spans.selectExpr("entity", "inline(array(struct(date_add(lo, 2) AS start, date_add(lo, 5) AS end), struct(date_add(lo, 9) AS start, hi AS end)))")
+    return tidy(P.trim_windows(P.daily_panel(readings, CAT), windows))
+
+
 def _trimmed(spark, sf, grain="daily"):
     return R.trimmed_panel(B.clean(spark, sf), CAT, B.OVERRIDES, grain)
 

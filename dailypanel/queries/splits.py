@@ -176,10 +176,10 @@ def inverse_scale(spark, sf):
     )
     params = C.fit(parts, ["target"])
     both, as_target = ["actual", "predicted"], ["target", "target"]
-    scaled = C.apply(parts, params, both, as_target).withColumns(
+    scaled = C.apply(parts, params, both, as_target, nulls=False).withColumns(
         {"scaled_actual": F.col("actual"), "scaled_predicted": F.col("predicted")}
     )
-    return tidy(C.invert(scaled, params, both, as_target).drop("split", "target"))
+    return tidy(C.invert(scaled, params, both, as_target, nulls=False).drop("split", "target"))
 
 
 def padded_sql(source: str, by: str, full: bool = False) -> str:

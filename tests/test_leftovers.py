@@ -9,7 +9,8 @@ import pytest
 from dailypanel.operators import evaluate as V
 from dailypanel.operators.features import add_ewma
 from dailypanel.operators.lookup import attach
-from dailypanel.operators.panel import trim_windows
+from dailypanel.operators import scale as C
+from dailypanel.operators.panel import trim_override, trim_windows
 from dailypanel.operators.profile import histogram, log_transform
 from dailypanel.operators.quantiles import exact_quantiles
 from dailypanel.sources import readings as S
@@ -112,3 +113,29 @@ def test_grid_best_trial_and_concat(spark):
     assert V.best_trial(scored, "r2").first()["trial"] == V.best_trial(scored, "r2", largest=False).first()["trial"] == 1
     both = V.concat([scored, spark.createDataFrame([(9, "x")], "trial long, note string")])
     assert both.columns == ["trial", "r2", "note"] and both.filter("r2 IS NULL").count() == 2
+
+
+def test_both_trims_keep_what_any_window_holds(spark):
+    day = lambda k: dt.date(2024, 1, k)
+    panel = spark.createDataFrame([(e, day(k)) for e in (1, 2, None) for k in range(1, 8)], "entity long, date date")
+    rows = [(1, day(1), day(2)), (1, day(6), day(7)), (1, day(6), day(7))]
+    want = {(1, k) for k in (1, 2, 6, 7)} | {(e, k) for e in (2, None) for k in range(1, 8)}
+    by_table = trim_windows(panel, spark.createDataFrame(rows, "entity long, start date, end date"))
+    by_list = trim_override(panel, [(e, str(a), str(b)) for e, a, b in rows])
+    for got in (by_table, by_list):
+        assert {(r["entity"], r["date"].day) for r in got.collect()} == want and got.count() == 18
+    missing = spark.createDataFrame([(None, day(3), day(3))], "entity long, start date, end date")
+    assert trim_windows(panel, missing).filter("entity IS NULL").count() == 1
+
+
+def test_best_of_a_missing_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 3.0), ("b", None)], "g string, r2 double")
+    assert {(r["g"], r["r2"]) for r in V.best_per_group(df, ["g"], "r2").collect()} == {(None, 2.0), ("a", 3.0)}
+    assert V.best_per_group(df, [], "r2").count() == 1
+
+
+def test_parameters_of_a_missing_entity(spark):
+    df = spark.createDataFrame([(1, "train", 1.0), (1, "train", 3.0), (None, "train", 10.0), (None, "train", 30.0), (2, "test", 5.0)], "entity long, split string, x double")
+    scaled = C.apply(df, C.fit(df, ["x"]), ["x"])
+    assert sorted((r["entity"] or 0, r["x"]) for r in scaled.collect()) == [(0, -1.0), (0, 1.0), (1, -1.0), (1, 1.0), (2, 5.0)]
+    assert sorted(r["x"] for r in C.invert(scaled, C.fit(df, ["x"]), ["x"]).collect()) == [1.0, 3.0, 5.0, 10.0, 30.0]

@@ -28,6 +28,17 @@ def test_both_grains_shuffle_twice_and_never_join(spark, small):
     assert text.count("Exchange") == 2 and text.count("FileScan") == 1 and "Join" not in text
 
 
+def test_parameter_joins_use_the_entity_hashing(spark, small):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["inverse_scale"](spark, small))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "coalesce(entity" not in text and text.count("SortMergeJoin") == 2
+    # each of the three panels is shuffled as a panel is, and by nothing else
+    assert text.count("Exchange hashpartitioning") == 3 * 2
+
+
 @pytest.mark.parametrize("name", ["daily_panel", "both_panel", "sequence_dataset", "histogram", "corr_matrix_by_entity", "label_encode"])
 def test_no_python_and_no_cartesian_product(spark, small, name):
     text = plan(QUERIES[name](spark, small))
