@@ -20,6 +20,7 @@ from dailypanel.functions.expressions import hash_fraction
 from dailypanel.operators.correlate import top_correlated
 from dailypanel.operators.evaluate import classification_metrics, confusion_matrix, regression_metrics
 from dailypanel.operators.lookup import attach
+from dailypanel.plans.linear import METRICS, linear_learning_curve, search_linear
 
 SEED = 42
 
@@ -204,12 +205,16 @@ def penalty_combinations(name: str, train: DataFrame, grid: dict[str, list]) ->
 def tuned_model(
     name: str, rows: DataFrame, metric: str = "r2", grid: dict | None = None, folds: int = 3, parallelism: int = 4
 ):
-    """Best model of a tuning grid, fitted on all ``rows``; an empty grid is just fitted, a model without one is an error."""
+    """Best model of a tuning grid, fitted on all ``rows``; an empty grid is just fitted, a model without one is an error.
+
+    Linear models are tuned from moments, in one pass over ``rows``, unless the metric needs the rows themselves."""
     regression = _is_regression(metric)
     grids = REGRESSION_GRIDS if regression else CLASSIFICATION_GRIDS
     if grid is None and name not in grids:
         raise ValueError(f"there is no tuning grid for {name}: give one")
     grid = grids[name] if grid is None else grid
+    if name in ("ridge", "lasso", "elastic_net") and grid and metric in METRICS:
+        return search_linear(name, rows, grid, metric).model
     estimator = regressor(name, rows) if regression else classifiers()[name]
     if not grid:
         return estimator.fit(rows)
@@ -227,8 +232,10 @@ def learning_curve(rows: DataFrame, estimator, shares: list[float], folds: int =
     """Train and test RMSE, mean and population deviation over folds, by share of the training rows.
 
     Growing shares are nested: a row is in when the hash of its entity and day is below the share. A fold without training
-    rows at a share counts with 0 rows and no RMSE.
+    rows at a share counts with 0 rows and no RMSE. Least squares need one pass for the whole curve, other estimators a fit for each point.
     """
+    if isinstance(estimator, R.LinearRegression) and estimator.getRegParam() == 0:
+        return linear_learning_curve(rows, shares, folds)
     at = hash_fraction(F.concat_ws("_", F.col("entity").cast("string"), F.col("date").cast("string")))
     placed = rows.withColumn("at", at)
     least = {r["fold"]: r["least"] for r in placed.groupBy("fold").agg(F.min("at").alias("least")).collect()}

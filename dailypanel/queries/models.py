@@ -104,14 +104,6 @@ def class_experiment_grid(spark, sf):
     return tidy(M.class_experiment_grid(rows, FEATURES, "class_label", [0.0, 1.0, 2.0], "mood_mean_daily", 5))
 
 
-@query("tuned_ridge")
-def tuned_ridge(spark, sf):
-    """Penalty chosen by cross-validation on the training part, metrics of all parts."""
-    rows = M.assembled(M.with_folds(scaled_rows(spark, sf)), FEATURES, "target")
-    model = M.tuned_model("ridge", rows.filter("split = 'train'"), grid=None)
-    return tidy(V.regression_metrics(M.predicted(model, rows), ["split"]))
-
-
 _SQUARES = "t AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, pow(corr({c}, target), 2) AS importance FROM ready" for c in FEATURES
 ) + ")"
