@@ -20,6 +20,8 @@ from dailypanel.functions.expressions import hash_fraction
 from dailypanel.operators.correlate import top_correlated
 from dailypanel.operators.evaluate import classification_metrics, confusion_matrix, regression_metrics
 from dailypanel.operators.lookup import attach
+from dailypanel.plans.boosting import SoftmaxBoosting
+from dailypanel.plans.kernel import KernelSVC
 from dailypanel.plans.linear import METRICS, linear_learning_curve, search_linear
 
 SEED = 42
@@ -93,7 +95,7 @@ REGRESSORS = {
     "lasso": lambda train: elastic_net(train, 1.0, 1.0),
     "elastic_net": lambda train: elastic_net(train, 1.0, 0.5),
     "tree": lambda train: R.DecisionTreeRegressor(maxDepth=5, seed=SEED),
-    "forest": lambda train: R.RandomForestRegressor(numTrees=50, maxDepth=5, seed=SEED),
+    "forest": lambda train: R.RandomForestRegressor(numTrees=100, maxDepth=5, seed=SEED),
     "boosted": lambda train: R.GBTRegressor(maxIter=20, maxDepth=3, stepSize=0.1, seed=SEED),
 }
 
@@ -107,13 +109,14 @@ def regressors(train: DataFrame) -> dict[str, R.Regressor]:
     return {name: regressor(name, train) for name in REGRESSORS}
 
 
-def classifiers() -> dict[str, C.Classifier]:
-    """The classification models; boosted trees and linear SVC are binary in Spark, so one against the rest."""
+def classifiers() -> dict:
+    """The classification models; the linear machine is binary in Spark, so one against the rest."""
     return {
         "logistic": C.LogisticRegression(family="multinomial", maxIter=100),
         "tree": C.DecisionTreeClassifier(maxDepth=5, seed=SEED),
-        "forest": C.RandomForestClassifier(numTrees=50, maxDepth=5, seed=SEED),
-        "boosted": C.OneVsRest(classifier=C.GBTClassifier(maxIter=10, maxDepth=3, seed=SEED)),
+        "forest": C.RandomForestClassifier(numTrees=100, maxDepth=5, seed=SEED),
+        "boosted": SoftmaxBoosting(),
+        "kernel_svc": KernelSVC(seed=SEED),
         "linear_svc": C.OneVsRest(classifier=C.LinearSVC(maxIter=50, regParam=0.01)),
     }
 

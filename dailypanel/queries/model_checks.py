@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from dailypanel.plans import models as M
+from dailypanel.plans.boosting import SoftmaxBoosting
 from dailypanel.queries import sql as S
 from dailypanel.queries.panels import ready
 from dailypanel.queries.registry import query, r, tidy
@@ -77,3 +78,21 @@ def svc_separable(spark, sf):
     SELECT class, n, {r('(SELECT sum(n) FROM c) / ((SELECT count(*) FROM c) * n::DOUBLE)')} AS weight FROM c""")
 def class_weights(spark, sf):
     return tidy(M.class_weights(ready(spark, sf), "categorical_target").withColumnRenamed("categorical_target", "class"))
+
+
+@query(
+    "boosted_classes",
+    f"""{S.upto('ready', f"p AS (SELECT ({UP} > 0)::INT AS up, categorical_target::INT + 1 AS c FROM ready WHERE {UP} IS NOT NULL AND categorical_target IS NOT NULL)")},
+    cells AS (SELECT up, c, count(p.c) AS n FROM (SELECT DISTINCT up FROM p) CROSS JOIN (SELECT DISTINCT c FROM p) LEFT JOIN p USING (up, c) GROUP BY ALL),
+    sized AS (SELECT *, sum(n) OVER (PARTITION BY up) AS of_up, sum(n) OVER (PARTITION BY c) / (SELECT count(*) FROM p)::DOUBLE AS prior, (SELECT count(DISTINCT c) FROM p) AS k FROM cells),
+    e AS (SELECT *, prior * exp((k - 1) / k::DOUBLE * (n - of_up * prior) / (of_up * prior * (1 - prior))) AS e FROM sized)
+    SELECT up, c AS class, of_up::BIGINT AS n, {r('e / sum(e) OVER (PARTITION BY up)')} AS chance FROM e""",
+)
+def boosted_classes(spark, sf):
+    """One round of one split: the start is the classes' shares, and a leaf moves them by one Newton step."""
+    df = ready(spark, sf).filter(f"{UP} IS NOT NULL AND categorical_target IS NOT NULL")
+    df = M.class_labels(df.select("entity", "date", F.expr(f"CAST({UP} > 0 AS INT)").alias("up"), "categorical_target"))
+    rows = M.assembled(df, ["up"], "class_label")
+    scored = SoftmaxBoosting(rounds=1, depth=1, step=1.0).fit(rows).transform(rows)
+    scored = scored.select(vector_to_array("features")[0].cast("int").alias("up"), F.posexplode("probability").alias("class", "chance"))
+    return tidy(scored.groupBy("up", "class").agg(F.count("*").alias("n"), F.avg("chance").alias("chance")))

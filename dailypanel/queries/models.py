@@ -13,6 +13,8 @@ from dailypanel.operators.lookup import settle
 from dailypanel.operators.scale import scale_by_entity
 from dailypanel.operators.split import chrono_split, group_hash_split
 from dailypanel.plans import models as M
+from dailypanel.plans.boosting import SoftmaxBoosting
+from dailypanel.plans.kernel import KernelSVC
 from dailypanel.queries import bindings as B
 from dailypanel.queries import sql as S
 from dailypanel.queries.panels import ready
@@ -53,7 +55,7 @@ def _regression(name: str, build):
 _regression("fit_linear", lambda train: M.linear_regression())
 _regression("fit_elastic_net", lambda train: M.elastic_net(train, 0.5, 0.5))
 _regression("fit_ridge", lambda train: M.ridge(train, 1.0))
-_regression("fit_forest", lambda train: R.RandomForestRegressor(numTrees=20, maxDepth=5, seed=M.SEED))
+_regression("fit_forest", lambda train: R.RandomForestRegressor(numTrees=100, maxDepth=5, seed=M.SEED))
 _regression("fit_gbt", lambda train: R.GBTRegressor(maxIter=10, maxDepth=3, seed=M.SEED))
 
 
@@ -69,10 +71,9 @@ def _classification(name: str, build):
 
 
 _classification("fit_logistic", lambda: C.LogisticRegression(family="multinomial", maxIter=50))
-_classification("fit_forest_classifier", lambda: C.RandomForestClassifier(numTrees=20, maxDepth=5, seed=M.SEED))
-_classification(
-    "fit_gbt_classifier", lambda: C.OneVsRest(classifier=C.GBTClassifier(maxIter=5, maxDepth=3, seed=M.SEED))
-)
+_classification("fit_forest_classifier", lambda: C.RandomForestClassifier(numTrees=100, maxDepth=5, seed=M.SEED))
+_classification("fit_gbt_classifier", lambda: SoftmaxBoosting())
+_classification("fit_kernel_svc", lambda: KernelSVC(seed=M.SEED))
 _classification("fit_linear_svc", lambda: C.OneVsRest(classifier=C.LinearSVC(maxIter=20, regParam=0.01)))
 
 

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -36,3 +38,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if shared is None and not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="dailypanel-checkpoint-"))
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors' Python, once per application, as ``--py-files`` would."""
+    context = spark.sparkContext
+    if getattr(context, "dailypanel_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="dailypanel-")) / "dailypanel_code.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context.dailypanel_shipped = True
