@@ -116,7 +116,7 @@ def classifiers() -> dict:
         "tree": C.DecisionTreeClassifier(maxDepth=5, seed=SEED),
         "forest": C.RandomForestClassifier(numTrees=100, maxDepth=5, seed=SEED),
         "boosted": SoftmaxBoosting(),
-        "kernel_svc": KernelSVC(seed=SEED),
+        "kernel_svc": KernelSVC(rounds=20, seed=SEED),
         "linear_svc": C.OneVsRest(classifier=C.LinearSVC(maxIter=50, regParam=0.01)),
     }
 

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.ml import classification as C
 
 from dailypanel.plans import kernel as K
 from dailypanel.plans import models as M
@@ -21,16 +22,16 @@ def rings(spark):
     kind, angle = r.integers(0, 3, 450), r.uniform(0, 2 * np.pi, 450)
     radius = 1.0 + 1.5 * kind + r.normal(0, 0.1, 450)
     rows = [(i, float(d * np.cos(a)), float(d * np.sin(a)), int(k)) for i, (d, a, k) in enumerate(zip(radius, angle, kind))]
-    return M.assembled(spark.createDataFrame(rows, "entity long, a double, b double, y int"), ["a", "b"], "y")
+    return M.assembled(spark.createDataFrame(rows, "entity long, a double, b double, y int").coalesce(1), ["a", "b"], "y").cache()
 
 
 def test_rings(spark):
     rows = rings(spark)
-    model = K.KernelSVC().fit(rows)
+    model = K.KernelSVC(rounds=20).fit(rows)
     scored = model.transform(rows)
     assert scored.filter("prediction = label").count() >= 440
     assert scored.first()["features"].size == 2
-    flat = M.classifiers()["linear_svc"].fit(rows).transform(rows)
+    flat = C.OneVsRest(classifier=C.LinearSVC(maxIter=20, regParam=0.001)).fit(rows).transform(rows)
     assert flat.filter("prediction = label").count() < 300
     with pytest.raises(ValueError):
         K.KernelSVC().fit(rows.limit(0))
