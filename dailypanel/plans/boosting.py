@@ -21,6 +21,8 @@ from dailypanel.operators.lookup import settle
 from dailypanel.session import ship
 
 BINS, KEEP = 32, 25
+#: Rows that a task should have at least.
+TASK_ROWS = 20_000
 
 
 @dataclass(frozen=True)
@@ -152,7 +154,8 @@ class SoftmaxBoosting:
         seen = np.array([counts.get(k, 0) for k in range(classes)])
         start = np.log(np.maximum(seen, 1e-9) / seen.sum())
         edges = _edges(table)
-        rows = settle(self._prepared(table, edges, start))
+        # a pass over a small table is mostly the cost of its tasks
+        rows = settle(self._prepared(table, edges, start).coalesce(1 + int(seen.sum()) // TASK_ROWS))
         grown, kept = [], []
         for _ in range(self.rounds):
             grown.append(self._round(rows, start, grown, len(edges)))
