@@ -13,9 +13,13 @@ from pyspark.sql import DataFrame
 from dailypanel.fixed import MEAN_STATS, TOD_STATS
 
 
+#: Ways to fill the gaps of a column.
+FILLS = ("zero", "mean", "median", "mode", "linear")
+
+
 @dataclass(frozen=True)
 class PanelColumn:
-    """One panel column; ``fill`` is one of zero, mode, linear or none."""
+    """One panel column; ``fill`` is one of FILLS or none."""
 
     variable: str
     stat: str
@@ -38,6 +42,7 @@ class Catalog:
     signed    variables for which a negative value is legal
     usage     summed variables whose missing days mean "not used", filled with 0
     static    variables whose readings say nothing about being awake
+    fills     (column name, fill) of single columns, instead of the usual fill of their statistic
     """
 
     averaged: tuple[str, ...]
@@ -50,6 +55,13 @@ class Catalog:
     valence: str = "valence"
     arousal: str = "arousal"
     order: tuple[str, ...] = field(default=())
+    fills: tuple[tuple[str, str], ...] = ()
+
+    def __post_init__(self) -> None:
+        known = {c.name for c in (*self.daily_columns(), *self.tod_columns())}
+        for name, fill in self.fills:
+            if name not in known or fill not in FILLS:
+                raise ValueError(f"{name} cannot be filled by {fill}: columns {sorted(known)}, fills {FILLS}")
 
     @classmethod
     def discover(cls, readings: DataFrame, **roles) -> Catalog:
@@ -66,7 +78,10 @@ class Catalog:
             key=lambda c: (place.get(c.variable, len(place)), c.variable, stats[c.stat]),
         )
 
-    def _fill(self, variable: str, stat: str) -> str:
+    def _fill(self, variable: str, stat: str, grain: str = "daily") -> str:
+        wanted = dict(self.fills).get(PanelColumn(variable, stat, grain).name)
+        if wanted:
+            return wanted
         if variable in self.usage:
             return "zero"
         return "mode" if stat in ("min", "max") else "linear"
@@ -77,14 +92,14 @@ class Catalog:
         cols += [PanelColumn(v, "sum", "daily", self._fill(v, "sum")) for v in self.summed]
         cols += [PanelColumn(v, "max", "daily", self._fill(v, "max")) for v in self.peaked]
         return self._ranked(cols) + [
-            PanelColumn("wake_time", "", "daily", "linear"),
-            PanelColumn("bed_time", "", "daily", "linear"),
+            PanelColumn("wake_time", "", "daily", self._fill("wake_time", "")),
+            PanelColumn("bed_time", "", "daily", self._fill("bed_time", "")),
         ]
 
     def tod_columns(self) -> list[PanelColumn]:
         """Time-of-day aggregates in display order."""
-        cols = [PanelColumn(v, s, "tod", self._fill(v, s)) for v in self.averaged for s in TOD_STATS]
-        cols += [PanelColumn(v, "max", "tod", self._fill(v, "max")) for v in self.peaked]
+        cols = [PanelColumn(v, s, "tod", self._fill(v, s, "tod")) for v in self.averaged for s in TOD_STATS]
+        cols += [PanelColumn(v, "max", "tod", self._fill(v, "max", "tod")) for v in self.peaked]
         return self._ranked(cols)
 
     def names(self, grain: str, fill: str | None = None) -> list[str]:

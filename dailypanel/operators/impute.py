@@ -24,6 +24,11 @@ def fill_mean(panel: DataFrame, columns: list[str]) -> DataFrame:
     return with_exprs(panel, {c: f"coalesce(`{c}`, avg(`{c}`) {over()})" for c in columns})
 
 
+def fill_entity_median(panel: DataFrame, columns: list[str]) -> DataFrame:
+    """Median of the entity, the middle of two for an even number of values."""
+    return with_exprs(panel, {c: f"coalesce(`{c}`, median(CAST(`{c}` AS DOUBLE)) {over()})" for c in columns})
+
+
 def fill_mode(panel: DataFrame, columns: list[str]) -> DataFrame:
     """Most frequent value of the entity, the smallest one on ties."""
     return with_exprs(panel, {c: f"coalesce(`{c}`, mode(`{c}`, true) {over()})" for c in columns})
@@ -55,8 +60,11 @@ def _on_line(x: str, before: str, after: str) -> str:
 
 
 def impute_all(panel: DataFrame, catalog: Catalog, grain: str = "daily") -> DataFrame:
-    """Zero, mode and linear fills, each for the columns the catalogue names."""
+    """Zero, mean, median, mode and linear fills, each for the columns the catalogue names."""
     panel = fill_zero(panel, catalog.names(grain, "zero"))
+    for fill, build in (("mean", fill_mean), ("median", fill_entity_median)):
+        names = catalog.names(grain, fill)
+        panel = build(panel, names) if names else panel
     panel = fill_mode(panel, catalog.names(grain, "mode"))
     return fill_linear(panel, catalog.names(grain, "linear"), grain)
 

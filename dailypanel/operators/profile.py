@@ -237,3 +237,15 @@ def spec_report(df: DataFrame, column: str) -> DataFrame:
             F.max(F.coalesce("high", "low")).alias("high"),
         )
     )
+
+
+def describe(df: DataFrame, column: str, by: list[str]) -> DataFrame:
+    """Count, mean, sample deviation, ends and exact quartiles of a column for each group; a missing group is a group."""
+    values = settle(df.select(*by, column))
+    moments = values.groupBy(*by).agg(
+        F.count(column).alias("n"), F.avg(column).alias("mean"), F.stddev_samp(column).alias("std"), F.min(column).alias("min"), F.max(column).alias("max")
+    )
+    named = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
+    picked = [F.max(F.when(F.col("probability") == p, F.col("value"))).alias(name) for p, name in named.items()]
+    wide = exact_quantiles(values, [column], list(named), by).groupBy(*by).agg(*picked)
+    return attach(moments, wide, by, "left") if by else moments.join(wide)

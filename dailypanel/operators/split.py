@@ -1,7 +1,7 @@
 """Train, validation and test splits that add one column ``split``.
 
 Chronological splits are windows over one entity's panel rows. Random splits hash a key: no sort, no list of
-keys, the same answer on every run, shares met approximately.
+keys, the same answer on every run. Their shares are met approximately, or exactly if ``share_edges`` first selects the edges by rank.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dailypanel.functions.expressions import hash_fraction
+from dailypanel.operators.lookup import settle
 
 
 def _numbered(df: DataFrame, order: list[str]) -> DataFrame:
@@ -75,3 +76,53 @@ def split_date_ranges(df: DataFrame) -> DataFrame:
         for name, end in (("start", F.min), ("end", F.max))
     ]
     return df.groupBy("entity").agg(*ends)
+
+
+#: Values of a hash, and those that one pass tells apart.
+HASHES, DIGIT = 1 << 32, 1 << 11
+
+
+def day_key() -> Column:
+    """The text by which whole days are dealt."""
+    return F.concat_ws("_", F.col("entity").cast("string"), F.col("date").cast("string"))
+
+
+def entity_key() -> Column:
+    return F.col("entity").cast("string")
+
+
+def share_edges(df: DataFrame, key: Column, shares: list[float]) -> list[float]:
+    """For each share the fraction below which the hashes of exactly floor(share x keys) distinct ``key`` texts lie.
+
+    Ranks are found digit by digit: a pass counts the keys of each of 2048 ranges, and the next one looks into the range that holds the rank. So no keys
+    are sorted or collected, and later data are split by the edges alone. Keys whose 32-bit hashes are equal stay together. A missing key is none.
+    """
+    keys = settle(df.select((hash_fraction(key) * HASHES).cast("long").alias("h"), key.alias("k")).filter("k IS NOT NULL").distinct().select("h"))
+    total = keys.count()
+    edges = []
+    for share in shares:
+        rank, low, width = int(total * share + 1e-9), 0, HASHES
+        if rank >= total:
+            edges.append(1.0)
+            continue
+        while width > 1:
+            step = max(1, width // DIGIT)
+            inside = keys.filter((F.col("h") >= low) & (F.col("h") < low + width))
+            counts = {r["at"]: r["n"] for r in inside.groupBy(F.floor((F.col("h") - low) / step).cast("long").alias("at")).agg(F.count("*").alias("n")).collect()}
+            at = 0
+            while rank >= counts.get(at, 0):
+                rank -= counts.get(at, 0)
+                at += 1
+            low, width = low + at * step, step
+        edges.append(low / HASHES)
+    return edges
+
+
+def exact_split(df: DataFrame, key: Column, test: float = 0.15, val: float = 0.15) -> DataFrame:
+    """Random split by ``key`` (``entity_key()`` or ``day_key()``) whose test and validation shares are exact to one key."""
+    first, second = share_edges(df, key, [test, test + val])
+    return df.withColumn("split", _by_edges(hash_fraction(key), first, second))
+
+
+def _by_edges(at: Column, first: float, second: float) -> Column:
+    return F.when(at < F.lit(first), "test").when(at < F.lit(second), "val").otherwise("train")

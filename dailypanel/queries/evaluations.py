@@ -68,6 +68,16 @@ def regression_metrics(spark, sf):
     return tidy(V.regression_metrics(predictions(spark, sf), ["model", "split"]))
 
 
+@query(
+    "missing_pairs",
+    f"""{S.upto('ready', cut())} SELECT split, count(*) FILTER (WHERE entity % 4 = 0) AS n_missing FROM cut GROUP BY split""",
+)
+def missing_pairs(spark, sf):
+    """Every fourth entity has no prediction."""
+    rows = persistence(spark, sf).withColumn("predicted", F.when(F.col("entity") % 4 != 0, F.col("predicted")))
+    return V.missing_pairs(rows, ["split"])
+
+
 @query(
     "log_scale_metrics",
     f"""{S.upto('ready', cut(), PREDICTIONS)},
@@ -289,6 +299,17 @@ def param_grid(spark, sf):
     return tidy(trials(spark, sf, [], "val"))
 
 
+@query(
+    "best_trial",
+    f"""{_trial_sql("val")}, numbered AS (SELECT span, weight, row_number() OVER (ORDER BY span, weight) - 1 AS trial FROM trials)
+    SELECT trial, {_TRIAL_COLUMNS.replace('span,', 'span::BIGINT AS span,')} FROM trials JOIN numbered USING (span, weight) ORDER BY r2 DESC, trial LIMIT 1""",
+)
+def best_trial(spark, sf):
+    """The best of a numbered grid, with its scores."""
+    grid = V.parameter_grid(spark, {"span": list(SPANS), "weight": list(WEIGHTS)})
+    return tidy(V.best_trial(F.broadcast(grid).join(trials(spark, sf, [], "val"), ["span", "weight"]), "r2"))
+
+
 @query(
     "param_impact",
     f"""{_trial_sql('val')} SELECT 'span' AS parameter, CAST(span AS VARCHAR) AS setting, {r('avg(mse)')} AS mean_loss

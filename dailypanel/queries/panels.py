@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from dailypanel.functions import expressions as E
+from dailypanel.operators import evaluate as V
 from dailypanel.operators import features as X
 from dailypanel.operators import impute as I
 from dailypanel.operators import panel as P
@@ -12,7 +15,7 @@ from dailypanel.plans import ready as R
 from dailypanel.queries import bindings as B
 from dailypanel.queries import sql as S
 from dailypanel.queries.registry import D, N, T, query, r, tidy
-from dailypanel.sources.readings import drop_negative, negative_audit
+from dailypanel.sources.readings import drop_negative, negative_audit, unreadable_audit
 
 CAT = B.CATALOG
 READING_COLUMNS = ["entity", "ts", "seq", "variable", "value", "date", "hour", "tod"]
@@ -208,6 +211,47 @@ def impute_all(spark, sf):
     return tidy(I.impute_all(_trimmed(spark, sf), CAT))
 
 
+_OVERRIDDEN = {"mood_std_daily": "mean", "mood_max_daily": "median", "screen_sum_daily": "zero", "valence_min_daily": "linear", "wake_time_daily": "median"}
+_FILL_SQL = {
+    "mean": "coalesce({0}, avg({0}) OVER (PARTITION BY entity))",
+    "median": "coalesce({0}, median({0}) OVER (PARTITION BY entity))",
+    "zero": "coalesce({0}, 0)",
+}
+
+
+@query(
+    "impute_override",
+    f"""{S.upto('imputed')} SELECT entity, {D}, {", ".join(
+        f"{r(_FILL_SQL[f].format(c) if f in _FILL_SQL else S.line(c, S.DAY_POS, 'date'))} AS {c}" for c, f in _OVERRIDDEN.items())} FROM trimmed""",
+)
+def impute_override(spark, sf):
+    """Fills that the caller chooses for single columns."""
+    catalog = replace(CAT, fills=tuple(_OVERRIDDEN.items()))
+    return tidy(I.impute_all(_trimmed(spark, sf), catalog).select("entity", "date", *_OVERRIDDEN))
+
+
+@query(
+    "unreadable_audit",
+    f"""{S.upto('readings')} SELECT event_id AS seq, CASE WHEN event_id % 41 = 0 THEN 'user.x' ELSE 'user.' || user_id END AS id FROM events WHERE event_id % 41 = 0""",
+)
+def unreadable_audit_query(spark, sf):
+    """Raw rows whose id says no entity."""
+    raw = B.raw_readings(spark, sf).withColumn("id", F.when(F.col("seq") % 41 == 0, "user.x").otherwise(F.col("id")))
+    return unreadable_audit(raw).select("seq", "id")
+
+
+@query(
+    "concat_grains",
+    f"""{S.upto('daily', S.TOD)} SELECT entity, {D}, NULL::VARCHAR AS tod, {r('mood_mean_daily')} AS mood_mean_daily, NULL::DOUBLE AS mood_mean_tod FROM panel
+    UNION ALL SELECT entity, {D}, tod::VARCHAR, NULL, {r('mood_mean_tod')} FROM tod_panel""",
+)
+def concat_grains(spark, sf):
+    """Both grains below each other; what a grain lacks is null."""
+    readings = B.clean(spark, sf)
+    daily = P.daily_panel(readings, CAT).select("entity", "date", "mood_mean_daily")
+    return tidy(V.concat([daily, P.tod_panel(readings, CAT).select("entity", "date", F.col("tod").cast("string").alias("tod"), "mood_mean_tod")]))
+
+
 @query(
     "null_audit",
     f"""{S.upto('imputed')} {' UNION ALL '.join(

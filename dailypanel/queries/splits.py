@@ -8,7 +8,7 @@ from dailypanel.operators import scale as C
 from dailypanel.operators import sequences as Q
 from dailypanel.operators import split as L
 from dailypanel.operators.lookup import settle
-from dailypanel.operators.quantiles import exact_quantiles
+from dailypanel.operators.profile import describe
 from dailypanel.plans.datasets import sequence_dataset
 from dailypanel.queries import sql as S
 from dailypanel.queries.panels import ready
@@ -81,6 +81,22 @@ def entity_holdout(spark, sf):
     return L.entity_holdout(ready(spark, sf)).groupBy("entity", "split").agg(F.count("*").alias("n"))
 
 
+def _exact(name: str, key, text: str):
+    ranked = f"""k AS (SELECT DISTINCT {text} AS k FROM ready),
+    o AS (SELECT k, row_number() OVER (ORDER BY {fraction('k')}) - 1 AS i, count(*) OVER () AS n FROM k),
+    s AS (SELECT k, CASE WHEN i < floor(n * 0.15::DOUBLE + 1e-9) THEN 'test' WHEN i < floor(n * 0.3::DOUBLE + 1e-9) THEN 'val' ELSE 'train' END AS split FROM o)"""
+
+    @query(name, f"{S.upto('ready', ranked)} SELECT entity, {D}, split FROM ready JOIN s ON s.k = {text}")
+    def run(spark, sf):
+        return tidy(L.exact_split(settle(ready(spark, sf).select("entity", "date")), key()))
+
+    return run
+
+
+_exact("entity_exact_holdout", L.entity_key, "CAST(entity AS VARCHAR)")
+_exact("day_exact_split", L.day_key, DAY_TEXT)
+
+
 @query(
     "split_date_ranges",
     f"""{S.upto('ready', cut())} SELECT entity,
@@ -101,21 +117,7 @@ def split_date_ranges(spark, sf):
     {r('max(target)')} AS max FROM cut GROUP BY split""",
 )
 def split_describe(spark, sf):
-    parts = settle(split_ready(spark, sf).select("split", "target"))
-    moments = parts.groupBy("split").agg(
-        F.count("target").alias("n"),
-        F.avg("target").alias("mean"),
-        F.stddev_samp("target").alias("std"),
-        F.min("target").alias("min"),
-        F.max("target").alias("max"),
-    )
-    wide = exact_quantiles(parts, ["target"], [0.25, 0.5, 0.75], ["split"]).groupBy("split").agg(
-        *[
-            F.max(F.when(F.col("probability") == p, F.col("value"))).alias(name)
-            for p, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))
-        ]
-    )
-    return tidy(moments.join(wide, "split"))
+    return tidy(describe(split_ready(spark, sf), "target", ["split"]))
 
 
 @query(

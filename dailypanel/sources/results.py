@@ -28,6 +28,11 @@ def stored_panel(spark: SparkSession, path: str, build) -> DataFrame:
     return read_panel(spark, path)
 
 
+def write_ordered(df: DataFrame, path: str, order: list[str]) -> None:
+    """Parquet whose files follow each other in ``order`` and are sorted inside: ranges are dealt out, so no task sorts everything."""
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
 

@@ -1,17 +1,21 @@
 """Missing groups, missing predictions, unlisted classes, missing scores, long histories."""
 
 import datetime as dt
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
 import pytest
 
+from dailypanel.catalog import Catalog
 from dailypanel.operators import evaluate as V
 from dailypanel.operators.features import add_ewma
 from dailypanel.operators.lookup import attach
+from dailypanel.operators import impute as I
 from dailypanel.operators import scale as C
+from dailypanel.operators import split as L
 from dailypanel.operators.panel import trim_override, trim_windows
-from dailypanel.operators.profile import histogram, log_transform
+from dailypanel.operators.profile import describe, histogram, log_transform
 from dailypanel.operators.quantiles import exact_quantiles
 from dailypanel.sources import readings as S
 
@@ -139,3 +143,34 @@ def test_parameters_of_a_missing_entity(spark):
     scaled = C.apply(df, C.fit(df, ["x"]), ["x"])
     assert sorted((r["entity"] or 0, r["x"]) for r in scaled.collect()) == [(0, -1.0), (0, 1.0), (1, -1.0), (1, 1.0), (2, 5.0)]
     assert sorted(r["x"] for r in C.invert(scaled, C.fit(df, ["x"]), ["x"]).collect()) == [1.0, 3.0, 5.0, 10.0, 30.0]
+
+
+@pytest.mark.parametrize("n", [1, 7, 1000])
+def test_shares_are_exact_whatever_the_hashes(spark, n):
+    df = spark.range(n).selectExpr("id AS entity", "DATE '2024-01-01' AS date").unionByName(spark.range(n).selectExpr("id AS entity", "DATE '2024-01-02' AS date"))
+    counts = {r["split"]: r["count"] for r in L.exact_split(df, L.entity_key(), 0.15, 0.2).groupBy("split").count().collect()}
+    test, both = int(n * 0.15 + 1e-9), int(n * 0.35 + 1e-9)
+    assert (counts.get("test", 0), counts.get("val", 0), counts.get("train", 0)) == (2 * test, 2 * (both - test), 2 * (n - both))
+    assert L.share_edges(df, L.day_key(), [0.0, 1.0])[1] == 1.0
+    assert L.exact_split(df.limit(0), L.entity_key()).count() == 0
+
+
+def test_fills_chosen_by_column(spark):
+    days = [(1, dt.date(2024, 1, k), v, v, v, v) for k, v in enumerate([1.0, None, 4.0, 4.0, 9.0], 1)]
+    df = spark.createDataFrame(days, "entity long, date date, mood_mean_daily double, mood_min_daily double, mood_max_daily double, mood_std_daily double")
+    plain = Catalog(averaged=("mood",), summed=())
+    fills = {"mood_mean_daily": "mean", "mood_min_daily": "median", "mood_max_daily": "linear", "mood_std_daily": "zero"}
+    catalog = replace(plain, fills=tuple(fills.items()))
+    for fill in ("mean", "median", "linear", "zero"):
+        assert catalog.names("daily", fill)[0] == next(c for c, f in fills.items() if f == fill)
+    for build, want in ((I.fill_mean, 4.5), (I.fill_entity_median, 4.0)):
+        assert build(df, ["mood_mean_daily"]).orderBy("date").collect()[1]["mood_mean_daily"] == want
+    for wrong in (("mood_mean_daily", "mood"), ("nothing", "mean")):
+        with pytest.raises(ValueError):
+            replace(plain, fills=(wrong,))
+
+
+def test_describe_keeps_a_missing_group(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0), ("a", None)], "g string, x double")
+    got = {r["g"]: (r["n"], r["mean"], r["q50"], r["max"]) for r in describe(df, "x", ["g"]).collect()}
+    assert got == {None: (2, 2.0, 2.0, 3.0), "a": (1, 5.0, 5.0, 5.0)}
