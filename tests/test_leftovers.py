@@ -161,8 +161,8 @@ def test_fills_chosen_by_column(spark):
     plain = Catalog(averaged=("mood",), summed=())
     fills = {"mood_mean_daily": "mean", "mood_min_daily": "median", "mood_max_daily": "linear", "mood_std_daily": "zero"}
     catalog = replace(plain, fills=tuple(fills.items()))
-    for fill in ("mean", "median", "linear", "zero"):
-        assert catalog.names("daily", fill)[0] == next(c for c, f in fills.items() if f == fill)
+    for column_name, fill in fills.items():
+        assert column_name in catalog.names("daily", fill)
     for build, want in ((I.fill_mean, 4.5), (I.fill_entity_median, 4.0)):
         assert build(df, ["mood_mean_daily"]).orderBy("date").collect()[1]["mood_mean_daily"] == want
     for wrong in (("mood_mean_daily", "mood"), ("nothing", "mean")):
