@@ -7,7 +7,6 @@ were. Only DataFrame functions are used.
 
 from __future__ import annotations
 
-import hashlib
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,13 +16,18 @@ from dailypanel.llm.common import scratch_table, settle, sha256_hex, whole
 
 #: Document shares of lexicon terms. There are at most (mean distinct terms of a document) / LEAST such terms.
 LEAST, MOST = 0.002, 0.2
-LEXICONS = 32
-# a term is in the subsets at whose places its two hashes have the hexadecimal digits 0 and 0 to 3: in one of 64
-#: Documents with fewer lexicon terms are known by their whole text.
+#: EACH subsets hold one lexicon term in RATES[0], EACH others one in RATES[1] and so on: large subsets still hold terms of short texts, small ones tell
+#: long texts apart by degrees. Bits of a term's hash say which subsets it is in: a stretch of bits for each rate, of which the values below EACH are subsets.
+RATES, EACH = (16, 64, 256, 1024), 16
+SHIFTS = (0, 4, 10, 18)
+LEXICONS = len(RATES) * EACH
+#: A document with fewer lexicon terms than this takes all of its terms instead.
 FEW = 3
 #: A lexicon of more terms than this is joined by shuffle.
 BROADCAST_TERMS = 1_000_000
 ID_BITS, ID_LEVELS = 12, 6
+#: Stands for a missing doc_id, below all others, and for a subset without terms.
+NO_ID, NOTHING = -9223372036854775808, 0
 
 
 def terms_of(text: Column) -> Column:
@@ -33,15 +37,11 @@ def terms_of(text: Column) -> Column:
 
 
 def lexicon(texts: Column, docs: DataFrame, least: float = LEAST, most: float = MOST) -> DataFrame:
-    """(term, code): code holds 32 bits of the term's hash and, in the low 32 bits, which subsets it is in. The row 0, 0 is no term."""
+    """The terms in the band, and the row 0, which is no term."""
     total = docs.count()
     terms = docs.select(F.explode(terms_of(texts)).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     band = terms.filter((F.col("df") >= max(2.0, least * total)) & (F.col("df") <= max(2.0, most * total)) & (F.col("term") != 0)).select("term")
-    digits = F.md5(F.col("term").cast("string"))
-    more = F.md5(digits)
-    subsets = reduce(lambda x, y: x + y, [F.when((F.substring(digits, k + 1, 1) == "0") & (F.substring(more, k + 1, 1) < "4"), F.lit(1 << k)).otherwise(F.lit(0)).cast("long") for k in range(LEXICONS)])
-    high = F.shiftleft(F.shiftrightunsigned("term", 32), 32)
-    return band.select("term", high.bitwiseOR(subsets).alias("code")).union(docs.sparkSession.range(1).select(F.lit(0).cast("long"), F.lit(0).cast("long")))
+    return band.union(docs.sparkSession.range(1).select(F.lit(0).cast("long")))
 
 
 def next_lower(ids: DataFrame) -> DataFrame:
@@ -64,38 +64,53 @@ def next_lower(ids: DataFrame) -> DataFrame:
     return above
 
 
-def with_parts(df: DataFrame, codes: str) -> DataFrame:
-    """Adds parts: the full hash and one hash for each lexicon subset, "" where the document has none of its terms; null for too few terms.
+def with_parts(df: DataFrame, name: str) -> DataFrame:
+    """Replaces the sorted terms in ``name`` by 16-bit parts: two that hash all terms, and one above 0 for each subset, NOTHING where it has no term.
 
-    ``inline`` keeps the sorted terms, and those of them that any subset has, from being made anew for every part."""
-    terms = F.sort_array(F.filter(codes, lambda c: c != 0))
-    df = df.select("*", F.inline(F.array(F.struct(terms.alias("__terms")))))
-    df = df.select("*", F.inline(F.array(F.struct(F.filter("__terms", lambda c: c.bitwiseAND(F.lit(2 ** 32 - 1)) != 0).alias("__in_subsets")))))
-    nothing = hashlib.md5(b"").hexdigest()[:8]
-    digest = lambda x: F.replace(F.substring(F.md5(F.array_join(x.cast("array<string>"), ",")), 1, 8), F.lit(nothing), F.lit(""))
-    parts = F.array(digest(F.col("__terms")), *[digest(F.filter("__in_subsets", _has(k))) for k in range(LEXICONS)])
-    return df.select("*", F.inline(F.array(F.struct(F.when(F.size("__terms") >= FEW, parts).alias("parts"))))).drop("__terms", "__in_subsets")
-
-
-def _has(k: int):
-    return lambda code: code.bitwiseAND(F.lit(1 << k)) != 0
+    ``inline`` keeps the terms of a rate's subsets from being made anew for every subset."""
+    field = lambda c: lambda t: F.shiftright(t, SHIFTS[c]).bitwiseAND(F.lit(RATES[c] - 1))
+    some = lambda c: lambda t: field(c)(t) < EACH
+    one = lambda c, k: lambda t: field(c)(t) == k
+    inside = [F.filter(name, some(c)) if rate > EACH else F.col(name) for c, rate in enumerate(RATES)]
+    df = df.select("*", F.inline(F.array(F.struct(*[x.alias(f"__in{c}") for c, x in enumerate(inside)]))))
+    digest = lambda x: F.when(F.size(x) == 0, F.lit(NOTHING)).otherwise(F.hash(x).bitwiseAND(F.lit(0x3FFF)) + 1).cast("short")
+    every = F.hash(name)
+    halves = [F.shiftright(every, 16).cast("short"), F.shiftright(F.shiftleft(every, 16), 16).cast("short")]
+    parts = [digest(F.filter(f"__in{c}", one(c, k))) for c in range(len(RATES)) for k in range(EACH)]
+    return df.withColumn(name, F.array(*halves, *parts)).drop(*[f"__in{c}" for c in range(len(RATES))])
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Of the subsets that either of two fingerprints (arrays of parts) has terms of, the share in which both hashes agree; equal fingerprints have 1."""
-    either = F.aggregate(F.zip_with(F.slice(a, 2, LEXICONS), F.slice(b, 2, LEXICONS), lambda x, y: F.when((x != "") | (y != ""), 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
-    agree = F.aggregate(F.zip_with(F.slice(a, 2, LEXICONS), F.slice(b, 2, LEXICONS), lambda x, y: F.when((x != "") & (x == y), 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
-    return F.when(a == b, 1.0).when((F.size(a) < 2) | (F.size(b) < 2) | (either == 0), 0.0).otherwise(agree / either).cast("double")
+    subsets = lambda x: F.slice(x, 3, LEXICONS)
+    both = F.zip_with(subsets(a), subsets(b), lambda x, y: F.when((x == NOTHING) & (y == NOTHING), 0).when(x == y, 1001).otherwise(1))
+    sums = F.aggregate(both, F.lit(0), lambda s, x: s + x)  # agreeing ones in thousands, all in units
+    either, agree = sums % 1000, F.floor(sums / 1000)
+    return F.when(a == b, 1.0).when(either == 0, 0.0).otherwise(agree / either).cast("double")
+
+
+def as_text(parts: Column) -> Column:
+    return F.array_join(F.transform(parts, lambda p: F.lower(F.right(F.concat(F.lit("000"), F.hex(p.cast("int").bitwiseAND(F.lit(0xFFFF)))), F.lit(4)))), "")
+
 
+def fingerprint_pairs(rows: DataFrame, words: DataFrame, n_words: int) -> DataFrame:
+    """k, mark, doc_id, rows, n_chars, edited_sha256, own, new: fingerprints of ``text`` and of ``edited``, for rows dealt by k, or by k and mark.
 
-def fingerprint_texts(rows: DataFrame, keys: list[str], words: DataFrame, n_words: int) -> DataFrame:
-    """``keys``, sha and parts for rows with keys and text. Rows alike in keys and text are one. Where rows are dealt by a key already, they stay."""
-    # the digest first: beside explode it would be made for every term
-    rows = rows.select(*keys, "text", sha256_hex(F.col("text")).alias("sha"))
-    terms = rows.select(*keys, "sha", F.explode(F.array_append(terms_of(F.col("text")), F.lit(0).cast("long"))).alias("term"))
+    Rows alike in k and mark are one. Both texts' terms are looked up and gathered where the texts are: they are not shuffled again."""
+    sha, n = F.unhex(sha256_hex(F.col("edited"))), F.length("text")
+    known = rows.select("k", "mark", F.inline(F.array(F.struct("doc_id", n.alias("n"), sha.alias("sha"), terms_of(F.col("text")).alias("t0"), terms_of(F.col("edited")).alias("t1")))))
+    none = F.lit(None)
+    term = lambda kind: lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("term"), none.cast("struct<doc_id:bigint,n:int,sha:binary,t0:array<bigint>,t1:array<bigint>>").alias("rest"))
+    # one more row per text carries what is not a term, and all terms for texts with few of the lexicon's
+    rest = F.struct(F.lit(2).alias("kind"), F.lit(0).cast("long").alias("term"), F.struct(F.col("doc_id").cast("long").alias("doc_id"), "n", "sha", "t0", "t1").alias("rest"))
+    terms = known.select("k", "mark", F.inline(F.concat(F.transform("t0", term(0)), F.transform("t1", term(1)), F.array(rest))))
     found = terms.join(F.broadcast(words) if n_words <= BROADCAST_TERMS else words, "term")
-    codes = found.groupBy(*keys, "sha").agg(F.collect_set("code").alias("codes"))
-    return with_parts(codes, "codes").select(*keys, "sha", F.coalesce("parts", F.array("sha")).alias("parts"))
+    terms_in = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.col("term")))
+    one = found.groupBy("k", "mark").agg(terms_in(0).alias("c0"), terms_in(1).alias("c1"), F.first("rest", True).alias("rest"), F.count_if(F.col("kind") == 2).alias("rows"))
+    chosen = lambda c, t: F.sort_array(F.when(F.size(c) >= FEW, F.col(c)).otherwise(F.col("rest")[t]))
+    one = one.select("k", "mark", "rows", "rest.doc_id", F.col("rest.n").cast("long").alias("n_chars"), F.lower(F.hex("rest.sha")).alias("edited_sha256"),
+                     F.inline(F.array(F.struct(chosen("c0", "t0").alias("own"), chosen("c1", "t1").alias("new")))))
+    return with_parts(with_parts(one, "own"), "new")
 
 
 def fingerprint_edits(docs: DataFrame, least: float = LEAST, most: float = MOST) -> DataFrame:
@@ -103,27 +118,27 @@ def fingerprint_edits(docs: DataFrame, least: float = LEAST, most: float = MOST)
 
     The edited text has the last floor(n_chars / 2) characters replaced by the first as many, or all, of the next document, that with the next
     smaller doc_id (after the last: the first). Null texts count as empty, a null doc_id as the smallest. Rows that share a doc_id have the same next
-    document; of several with its id, that with the smallest text hash. Equal texts have equal fingerprints."""
+    document; of several with its id, that with the smallest text hash. Equal texts have equal fingerprints. Other columns are not returned."""
     text = whole(F.col("text"))
-    keyed = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-9223372036854775808).cast("long")).alias("k"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    keyed = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID).cast("long")).alias("k"), F.xxhash64(text).alias("mark"), text.alias("text"))
     words = settle(lexicon(F.col("text"), keyed.select("text"), least, most))
     n_words = words.count()
     per_id = settle(keyed.groupBy("k").agg(F.max(F.floor(F.length("text") / 2)).cast("int").alias("need"), F.min("mark").alias("first")))
     after = settle(next_lower(per_id.select("k")))
     asked = after.join(per_id.select("k", "need"), "k").select(F.col("next").alias("k"), F.col("k").alias("asker"), "need")
     asked = asked.join(per_id.select("k", "first"), "k")
-    dealt = keyed.select("k", "mark", "text").repartition("k")
-    starts = dealt.join(asked, "k").filter("mark = first").select(F.col("asker").alias("k"), F.expr("left(text, need)").alias("start"))
-    starts = starts.groupBy("k").agg(F.first("start").alias("start"))
-    both = dealt.join(starts, "k")
-    n = F.length("text")
+    dealt = keyed.filter(F.col("k") != NO_ID).repartition("k")
+    lost = keyed.filter(F.col("k") == NO_ID).repartition("k", "mark")
+    told = [part.join(asked, "k").filter("mark = first").select(F.col("asker").alias("k"), F.expr("left(text, need)").alias("start")) for part in (dealt, lost)]
+    starts = told[0].unionByName(told[1])
     edited = F.concat(F.expr("left(text, cast(length(text) - floor(length(text) / 2) AS int))"), F.expr("left(start, cast(floor(length(text) / 2) AS int))"))
-    kinds = both.select("k", "mark", n.cast("long").alias("n_chars"), F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("text").alias("text")), F.struct(F.lit(1).alias("kind"), edited.alias("text")))).alias("t"))
-    prints = scratch_table(fingerprint_texts(kinds.select("k", "mark", "n_chars", "t.kind", "t.text"), ["k", "mark", "n_chars", "kind"], words, n_words))
-    own = prints.filter("kind = 0").select("k", "mark", "n_chars", F.col("parts").alias("own"))
-    new = prints.filter("kind = 1").select("k", "mark", F.col("sha").alias("edited_sha256"), F.col("parts").alias("new"))
-    following = own.join(per_id.select("k", F.col("first").alias("mark")), ["k", "mark"]).select(F.col("k").alias("next"), F.col("own").alias("following"))
-    full = own.join(new, ["k", "mark"]).join(after, "k").join(following, "next")
-    full = full.select("k", "mark", "n_chars", "edited_sha256", F.array_join("own", ".").alias("fingerprint"), F.array_join("new", ".").alias("edited_fingerprint"),
-                       likeness(F.col("own"), F.col("new")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"))
-    return keyed.select("doc_id", "k", "mark").join(full, ["k", "mark"]).drop("k", "mark")
+    first = starts.filter(F.col("k") != NO_ID).groupBy("k").agg(F.min("start").alias("start"))
+    # rows without doc_id, however many, all follow on one text
+    alone = starts.filter(F.col("k") == NO_ID).select("start").limit(1)
+    pairs = [part.withColumn("edited", edited) for part in (dealt.join(first, "k"), lost.join(F.broadcast(alone)))]
+    prints = scratch_table(reduce(DataFrame.unionByName, [fingerprint_pairs(p, words, n_words) for p in pairs]))
+    firsts = prints.select("k", "mark", "own").join(per_id.select(F.col("k").alias("f"), "first"), (F.col("k") == F.col("f")) & (F.col("mark") == F.col("first")))
+    following = after.withColumnRenamed("k", "before").join(firsts.select(F.col("k").alias("next"), F.col("own").alias("following")), "next").select(F.col("before"), "following")
+    full = prints.join(following, F.col("k") == F.col("before")).withColumn("__row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
+    return full.select(F.when(F.col("k") == NO_ID, F.lit(None)).otherwise(F.col("doc_id")).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "n_chars", "edited_sha256",
+                       as_text(F.col("own")).alias("fingerprint"), as_text(F.col("new")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("new")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"))
