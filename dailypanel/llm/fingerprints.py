@@ -26,6 +26,10 @@ FEW = 3
 #: A lexicon of more terms than this is joined by shuffle.
 BROADCAST_TERMS = 1_000_000
 ID_BITS, ID_LEVELS = 12, 6
+#: Texts are dealt in runs of 2^RUN_BITS ids, so that most next documents lie beside their own.
+RUN_BITS = 8
+#: Up to this many documents whose next one lies elsewhere are asked for by broadcast (32 bytes each), more by shuffle.
+BROADCAST_ASKED = 1_000_000
 #: Stands for a missing doc_id, below all others, and for a subset without terms.
 NO_ID, NOTHING = -9223372036854775808, 0
 
@@ -94,21 +98,21 @@ def as_text(parts: Column) -> Column:
 
 
 def fingerprint_pairs(rows: DataFrame, words: DataFrame, n_words: int) -> DataFrame:
-    """k, mark, doc_id, rows, n_chars, edited_sha256, own, new: fingerprints of ``text`` and of ``edited``, for rows dealt by k, or by k and mark.
+    """k, mark, rows, n_chars, edited_sha256, own, new: fingerprints of ``text`` and of ``edited``, for rows dealt by some of up, k and mark.
 
     Rows alike in k and mark are one. Both texts' terms are looked up and gathered where the texts are: they are not shuffled again."""
     sha, n = F.unhex(sha256_hex(F.col("edited"))), F.length("text")
-    known = rows.select("k", "mark", F.inline(F.array(F.struct("doc_id", n.alias("n"), sha.alias("sha"), terms_of(F.col("text")).alias("t0"), terms_of(F.col("edited")).alias("t1")))))
+    known = rows.select("up", "k", "mark", F.inline(F.array(F.struct(n.alias("n"), sha.alias("sha"), terms_of(F.col("text")).alias("t0"), terms_of(F.col("edited")).alias("t1")))))
     none = F.lit(None)
-    term = lambda kind: lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("term"), none.cast("struct<doc_id:bigint,n:int,sha:binary,t0:array<bigint>,t1:array<bigint>>").alias("rest"))
+    term = lambda kind: lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("term"), none.cast("struct<n:int,sha:binary,t0:array<bigint>,t1:array<bigint>>").alias("rest"))
     # one more row per text carries what is not a term, and all terms for texts with few of the lexicon's
-    rest = F.struct(F.lit(2).alias("kind"), F.lit(0).cast("long").alias("term"), F.struct(F.col("doc_id").cast("long").alias("doc_id"), "n", "sha", "t0", "t1").alias("rest"))
-    terms = known.select("k", "mark", F.inline(F.concat(F.transform("t0", term(0)), F.transform("t1", term(1)), F.array(rest))))
+    rest = F.struct(F.lit(2).alias("kind"), F.lit(0).cast("long").alias("term"), F.struct("n", "sha", "t0", "t1").alias("rest"))
+    terms = known.select("up", "k", "mark", F.inline(F.concat(F.transform("t0", term(0)), F.transform("t1", term(1)), F.array(rest))))
     found = terms.join(F.broadcast(words) if n_words <= BROADCAST_TERMS else words, "term")
     terms_in = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.col("term")))
-    one = found.groupBy("k", "mark").agg(terms_in(0).alias("c0"), terms_in(1).alias("c1"), F.first("rest", True).alias("rest"), F.count_if(F.col("kind") == 2).alias("rows"))
+    one = found.groupBy("up", "k", "mark").agg(terms_in(0).alias("c0"), terms_in(1).alias("c1"), F.first("rest", True).alias("rest"), F.count_if(F.col("kind") == 2).alias("rows"))
     chosen = lambda c, t: F.sort_array(F.when(F.size(c) >= FEW, F.col(c)).otherwise(F.col("rest")[t]))
-    one = one.select("k", "mark", "rows", "rest.doc_id", F.col("rest.n").cast("long").alias("n_chars"), F.lower(F.hex("rest.sha")).alias("edited_sha256"),
+    one = one.select("k", "mark", "rows", F.col("rest.n").cast("long").alias("n_chars"), F.lower(F.hex("rest.sha")).alias("edited_sha256"),
                      F.inline(F.array(F.struct(chosen("c0", "t0").alias("own"), chosen("c1", "t1").alias("new")))))
     return with_parts(with_parts(one, "own"), "new")
 
@@ -118,27 +122,45 @@ def fingerprint_edits(docs: DataFrame, least: float = LEAST, most: float = MOST)
 
     The edited text has the last floor(n_chars / 2) characters replaced by the first as many, or all, of the next document, that with the next
     smaller doc_id (after the last: the first). Null texts count as empty, a null doc_id as the smallest. Rows that share a doc_id have the same next
-    document; of several with its id, that with the smallest text hash. Equal texts have equal fingerprints. Other columns are not returned."""
-    text = whole(F.col("text"))
-    keyed = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID).cast("long")).alias("k"), F.xxhash64(text).alias("mark"), text.alias("text"))
+    document; of several with its id, that with the smallest text hash. Equal texts have equal fingerprints. Other columns are not returned. The id -2^63
+    counts as missing."""
+    k, text = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID).cast("long")), whole(F.col("text"))
+    keyed = docs.select(k.alias("k"), F.shiftright(k, RUN_BITS).alias("up"), F.xxhash64(text).alias("mark"), text.alias("text"))
     words = settle(lexicon(F.col("text"), keyed.select("text"), least, most))
     n_words = words.count()
-    per_id = settle(keyed.groupBy("k").agg(F.max(F.floor(F.length("text") / 2)).cast("int").alias("need"), F.min("mark").alias("first")))
+    per_id = settle(keyed.groupBy("up", "k").agg(F.count(F.lit(1)).alias("n"), F.max(F.floor(F.length("text") / 2)).cast("int").alias("need"), F.min("mark").alias("first")))
     after = settle(next_lower(per_id.select("k")))
-    asked = after.join(per_id.select("k", "need"), "k").select(F.col("next").alias("k"), F.col("k").alias("asker"), "need")
-    asked = asked.join(per_id.select("k", "first"), "k")
-    dealt = keyed.filter(F.col("k") != NO_ID).repartition("k")
-    lost = keyed.filter(F.col("k") == NO_ID).repartition("k", "mark")
-    told = [part.join(asked, "k").filter("mark = first").select(F.col("asker").alias("k"), F.expr("left(text, need)").alias("start")) for part in (dealt, lost)]
-    starts = told[0].unionByName(told[1])
-    edited = F.concat(F.expr("left(text, cast(length(text) - floor(length(text) / 2) AS int))"), F.expr("left(start, cast(floor(length(text) / 2) AS int))"))
-    first = starts.filter(F.col("k") != NO_ID).groupBy("k").agg(F.min("start").alias("start"))
-    # rows without doc_id, however many, all follow on one text
-    alone = starts.filter(F.col("k") == NO_ID).select("start").limit(1)
-    pairs = [part.withColumn("edited", edited) for part in (dealt.join(first, "k"), lost.join(F.broadcast(alone)))]
-    prints = scratch_table(reduce(DataFrame.unionByName, [fingerprint_pairs(p, words, n_words) for p in pairs]))
+    beside, apart = neighbours(keyed, per_id, after)
+    prints = scratch_table(reduce(DataFrame.unionByName, [fingerprint_pairs(p, words, n_words) for p in (beside, *apart)]))
     firsts = prints.select("k", "mark", "own").join(per_id.select(F.col("k").alias("f"), "first"), (F.col("k") == F.col("f")) & (F.col("mark") == F.col("first")))
     following = after.withColumnRenamed("k", "before").join(firsts.select(F.col("k").alias("next"), F.col("own").alias("following")), "next").select(F.col("before"), "following")
     full = prints.join(following, F.col("k") == F.col("before")).withColumn("__row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
-    return full.select(F.when(F.col("k") == NO_ID, F.lit(None)).otherwise(F.col("doc_id")).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "n_chars", "edited_sha256",
+    return full.select(F.when(F.col("k") != NO_ID, F.col("k")).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "n_chars", "edited_sha256",
                        as_text(F.col("own")).alias("fingerprint"), as_text(F.col("new")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("new")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"))
+
+
+def neighbours(keyed: DataFrame, per_id: DataFrame, after: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """up, k, mark, text, edited of documents whose next one lies in their run of ids, and of the others: with a next one elsewhere, an id that
+    several rows have, or none.
+
+    Texts are dealt once, in runs. The beginnings of next documents travel only for the others, which are few where ids are dense."""
+    edited = F.concat(F.expr("left(text, cast(length(text) - floor(length(text) / 2) AS int))"), F.expr("left(start, cast(floor(length(text) / 2) AS int))"))
+    columns = ["up", "k", "mark", "text"]
+    run = Window.partitionBy("up").orderBy(F.col("k").desc(), "mark")
+    placed = keyed.filter(F.col("k") != NO_ID).select(columns).repartition("up").select(*columns, F.lead("k").over(run).alias("below"), F.lag("k").over(run).alias("above"), F.lead("text").over(run).alias("start"))
+    inside = (F.col("below") != F.col("k")) & (F.coalesce(F.col("above"), F.col("below")) != F.col("k"))
+    beside = placed.filter(inside).select(*columns, edited.alias("edited"))
+
+    last = per_id.groupBy("up").agg(F.min("k").alias("least"))
+    asking = per_id.join(last, "up").filter((F.col("k") == F.col("least")) | (F.col("n") > 1)).select(F.col("k").alias("asker"), "need")
+    asked = asking.join(after.withColumnRenamed("k", "asker"), "asker").join(per_id.select(F.col("k").alias("next"), "first"), "next")
+    asked = settle(asked.select(F.col("next").alias("k"), F.col("first").alias("mark"), "asker", "need"))
+    asked = F.broadcast(asked) if asked.count() <= BROADCAST_ASKED else asked
+    starts = keyed.select("k", "mark", "text").join(asked, ["k", "mark"]).select(F.col("asker").alias("k"), F.expr("left(text, need)").alias("start"))
+    starts = settle(starts)
+    first = starts.filter(F.col("k") != NO_ID).groupBy("k").agg(F.min("start").alias("start"))
+    elsewhere = placed.filter(~F.coalesce(inside, F.lit(False))).select(columns).join(first, "k").select(*columns, edited.alias("edited"))
+    # rows without doc_id, however many, all follow on one text
+    alone = starts.filter(F.col("k") == NO_ID).select("start").limit(1)
+    lost = keyed.filter(F.col("k") == NO_ID).select(columns).repartition("k", "mark").join(F.broadcast(alone)).select(*columns, edited.alias("edited"))
+    return beside, [elsewhere, lost]
