@@ -74,14 +74,14 @@ def with_parts(df: DataFrame, name: str) -> DataFrame:
     ``inline`` keeps the terms of a rate's subsets from being made anew for every subset."""
     field = lambda c: lambda t: F.shiftright(t, SHIFTS[c]).bitwiseAND(F.lit(RATES[c] - 1))
     some = lambda c: lambda t: field(c)(t) < EACH
-    one = lambda c, k: lambda t: field(c)(t) == k
     inside = [F.filter(name, some(c)) if rate > EACH else F.col(name) for c, rate in enumerate(RATES)]
     df = df.select("*", F.inline(F.array(F.struct(*[x.alias(f"__in{c}") for c, x in enumerate(inside)]))))
     digest = lambda x: F.when(F.size(x) == 0, F.lit(NOTHING)).otherwise(F.hash(x).bitwiseAND(F.lit(0x3FFF)) + 1).cast("short")
     every = F.hash(name)
     halves = [F.shiftright(every, 16).cast("short"), F.shiftright(F.shiftleft(every, 16), 16).cast("short")]
-    parts = [digest(F.filter(f"__in{c}", one(c, k))) for c in range(len(RATES)) for k in range(EACH)]
-    return df.withColumn(name, F.array(*halves, *parts)).drop(*[f"__in{c}" for c in range(len(RATES))])
+    subsets = lambda c: F.transform(F.sequence(F.lit(0), F.lit(EACH - 1)), lambda k: digest(F.filter(f"__in{c}", lambda t: field(c)(t) == k)))
+    parts = F.concat(F.array(*halves), *[subsets(c) for c in range(len(RATES))])
+    return df.withColumn(name, parts).drop(*[f"__in{c}" for c in range(len(RATES))])
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -97,8 +97,8 @@ def as_text(parts: Column) -> Column:
     return F.array_join(F.transform(parts, lambda p: F.lower(F.right(F.concat(F.lit("000"), F.hex(p.cast("int").bitwiseAND(F.lit(0xFFFF)))), F.lit(4)))), "")
 
 
-def fingerprint_pairs(rows: DataFrame, words: DataFrame, n_words: int) -> DataFrame:
-    """k, mark, rows, n_chars, edited_sha256, own, new: fingerprints of ``text`` and of ``edited``, for rows dealt by some of up, k and mark.
+def pair_terms(rows: DataFrame, words: DataFrame, n_words: int) -> DataFrame:
+    """k, mark, rows, n_chars, edited_sha256, own, new: the sorted terms that know ``text`` and ``edited``, for rows dealt by some of up, k and mark.
 
     Rows alike in k and mark are one. Both texts' terms are looked up and gathered where the texts are: they are not shuffled again."""
     sha, n = F.unhex(sha256_hex(F.col("edited"))), F.length("text")
@@ -114,7 +114,7 @@ def fingerprint_pairs(rows: DataFrame, words: DataFrame, n_words: int) -> DataFr
     chosen = lambda c, t: F.sort_array(F.when(F.size(c) >= FEW, F.col(c)).otherwise(F.col("rest")[t]))
     one = one.select("k", "mark", "rows", F.col("rest.n").cast("long").alias("n_chars"), F.lower(F.hex("rest.sha")).alias("edited_sha256"),
                      F.inline(F.array(F.struct(chosen("c0", "t0").alias("own"), chosen("c1", "t1").alias("new")))))
-    return with_parts(with_parts(one, "own"), "new")
+    return one
 
 
 def fingerprint_edits(docs: DataFrame, least: float = LEAST, most: float = MOST) -> DataFrame:
@@ -131,7 +131,8 @@ def fingerprint_edits(docs: DataFrame, least: float = LEAST, most: float = MOST)
     per_id = settle(keyed.groupBy("up", "k").agg(F.count(F.lit(1)).alias("n"), F.max(F.floor(F.length("text") / 2)).cast("int").alias("need"), F.min("mark").alias("first")))
     after = settle(next_lower(per_id.select("k")))
     beside, apart = neighbours(keyed, per_id, after)
-    prints = scratch_table(reduce(DataFrame.unionByName, [fingerprint_pairs(p, words, n_words) for p in (beside, *apart)]))
+    terms = reduce(DataFrame.unionByName, [pair_terms(p, words, n_words) for p in (beside, *apart)])
+    prints = scratch_table(with_parts(with_parts(terms, "own"), "new"))
     firsts = prints.select("k", "mark", "own").join(per_id.select(F.col("k").alias("f"), "first"), (F.col("k") == F.col("f")) & (F.col("mark") == F.col("first")))
     following = after.withColumnRenamed("k", "before").join(firsts.select(F.col("k").alias("next"), F.col("own").alias("following")), "next").select(F.col("before"), "following")
     full = prints.join(following, F.col("k") == F.col("before")).withColumn("__row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
