@@ -29,7 +29,8 @@ GRAMS = 2_000_000
 HEAD = 500_000
 #: Begins and ends texts; no UTF-8 text has it.
 EDGE = 255
-END = "\x00end"
+#: The end of a text among the tokens: no word holds a space.
+END = " end"
 
 
 def lgamma(x: np.ndarray) -> np.ndarray:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from math import exp, log
 
 import numpy as np
@@ -39,19 +40,24 @@ ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^'
 HIDES = re.compile(r"""(?:^|[\s"'/])hidden(?:[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 SPACES = re.compile(r"\s+")
 
-#: Words of class, id and role attributes that name what an element is for.
-CUES = [
-    ("comment", re.compile(r"(?:^|[^a-z])(?:comments?|disqus|replies|reply|responses?|respond|discussion|reactions)(?:[^a-z]|$)|commentlist|comment-?(?:area|section|body|form)")),
-    ("ad", re.compile(r"(?:^|[^a-z])(?:ads?|adv|advert\w*|adbox|adslot|sponsor\w*|promo\w*|banner-?ad|affiliate|taboola|outbrain)(?:[^a-z]|$)")),
-    ("notice", re.compile(r"cookie|consent|gdpr|notice|alert|popup|pop-up|modal|overlay|newsletter|subscri|paywall|toast|disclaimer")),
-    ("menu", re.compile(r"(?:^|[^a-z])(?:nav\w*|menu\w*|breadcrumbs?|pagination|pager|toolbar|tabs|skip-?link|sitemap|toc)(?:[^a-z]|$)|navigation|navbar")),
-    ("side", re.compile(r"sidebar|(?:^|[^a-z])(?:side|aside|rail|widgets?|related|recommend\w*|trending|popular|complementary|more-?from|read-?more|also)(?:[^a-z]|$)")),
-    ("share", re.compile(r"(?:^|[^a-z])(?:share|sharing|social|follow|like-?button)(?:[^a-z]|$)")),
-    ("form", re.compile(r"(?:^|[^a-z])(?:form|login|signup|sign-up|search\w*)(?:[^a-z]|$)")),
-    ("foot", re.compile(r"(?:^|[^a-z])(?:footer|foot|colophon|copyright|legal|contentinfo)(?:[^a-z]|$)|site-?footer|page-?footer")),
-    ("head", re.compile(r"(?:^|[^a-z])(?:masthead|site-?header|page-?header|top-?bar|header|banner|logo)(?:[^a-z]|$)")),
-    ("main", re.compile(r"(?:^|[^a-z])(?:article|main|content|post|entry|story|body-?text|text|articlebody)(?:[^a-z]|$)")),
-]
+#: Words of class, id and role names that say what an element is for.
+CUES = {
+    "comment": "comment comments commentlist commentform disqus reply replies reactions",
+    "ad": "ad ads adv advert adverts advertisement advertising adbox adslot sponsor sponsors sponsored promo promos promotion affiliate taboola outbrain",
+    "notice": "cookie cookies consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription paywall toast disclaimer",
+    "menu": "nav navbar navigation menu submenu breadcrumb breadcrumbs pagination pager toolbar tabs skip skiplink sitemap toc",
+    "side": "sidebar side aside rail widget widgets related recommended recommendations trending popular complementary",
+    "share": "share sharing social follow",
+    "form": "form login signin signup search searchform",
+    "foot": "footer foot colophon copyright legal contentinfo",
+    "head": "masthead header topbar banner logo",
+    "main": "article main content post entry story articlebody",
+}
+CUE_OF = {word: cue for cue, words in CUES.items() for word in words.split()}
+#: Words that a name may hold beside those without saying something else: "left-sidebar-2" is a sidebar, "has-sidebar" and "related-work" are not.
+BESIDE = frozenset("site page left right top bottom primary secondary global js section box module block wrapper container wrap area list inner outer bar item items link links "
+                   "title group row col column posts news blog thread body wide sticky fixed mobile desktop".split())
+NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[^\W\d_]+")
 ROLE = {"nav": "menu", "menu": "menu", "aside": "side", "footer": "foot", "header": "head", "form": "form", "fieldset": "form", "dialog": "notice", "search": "form", "label": "form", "legend": "form",
         "article": "main", "main": "main", "p": "text", "blockquote": "text", "pre": "text", "li": "list", "ul": "list", "ol": "list", "dl": "list", "dt": "list", "dd": "list", "html": "wrap",
         "body": "wrap", "div": "wrap", "section": "wrap", "center": "wrap"} | {f"h{k}": "title" for k in range(1, 7)}
@@ -84,9 +90,26 @@ class Node:
         self.has_title = False
 
 
+def cue_of_name(name: str) -> str:
+    """What one name says, if all of its words are known: a word against the article counts before one for it ("post-comments"); "none" if it says nothing."""
+    words = [w.lower() for w in NAME_WORDS.findall(name)]
+    if name.lower() == "text":
+        return "main"
+    if not words or any(w not in CUE_OF and w not in BESIDE for w in words):
+        return "none"
+    said = [CUE_OF[w] for w in words if w in CUE_OF]
+    return next((c for c in said if c != "main"), "main" if said else "none")
+
+
 def cue_of(attributes: str) -> str:
-    said = " ".join((m[2] or m[3] or m[4] or "").lower() for m in ATTRIBUTE.finditer(attributes)) if attributes else ""
-    return next((name for name, words in CUES if words.search(said)), "none") if said else "none"
+    """What an element's id and role say, or else its classes, of which one for the article counts before others ("content sidebar-left")."""
+    if not attributes:
+        return "none"
+    said: dict[bool, list[str]] = {True: [], False: []}
+    for m in ATTRIBUTE.finditer(attributes):
+        said[m[1].lower() == "class"] += [c for c in map(cue_of_name, (m[2] or m[3] or m[4] or "").split()) if c != "none"]
+    own, classes = said[False], said[True]
+    return next((c for c in own if c != "main"), None) or ("main" if own or "main" in classes else classes[0] if classes else "none")
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
@@ -98,8 +121,21 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     stack: list[tuple[str, int, bool, bool]] = [("html", 0, False, False)]  # tag, its block, hidden, in a link
     blocks: list[tuple[int, str]] = []
     run: list[str] = []
+    places: dict[str, list[int]] = {"html": [0]}  # where each open tag stands in the stack, so that nothing is searched for
     at = 0
 
+    def above(tags: frozenset | set, fence: int) -> int:
+        """The lowest place of an open element of ``tags`` above ``fence``, 0 if there is none."""
+        found = [p[k] for p in (places.get(t) for t in tags) if p and (k := bisect_right(p, fence)) < len(p)]
+        return min(found, default=0)
+
+    def last(tags: frozenset | set) -> int:
+        return max((p[-1] for p in (places.get(t) for t in tags) if p), default=0)
+
+    def push(tag: str, node: int, hidden: bool, linked: bool) -> None:
+        places.setdefault(tag, []).append(len(stack))
+        stack.append((tag, node, hidden, linked))
+
     def flush() -> None:
         if run:
             text = SPACES.sub(" ", html.unescape("".join(run))).strip()
@@ -121,6 +157,8 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     def close(depth: int) -> None:
         if any(t in BLOCK for t, *_ in stack[depth:]):
             flush()
+        for t, *_ in stack[depth:]:
+            places[t].pop()
         del stack[depth:]
 
     end = len(page)
@@ -137,8 +175,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if m[2]:
             if tag == "br":
                 run.append(" ")
-            depth = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][0] == tag), 0)
-            if depth:
+            if depth := last({tag}):
                 close(depth)
             continue
         if tag in VOID:
@@ -147,26 +184,13 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             elif not stack[-1][2]:
                 run.append(" " if tag in ("br", "img", "wbr", "input") and tag != "wbr" else "")
             continue
-        if tag in ("html", "body") and any(t == tag for t, *_ in stack):
+        if tag in ("html", "body") and places.get(tag):
             continue
-        if tag in BLOCK:
-            depth = 0
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == "p":
-                    depth = k
-                if stack[k][0] in SCOPE:
-                    break
-            if depth:
-                close(depth)
+        if tag in BLOCK and (depth := above({"p"}, last(SCOPE))):
+            close(depth)
         if tag in CLOSES:
             shut, fence = CLOSES[tag]
-            depth = 0
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in fence:
-                    break
-                if stack[k][0] in shut:
-                    depth = k
-            if depth:
+            if depth := above(shut, last(fence)):
                 close(depth)
         if tag == "option" and stack[-1][0] == "option":
             close(len(stack) - 1)
@@ -175,11 +199,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
         if tag in BLOCK:
             flush()
             nodes.append(Node(tag, stack[-1][1], cue_of(attributes), hidden))
-            stack.append((tag, len(nodes) - 1, hidden, stack[-1][3]))
+            push(tag, len(nodes) - 1, hidden, stack[-1][3])
         elif attributes.rstrip().endswith("/") and tag in HIDDEN:
             continue
         else:
-            stack.append((tag, stack[-1][1], hidden, stack[-1][3] or tag == "a"))
+            push(tag, stack[-1][1], hidden, stack[-1][3] or tag == "a")
         if tag in RAW:
             stop = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = stop.start() if stop else end
