@@ -11,14 +11,20 @@ from dailypanel.llm.common import settle
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) for every node of ``edges`` (columns a, b): label is the smallest node of its component.
 
-    In each round every node joins its smallest neighbour, and edges are drawn anew between what they joined; the number of nodes
-    that still have edges falls by half at least. Nothing is collected but the number of edges left. Both
-    tables are written to the checkpoint folder in each round, so a lost executor costs one round at most."""
+    In each round every node points to its smallest neighbour, pointers are followed to their ends by doubling them, and edges are drawn anew between
+    the ends. So a star, and a chain of rising ids of any length, goes in one round, the chain of n ids with log2(n) doublings. Nothing is collected
+    but whether anything is left. The tables are written to the checkpoint folder, so a lost executor costs one step at most."""
     left = settle(edges.filter("a <> b").select("a", "b").distinct())
     whole = None
     while True:
         both = left.union(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         to = settle(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("to")).select(F.col("a").alias("node"), "to"))
+        while True:
+            far = to.select(F.col("node").alias("to"), F.col("to").alias("next"))
+            far = settle(to.join(far, "to").select("node", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved")))
+            to = far.select("node", "to")
+            if far.filter("moved").isEmpty():
+                break
         if whole is None:
             whole = to.select("node", F.col("to").alias("label"))
         else:

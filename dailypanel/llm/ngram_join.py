@@ -140,19 +140,14 @@ def verify(words: int, like: float):
     return run
 
 
-def join_ngrams(docs: DataFrame, words: int = WORDS, like: float = LIKE, recall: float = 0.9999, block: int = BLOCK) -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id (smallest doc_id of the documents that links connect), n_links (other texts whose
-    word n-gram sets are at least ``like`` similar), n_copies (documents of the same text, itself included).
-
-    Null texts count as empty. Texts without words have no links. Texts of fewer words than the n-gram are one n-gram. A document without
-    doc_id has a number of its text's hash, above 2^62, as its id here. Repeated rows are copies. Empty in, empty out."""
-    ship(docs.sparkSession)
+def classes(keyed: DataFrame, words: int, like: float, recall: float, block: int) -> DataFrame:
+    """One row per text of ``keyed`` (id, h1, h2, text): h1, h2, first (its smallest id), n_copies, n_links, class_id, leads (it is the text of its
+    class that stays: the one with the smallest id, of several the one with the smallest hash)."""
     bands, rows = banding(like, recall)
-    text = whole(F.col("text"))
-    node = F.coalesce(F.col("doc_id").cast("long"), nameless(text))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), node.alias("node"), *text_key(text), text.alias("text"))
-    sketched = keyed.select("node", "h1", "h2", "text").mapInArrow(sketches(words, bands, rows), "node long, h1 long, h2 long, bands array<long>")
-    texts = settle(sketched.groupBy("h1", "h2").agg(F.min("node").alias("rep"), F.count(F.lit(1)).alias("n_copies"), F.first("bands").alias("bands")))
+    sketched = keyed.select(F.col("id").alias("node"), "h1", "h2", "text").mapInArrow(sketches(words, bands, rows), "node long, h1 long, h2 long, bands array<long>")
+    texts = sketched.groupBy("h1", "h2").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("n_copies"), F.first("bands").alias("bands"))
+    # a text's own number, not an id: rows may share an id and differ in text. It is written, so that it stays
+    texts = settle(texts.withColumn("rep", F.monotonically_increasing_id()))
 
     spread = texts.select("rep", F.posexplode("bands").alias("band", "bucket"))
     full = spread.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("lead")).filter("n > 1")
@@ -161,8 +156,9 @@ def join_ngrams(docs: DataFrame, words: int = WORDS, like: float = LIKE, recall:
 
     n_blocks = parts.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
     members = settle(parts.join(n_blocks, "part").withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("blocks"))))
-    own = keyed.select("node", "h1", "h2", "text").join(members.withColumnRenamed("rep", "node"), "node")
-    own = own.join(texts.select(F.col("rep").alias("node"), F.col("h1").alias("t1"), F.col("h2").alias("t2")), "node").filter("h1 = t1 AND h2 = t2").dropDuplicates(["node"])
+    asked = members.join(texts.select("rep", F.col("first").alias("id"), "h1", "h2"), "rep")
+    # of a text's copies only those with its smallest id travel
+    own = keyed.select("id", "h1", "h2", "text").join(asked, ["id", "h1", "h2"]).select(F.col("rep").alias("node"), "part", "blocks", "mine", "text").dropDuplicates(["node"])
     met = own.withColumn("k", F.explode(F.expr("sequence(0L, blocks - 1)")))
     met = met.select("part", F.least("mine", "k").alias("i"), F.greatest("mine", "k").alias("j"), "mine", "node", "text")
     met = met.repartition("part", "i", "j").sortWithinPartitions("part", "i", "j")
@@ -171,17 +167,40 @@ def join_ngrams(docs: DataFrame, words: int = WORDS, like: float = LIKE, recall:
     # a part of one block is whole after its task; only those of more blocks are drawn together here
     wide = seen.join(members.filter("blocks > 1").select(F.col("rep").alias("node")), "node", "left_semi")
     drawn = components(wide.select(F.col("node").alias("a"), F.col("low").alias("b")))
-    classes = links.join(drawn, "node", "left").select(F.col("node").alias("rep"), F.coalesce("label", "low").alias("class"), "n_links")
+    joined = links.join(drawn, "node", "left").select(F.col("node").alias("rep"), F.coalesce("label", "low").alias("class"), "n_links")
+
+    known = texts.drop("bands").join(joined, "rep", "left")
+    known = settle(known.select("h1", "h2", "first", "n_copies", F.coalesce("class", "rep").alias("class"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+    lead = settle(known.groupBy("class").agg(F.min(F.struct("first", "h1", "h2")).alias("lead")))
+    known = known.join(lead, "class")
+    same = (F.col("lead.h1") == F.col("h1")) & (F.col("lead.h2") == F.col("h2"))
+    return settle(known.select("h1", "h2", "first", "n_copies", "n_links", F.col("lead.first").alias("class_id"), same.alias("leads")))
 
-    known = texts.drop("bands").join(classes, "rep", "left")
-    known = settle(known.select("h1", "h2", F.coalesce("class", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "n_copies"))
-    return keyed.select("doc_id", "h1", "h2").join(known, ["h1", "h2"]).select("doc_id", "class_id", "n_links", "n_copies")
+
+def identified(docs: DataFrame) -> DataFrame:
+    """doc_id, id (that of the document, or one of its text), h1, h2, text."""
+    text = whole(F.col("text"))
+    number = F.col("doc_id").cast("long")
+    return docs.select(number.alias("doc_id"), F.coalesce(number, nameless(text)).alias("id"), *text_key(text), text.alias("text"))
 
 
-def one_of_each(docs: DataFrame, **options) -> DataFrame:
+def join_ngrams(docs: DataFrame, words: int = WORDS, like: float = LIKE, recall: float = 0.9999, block: int = BLOCK) -> DataFrame:
+    """One row per row of ``docs``: doc_id, class_id (smallest doc_id of the documents that links connect), n_links (other texts whose
+    word n-gram sets are at least ``like`` similar), n_copies (documents of the same text, itself included).
+
+    Null texts count as empty. Texts without words have no links. Texts of fewer words than the n-gram are one n-gram. A document without
+    doc_id has a number of its text's hash, above 2^62, as its id here. Repeated rows are copies. Rows that share a doc_id and differ in text are
+    compared like any others, and each has its own text's links. Other columns are not returned. Empty in, empty out."""
+    ship(docs.sparkSession)
+    keyed = identified(docs)
+    return keyed.select("doc_id", "h1", "h2").join(classes(keyed, words, like, recall, block), ["h1", "h2"]).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+def one_of_each(docs: DataFrame, words: int = WORDS, like: float = LIKE, recall: float = 0.9999, block: int = BLOCK) -> DataFrame:
     """The first document of each class, with its own columns. Rows that share a doc_id and text are one document."""
+    ship(docs.sparkSession)
     text = whole(F.col("text"))
-    node = F.coalesce(F.col("doc_id").cast("long"), nameless(text))
-    firsts = join_ngrams(docs, **options).select(F.col("class_id").alias("node")).distinct()
-    chosen = folded(docs).withColumn("node", node).join(firsts, "node", "left_semi")
-    return unfolded(chosen.dropDuplicates(["node", "text"]), docs)
+    firsts = classes(identified(docs), words, like, recall, block).filter("leads").select(F.col("first").alias("node"), F.col("h1").alias("t1"), F.col("h2").alias("t2"))
+    h1, h2 = (c.alias(f"t{k}") for k, c in enumerate(text_key(text), 1))
+    chosen = folded(docs).withColumn("node", F.coalesce(F.col("doc_id").cast("long"), nameless(text))).select("*", h1, h2).join(firsts, ["node", "t1", "t2"], "left_semi")
+    return unfolded(chosen.dropDuplicates(["node", "t1", "t2"]), docs)
