@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from dailypanel.llm import lines, mixing, ngram_join, pieces, rules
-from dailypanel.llm.common import free_name, read, settle
+from dailypanel.llm.common import free_name, read, scratch_table
 from dailypanel.llm.queries import model_path
 
 
@@ -51,12 +51,12 @@ STAGES = [
     ("SentencePiece encoding and decoding", encode),
 ]
 
-#: Learned rules, MinHash and Viterbi have no SQL; the tests hold the rows against a plain version.
+#: Learned rules, MinHash and Viterbi have no SQL; the tests hold the operators against plain versions, and the stages by columns and counts.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = settle(stage(spark, docs, sf_dir))
+        docs = scratch_table(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
