@@ -60,9 +60,10 @@ def add_changes(panel: DataFrame, columns: list[str], grain: str = "daily") -> D
 def add_ewma(panel: DataFrame, columns: list[str], span: int = SPAN, grain: str = "daily") -> DataFrame:
     """Exponentially weighted mean with adjusted weights, a = 2/(span+1).
 
-    Every row counts with decay^age, however old it is. Sums run inside blocks of rows; each block's total is carried on as a state,
-    state = total + decay^block * state before, so the cost per row does not depend on the span. A missing value has no
-    weight but time passes: the mean stays what it was before, and a row before the first value has none.
+    Every row counts with decay^age, however old it is. Sums run inside blocks of rows. A block with values carries on its total and that of
+    the last such block before it, however far back; all before that weighs less than 1e-100 of it, which no double shows. So the cost per
+    row depends neither on the span nor on the length of the panel. A missing value has no weight but time passes: the mean stays what it
+    was before, and a row before the first value has none.
     """
     if span <= 1:
         last = over(order=order_of(grain), frame=SO_FAR)
@@ -74,22 +75,21 @@ def add_ewma(panel: DataFrame, columns: list[str], span: int = SPAN, grain: str
     framed = with_exprs(framed, {"_block": f"_row DIV {block}", "_at": f"_row % {block}"})
     framed = with_exprs(framed, {"_rise": f"pow({decay}D, -_at)", "_age": f"pow({decay}D, _at)"})
     inside = over("entity, _block", "_row", SO_FAR)
-    sums = {}
+    earlier = over(order="_row", frame="ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING")
+    sums, ends, carried, means = {}, {}, {}, []
     for i, c in enumerate(columns):
         sums[f"_sum{i}"] = f"sum(`{c}` * _rise) {inside}"
         sums[f"_mass{i}"] = f"sum(CASE WHEN `{c}` IS NOT NULL THEN _rise END) {inside}"
-    framed = with_exprs(framed, sums)
-    totals = ", ".join(f"'{x}', coalesce(`{x}`, 0D) * _age" for x in sums)
-    framed = with_exprs(
-        framed,
-        {"_blocks": f"collect_list(CASE WHEN _at = {block - 1} THEN named_struct({totals}) END) {over(order='_row', frame=SO_FAR)}"},
-    )
-    carried = "aggregate(slice(_blocks, 1, CAST(_block AS INT)), 0D, (s, t) -> t.`{0}` + {1}D * s)"
-    state = "coalesce(`{0}`, 0D) + {1}D * CASE WHEN _block = 0 THEN 0D ELSE {2} END"
-    means = []
-    for i, c in enumerate(columns):
-        over_rows, mass = (state.format(x, decay, carried.format(x, decay**block)) for x in (f"_sum{i}", f"_mass{i}"))
-        means.append(f"({over_rows}) / nullif({mass}, 0D) AS `ewma{span}_{c}`")
+        filled = f"_at = {block - 1} AND _mass{i} IS NOT NULL"
+        total = f"named_struct('block', _block, 'sum', _sum{i} * _age, 'mass', _mass{i} * _age)"
+        ends[f"_end{i}"] = f"last_value(CASE WHEN {filled} THEN {total} END, true) {earlier}"
+        faded = f"pow({decay}D, {block} * (_block - _end{i}.block))"
+        both = ", ".join(f"'{x}', _{x}{i} * _age + coalesce({faded} * _end{i}.{x}, 0D)" for x in ("sum", "mass"))
+        carried[f"_past{i}"] = f"last_value(CASE WHEN {filled} THEN named_struct('block', _block, {both}) END, true) {earlier}"
+        faded = f"pow({decay}D, {block} * (_block - _past{i}.block - 1) + _at + 1)"
+        now, mass = (f"_{x}{i} * _age + coalesce({faded} * _past{i}.{x}, 0D)" for x in ("sum", "mass"))
+        means.append(f"CASE WHEN _mass{i} IS NULL THEN _past{i}.sum / _past{i}.mass ELSE ({now}) / ({mass}) END AS `ewma{span}_{c}`")
+    framed = with_exprs(with_exprs(with_exprs(framed, sums), ends), carried)
     return framed.selectExpr(*[f"`{c}`" for c in panel.columns], *means)
 
 

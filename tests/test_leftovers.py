@@ -34,6 +34,21 @@ def test_ewma_keeps_old_rows_and_gaps(spark, span):
         assert np.allclose(got[f"ewma{span}_{name}"].to_numpy(float), want, rtol=1e-9, atol=1e-12, equal_nan=True)
 
 
+def test_ewma_carries_over_empty_blocks(spark):
+    """At a span of 2 a block holds 210 rows: values at both sides of an edge, then blocks without any, then values again."""
+    values = np.full(3000, np.nan)
+    for a, b in ((205, 211), (1200, 1201), (2310, 2320), (2999, 3000)):
+        values[a:b] = np.arange(a, b) % 7 + 0.5
+    days = [dt.date(2010, 1, 1) + dt.timedelta(days=i) for i in range(3000)]
+    rows = [(e, d, None if np.isnan(v) else float(v)) for e in (1, 2) for d, v in zip(days, values)]
+    got = add_ewma(spark.createDataFrame(rows, "entity long, date date, v double"), ["v"], 2)
+    want = pd.Series(values).ewm(span=2, adjust=True).mean().to_numpy()
+    for e in (1, 2):
+        one = got.filter(f"entity = {e}").orderBy("date").toPandas()["ewma2_v"].to_numpy(float)
+        assert np.allclose(one, want, rtol=1e-9, equal_nan=True)
+    assert "collect_list" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_missing_group_is_a_group(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
     counts = histogram(df, ["v"], 2, ["g"]).collect()
