@@ -67,6 +67,23 @@ def test_quantiles_narrow_until_small(spark, limit):
         assert v == pytest.approx(np.quantile(values, p), rel=1e-12)
 
 
+def test_quantiles_of_clusters_need_one_round(spark, monkeypatch):
+    """Values packed within 1e-9 of a few points, from 1e-300 to 1e300: equal steps would have to narrow them many times."""
+    from dailypanel.operators import quantiles as Q
+
+    rng = np.random.default_rng(8)
+    values = np.concatenate([c * (1 + 1e-9 * rng.random(4000)) for c in (-1e300, -3.0, 1e-300, 5.0, 1e300)])
+    pdf = pd.DataFrame({"g": np.where(np.arange(len(values)) % 3 == 0, None, "a"), "v": values})
+    rounds, plain = [], Q._splits
+    monkeypatch.setattr(Q, "_splits", lambda rows, cells: rounds.append(1) or plain(rows, cells))
+    shares = [0.0, 0.1, 0.33, 0.5, 0.77, 1.0]
+    got = exact_quantiles(spark.createDataFrame(pdf, "g string, v double").repartition(5), ["v"], shares, ["g"], limit=50).collect()
+    assert len(got) == 12 and len(rounds) == 1
+    for row in got:
+        one = pdf[pdf.g.isna() if row["g"] is None else pdf.g == row["g"]].v
+        assert row["value"] == pytest.approx(np.quantile(one, row["probability"]), rel=1e-12)
+
+
 def test_missing_predictions_are_left_out_of_every_metric(spark):
     df = spark.createDataFrame([("a", 1.0, 1.0), ("a", 2.0, 2.5), ("a", 50.0, None)], "k string, actual double, predicted double")
     row = V.regression_metrics(df, ["k"]).first()
