@@ -132,8 +132,17 @@ def daily_panel(readings: DataFrame, catalog: Catalog) -> DataFrame:
 
 
 def daily_from_stats(stats: DataFrame, catalog: Catalog) -> DataFrame:
-    picks = _daily_picks(catalog)
-    return _daily_columns(_fill_days(_by_day(stats, picks), list(picks)), catalog)
+    return daily_from_days(_by_day(stats, _daily_picks(catalog)), catalog)
+
+
+def present_days(readings: DataFrame, catalog: Catalog) -> DataFrame:
+    """One row per entity and day with readings, with all that ``daily_from_days`` needs of the day."""
+    return _by_day(reading_stats(readings, catalog), _daily_picks(catalog))
+
+
+def daily_from_days(days: DataFrame, catalog: Catalog) -> DataFrame:
+    """The daily panel from present days."""
+    return _daily_columns(_fill_days(days, list(_daily_picks(catalog))), catalog)
 
 
 def _daily_columns(days: DataFrame, catalog: Catalog, *more: str) -> DataFrame:

@@ -60,6 +60,11 @@ def write_readings(readings: DataFrame, path: str) -> None:
     readings.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").parquet(path)
 
 
+def append_readings(readings: DataFrame, path: str) -> None:
+    """Add rows to the date folders of ``write_readings``."""
+    readings.hint("rebalance", "date").write.mode("append").partitionBy("date").parquet(path)
+
+
 def drop_negative(readings: DataFrame, signed: tuple[str, ...]) -> DataFrame:
     """Drop negative values of unsigned variables; missing values stay."""
     return readings.filter(~F.coalesce(_illegal(signed), F.lit(False)))

@@ -9,11 +9,11 @@ from dailypanel.fixed import BASE_DATE
 from dailypanel.functions.wide import over, with_exprs
 from dailypanel.sources.files import completed_at
 
-def write_panel(panel: DataFrame, path: str) -> None:
-    """Partitioned by month; rows of an entity lie together inside a file."""
+def write_panel(panel: DataFrame, path: str, whole: bool = True) -> None:
+    """Partitioned by month; rows of an entity lie together inside a file. Unless ``whole``, months without rows in ``panel`` stay as they are."""
     dated = panel.withColumn("panel_month", F.date_trunc("month", "date").cast("date"))
-    dated.hint("rebalance", "panel_month").sortWithinPartitions("panel_month", "entity", "date").write.mode(
-        "overwrite"
+    dated.hint("rebalance", "panel_month").sortWithinPartitions("panel_month", "entity", "date").write.mode("overwrite").option(
+        "partitionOverwriteMode", "static" if whole else "dynamic"
     ).partitionBy("panel_month").parquet(path)
 
 
