@@ -72,7 +72,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 MIXING_SQL = rf"""
 WITH docs AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-    -ln((('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null')), 1, 12))::BIGINT + 1) / 281474976710656.0::DOUBLE)
+    -ln((('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, 'null:' || md5(coalesce(text, '')))), 1, 12))::BIGINT + 1) / 281474976710656.0::DOUBLE)
       / greatest(0.05, 1 - 4 * len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]'))::DOUBLE / greatest(length(coalesce(text, '')), 1)) AS key
   FROM documents),
 per AS (SELECT source, sum(size)::BIGINT AS s, [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS w FROM docs GROUP BY source),

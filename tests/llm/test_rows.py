@@ -8,6 +8,7 @@ from math import log10
 
 import awkward as A
 import pytest
+from pyspark.sql import functions as F
 
 from dailypanel.llm import ctw, fingerprints, fm_index, licenses, lines, mixing, ngram_join, page_text, pieces, rules
 from dailypanel.llm.queries import model_path
@@ -207,6 +208,16 @@ def test_mixing(docs):
     assert sum(len(words(r["text"])) for r in made.collect()) == sum(r[name]["taken"] for r in rows)
 
 
+@pytest.mark.parametrize("weight", [1e-6, 0.05, 0.2, 1.0, 1e4])
+def test_key_ranges_are_small_at_any_weight(spark, weight):
+    ids = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"))
+    ids = ids.union(spark.range(20_000).select(F.lit(None).cast("long"), F.concat(F.lit("b"), F.col("id").cast("string"))))
+    at = mixing.with_keys(ids, "s", F.lit(weight)).select("doc_id", "__at.*").toPandas()
+    assert at.groupby("b1").size().max() < 0.006 * len(at) and at.groupby(["b1", "b2"]).size().max() <= 3
+    by_key = at.sort_values("key")
+    assert by_key[["b1", "b2"]].apply(tuple, axis=1).is_monotonic_increasing
+
+
 def test_license_scan(docs):
     out, name = licenses.scan_documents(docs)
     for (_, text), r in keyed(out):
