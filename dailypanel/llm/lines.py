@@ -1,7 +1,8 @@
 """Line dedup: content-defined chunks of lines, of which repeated ones are removed but for the first.
 
-A text is cut after every line at which a rolling hash over the last lines' hashes is a multiple of ``every``, so an inserted
-or removed line moves only the boundaries near it. Only DataFrame functions are used.
+A text is cut after every line at which a rolling hash over the last lines' hashes is lower than one line before and not higher than one line after, so
+an inserted or removed line moves only the boundaries near it. No chunk has one line, unless its text has, and few have more
+than five. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from pyspark.sql import functions as F
 from dailypanel.llm.common import folded, free_name, scratch_table, settle, unfolded, whole
 
 WINDOW = 2
-EVERY = 4
 #: Up to this many repeated hashes (8 bytes each) are sent to all executors, more are joined by shuffle.
 BROADCAST_HASHES = 1_000_000
 #: Multiplier and modulus of the rolling hash.
@@ -31,9 +31,9 @@ def _plus(factor: int):
     return lambda a, b: a + b * F.lit(factor).cast("long")
 
 
-def with_chunks(docs: DataFrame, window: int = WINDOW, every: int = EVERY) -> DataFrame:
+def with_chunks(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Adds __chunks, the chunks of ``text`` in order, as strings of coded lines. Rolling hash of line i: the sum of FACTOR^k times the
-    hash of line i - k for k below ``window``, modulo MODULUS; lines before the first count as 0.
+    hash of line i - k for k below ``window``, modulo MODULUS; lines before the first count as 0. There is no cut after the first line and after the last but one.
 
     A coded line begins with an x, so two line ends in a row stand between chunks only. Every step goes over the arrays once, without
     looking up elements; ``inline`` keeps Spark from computing an array once for each use."""
@@ -43,9 +43,16 @@ def with_chunks(docs: DataFrame, window: int = WINDOW, every: int = EVERY) -> Da
     for k in range(1, window):
         before = F.slice(F.concat(F.array_repeat(F.lit(0).cast("long"), k), "__hashes"), F.lit(1), F.size("__hashes"))
         rolled = F.zip_with(rolled, before, _plus(FACTOR ** k))
-    coded = F.zip_with("__lines", rolled, lambda line, r: F.concat(F.lit("x"), line, F.when(r % F.lit(MODULUS).cast("long") % every == 0, "\n").otherwise("")))
+    rolled = F.transform(rolled, lambda r: r % F.lit(MODULUS).cast("long"))
+    cut = cut.select("*", F.inline(F.array(F.struct(rolled.alias("__rolled")))))
+    rolled, n = F.col("__rolled"), F.size("__rolled")
+    # zip_with fills the shorter array up with nulls: no value before the first, none after the last but one
+    falls = F.zip_with(F.slice(F.concat(F.array(F.lit(None).cast("long")), rolled), F.lit(1), n), rolled, lambda before, r: before > r)
+    rises = F.zip_with(rolled, F.slice(rolled, F.lit(2), F.greatest(n - 2, F.lit(0))), lambda r, after: r <= after)
+    ends = F.zip_with(falls, rises, lambda falls, rises: falls & rises)
+    coded = F.zip_with("__lines", ends, lambda line, end: F.concat(F.lit("x"), line, F.when(end, "\n").otherwise("")))
     chunks = F.split(F.rtrim(F.array_join(coded, "\n"), F.lit("\n")), "\n\n", -1)
-    return cut.select("*", F.inline(F.array(F.struct(chunks.alias("__chunks"))))).drop("__lines", "__hashes")
+    return cut.select("*", F.inline(F.array(F.struct(chunks.alias("__chunks"))))).drop("__lines", "__hashes", "__rolled")
 
 
 def decoded(chunk: Column) -> Column:
@@ -57,13 +64,13 @@ def line_count(chunk: Column) -> Column:
     return F.length(chunk) - F.length(F.replace(chunk, F.lit("\n"), F.lit(""))) + 1
 
 
-def repeated(docs: DataFrame, window: int = WINDOW, every: int = EVERY, min_lines: int = 2) -> DataFrame:
+def repeated(docs: DataFrame, window: int = WINDOW, min_lines: int = 2) -> DataFrame:
     """(doc_id, mark, gone): positions of the chunks to remove, for documents that have any.
 
     The chunks are written once. Their hashes are counted first, without texts. The chunks of repeated hashes are then grouped by their bytes, so equal hashes
     of different chunks don't count. The first of equal chunks, by doc_id (null last) and position, stays; rows
     that share a doc_id and position share the place, so none of them is removed."""
-    chunks = with_chunks(docs.select("doc_id", F.xxhash64("text").alias("mark"), "text"), window, every)
+    chunks = with_chunks(docs.select("doc_id", F.xxhash64("text").alias("mark"), "text"), window)
     chunks = chunks.select("doc_id", "mark", F.posexplode("__chunks").alias("pos", "body"))
     chunks = chunks.filter((line_count(F.col("body")) >= min_lines) & decoded(F.col("body")).rlike(r"[^\x20\x09-\x0D]"))
     last = F.lit("9223372036854775807").cast("decimal(20,0)")
@@ -77,17 +84,17 @@ def repeated(docs: DataFrame, window: int = WINDOW, every: int = EVERY, min_line
     return extra.groupBy("doc_id", "mark").agg(F.collect_set("pos").alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, window: int = WINDOW, every: int = EVERY, min_lines: int = 2) -> tuple[DataFrame, str]:
+def dedup_lines(docs: DataFrame, window: int = WINDOW, min_lines: int = 2) -> tuple[DataFrame, str]:
     """``docs`` with repeated chunks cut from their texts, and one struct column (its name is returned): n_lines,
     n_chunks, n_removed (lines).
 
     A null text becomes an empty one of one line; a text without repeated chunks stays as it is, byte for byte; a text of which every
     chunk is removed becomes empty. Rows without doc_id take part like others, as the last ones. Empty tables give empty tables."""
-    gone = repeated(docs, window, every, min_lines)
+    gone = repeated(docs, window, min_lines)
     name = free_name(docs, "line_dedup")
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), F.col("gone").alias("__gone"))
     both = folded(docs).join(gone, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__mark")), "left")
-    cut = with_chunks(both, window, every).withColumn("__gone", F.coalesce("__gone", F.array().cast("array<int>")))
+    cut = with_chunks(both, window).withColumn("__gone", F.coalesce("__gone", F.array().cast("array<int>")))
     left = F.filter("__chunks", lambda chunk, k: ~F.array_contains("__gone", k))
     n_lines = lambda chunks: F.aggregate(chunks, F.lit(0), lambda n, chunk: n + line_count(chunk))
     some = F.size("__gone") > 0

@@ -32,9 +32,11 @@ LINES_SQL = f"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
 hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h, max(i) OVER (PARTITION BY doc_id) AS n FROM lines),
-rolled AS (
-  SELECT *, (h + {lines.FACTOR} * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % {lines.MODULUS} % {lines.EVERY} = 0 OR i = n AS ends FROM hashed),
-placed AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM rolled),
+rolled AS (SELECT *, (h + {lines.FACTOR} * coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0)) % {lines.MODULUS} AS r FROM hashed),
+cut AS (
+  SELECT *, i = n OR i BETWEEN 2 AND n - 2 AND lag(r) OVER (PARTITION BY doc_id ORDER BY i) > r AND r <= lead(r) OVER (PARTITION BY doc_id ORDER BY i) AS ends
+  FROM rolled),
+placed AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM cut),
 chunks AS (SELECT doc_id, pos, count(*) AS k, string_agg(line, chr(10) ORDER BY i) AS body FROM placed GROUP BY doc_id, pos),
 marked AS (
   SELECT doc_id, pos, k, body, k >= 2 AND regexp_matches(body, '[^\\x20\\x09-\\x0D]')

@@ -69,15 +69,11 @@ def test_line_dedup(docs):
     assert out.columns == [*docs.columns, name]
 
     def chunks(text):
-        out, now, before = [], [], 0
-        for line in (text or "").split("\n"):
-            h = int(hashlib.md5(line.encode()).hexdigest()[:8], 16)
-            now.append(line)
-            if (h + lines.FACTOR * before) % lines.MODULUS % lines.EVERY == 0:
-                out.append(now)
-                now = []
-            before = h
-        return out + ([now] if now else [])
+        all_lines = (text or "").split("\n")
+        h = [0] + [int(hashlib.md5(line.encode()).hexdigest()[:8], 16) for line in all_lines]
+        r = [(b + lines.FACTOR * a) % lines.MODULUS for a, b in zip(h, h[1:])]
+        ends = [i + 1 for i in range(1, len(r) - 2) if r[i - 1] > r[i] <= r[i + 1]] + [len(r)]
+        return [all_lines[a:b] for a, b in zip([0] + ends, ends)]
 
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     first = {}
@@ -95,6 +91,31 @@ def test_line_dedup(docs):
     assert any(r[name]["n_removed"] for r in out.collect())
 
 
+def test_most_of_repeated_runs_goes_and_every_line_stays_once(spark):
+    """Runs of 4 to 12 lines that many texts share: of their lines in later texts 0.64 go; no line is lost, and a line added before moves little."""
+    import random
+
+    rng = random.Random(4)
+    runs = [[f"shared {k} {rng.random()}" for _ in range(rng.randint(4, 12))] for k in range(40)]
+    texts, shared = [], 0
+    for d in range(400):
+        run, own = rng.choice(runs), [f"own {rng.random()}" for _ in range(rng.randint(2, 9))]
+        at = rng.randint(0, len(own))
+        texts.append(own[:at] + run + own[at:])
+        shared += len(run)
+    first = sum(len(run) for run in runs if any(run[0] in t for t in texts))
+    table = spark.createDataFrame([(d, "\n".join(t)) for d, t in enumerate(texts)], "doc_id long, text string")
+    out, name = lines.dedup_lines(table)
+    rows = out.collect()
+    assert sum(r[name]["n_removed"] for r in rows) >= 0.6 * (shared - first)
+    assert {x for r in rows for x in r["text"].split("\n")} >= {x for t in texts for x in t}
+    assert all(sorted(x for x in r["text"].split("\n") if x[:3] == "own") == sorted(x for x in texts[r["doc_id"]] if x[:3] == "own") for r in rows)
+    many = table.withColumn("text", F.concat(F.lit("one more\n"), F.lit("and one\n"), "text"))
+    cut = [{r["doc_id"]: r["__chunks"] for r in lines.with_chunks(t).collect()} for t in (table, many)]
+    moved = [len(set(a) - set(cut[1][d])) for d, a in cut[0].items()]
+    assert max(moved) <= 2
+
+
 def test_pieces_round_trip(docs):
     out, name = pieces.encode_documents(docs, model_path())
     p = pieces.load(model_path())
