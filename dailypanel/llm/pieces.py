@@ -24,6 +24,8 @@ SPACE = "▁"
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 #: Parts are run side by side in columns of these lengths; longer ones are read by the streaming form one by one.
 WIDTHS = (4, 6, 8, 10, 12, 16, 24, 48)
+#: Parts that are read side by side.
+LANES = 32_768
 UNKNOWN_PENALTY = 10.0
 
 
@@ -161,6 +163,13 @@ def encode_stream(p: Pieces, text: str) -> list[int]:
     return reader.feed(SPACE + text.replace(" ", SPACE)) + reader.finish() if text else []
 
 
+def _lanes(lengths: np.ndarray):
+    """Parts of about one length that are read side by side, ``LANES`` at most, and the longest they can be."""
+    for low, n in zip((0, *WIDTHS), WIDTHS):
+        rows = np.flatnonzero((lengths > low) & (lengths <= n))
+        yield from ((rows[k:k + LANES], n) for k in range(0, len(rows), LANES))
+
+
 def encode_parts(p: Pieces, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of parts that begin and end at certain boundaries, one after another, and the offset of each part's."""
     lengths = np.fromiter(map(len, parts), np.int64, len(parts))
@@ -170,10 +179,7 @@ def encode_parts(p: Pieces, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = np.array(reader.feed(parts[r]) + reader.finish(), np.int32)
         counts[r] = len(ids)
         blocks.append((np.array([r]), ids))
-    for low, n in zip((0, *WIDTHS), WIDTHS):
-        rows = np.flatnonzero((lengths > low) & (lengths <= n))
-        if not len(rows):
-            continue
+    for rows, n in _lanes(lengths):
         # one column per part, filled up with a character that no piece has
         joined = "".join([parts[r].ljust(n, "\0") for r in rows]).encode("utf-32-le", "surrogatepass")
         chars = np.ascontiguousarray(np.frombuffer(joined, np.uint32).reshape(len(rows), n).T).astype(np.uint64)
@@ -278,7 +284,7 @@ def decode_batch(p: Pieces, ids: pa.Array) -> pa.Array:
     return pa.array(texts, pa.string())
 
 
-def in_pieces(texts: pa.Array, size: int = 5_000_000):
+def in_pieces(texts: pa.Array, size: int = 2_000_000):
     """Slices of about ``size`` bytes of text, so that a task's memory doesn't grow with its batch."""
     total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
     edges = [0, *(np.flatnonzero(total[1:] != total[:-1]) + 1).tolist(), len(texts)]
@@ -324,6 +330,7 @@ def encode_documents(docs: DataFrame, model_file: str) -> tuple[DataFrame, str]:
         for t in in_pieces(texts):
             parts.append(encode_batch(pieces.value, t))
             same.append(pc.equal(decode_batch(pieces.value, parts[-1]).cast(pa.large_string()), pc.fill_null(t.cast(pa.large_string()), "")))
+            pa.default_memory_pool().release_unused()  # what earlier slices, and earlier stages of this worker, have left
         ids, same = (pa.concat_arrays(x) if len(x) > 1 else x[0] for x in (parts, same))
         return pa.StructArray.from_arrays([ids, same], ["ids", "round_trip"])
 
