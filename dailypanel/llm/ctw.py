@@ -251,7 +251,10 @@ def grams_of(data: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
 
 
 def lower_words(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
-    return split_words(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    """``split_words`` with A-Z lowered. Lowered are the distinct words: Arrow's ascii_lower shifts the texts of a slice that was cast."""
+    words, starts = split_words(texts)
+    lowered = pc.ascii_lower(words.dictionary).dictionary_encode()
+    return pa.DictionaryArray.from_arrays(lowered.indices.take(words.indices), lowered.dictionary), starts
 
 
 def gather(depth: int):
