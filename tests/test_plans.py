@@ -55,3 +55,19 @@ def test_correlations_of_80_columns_scan_once(spark, small):
     columns = lines.columns
     text = plan(correlations(lines, columns, columns))
     assert text.count("FileScan") == 1 and text.count("MapInArrow") == 1
+
+
+def test_tasks_of_a_panel_follow_its_days(spark, monkeypatch):
+    from dailypanel.operators import panel as P
+
+    monkeypatch.setattr(P, "TASK_DAYS", 10)
+    raw = spark.range(40).selectExpr("concat('user.', id) AS id", "timestamp_ntz '2024-01-01 12:00:00' + make_dt_interval(CAST(3 * (id % 2) AS INT)) AS time", "id AS seq", "'mood' AS variable", "1D AS value")
+    from dailypanel.sources.readings import readings_from_text_id
+
+    raw = raw.union(raw.selectExpr("id", "time + INTERVAL '4' DAY", "seq + 100", "variable", "value"))
+    readings = readings_from_text_id(raw)
+    for build in (P.daily_panel, P.tod_panel, P.both_pivot):
+        panel = build(readings, B.CATALOG)
+        assert panel.rdd.getNumPartitions() == 2 + 40 * 5 // 10
+        assert panel.count() == 40 * 5 * (1 if build is P.daily_panel else 3)
+    assert P.panel_tasks(readings.limit(0)) == 2
