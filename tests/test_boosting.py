@@ -75,3 +75,19 @@ def test_one_class_a_missing_class_and_no_rows(spark, data):
     assert gap.transform(table(spark, x, np.where(x[:, 0] > 5, 2, 0))).filter("prediction = label").count() == 240
     with pytest.raises(ValueError):
         B.SoftmaxBoosting().fit(table(spark, x, np.zeros(240, int)).limit(0))
+
+
+def test_tasks_of_a_pass_follow_the_cores(spark, monkeypatch):
+    """The sums of a pass are handed on once by every task, so their number must not grow with the rows."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.sql import functions as F
+
+    from dailypanel.plans import boosting as G
+
+    seen, settle = [], G.settle
+    monkeypatch.setattr(G, "TASK_ROWS", 1)
+    monkeypatch.setattr(G, "settle", lambda df: (seen.append(df.rdd.getNumPartitions()), settle(df))[1])
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(0, 400, 1, 2 * cores + 9).select(array_to_vector(F.array(F.col("id").cast("double"))).alias("features"), (F.col("id") % 2).alias("label"))
+    G.SoftmaxBoosting(rounds=1, depth=1).fit(rows)
+    assert seen == [2 * cores]
