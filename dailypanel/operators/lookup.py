@@ -16,6 +16,18 @@ def settle(table: DataFrame) -> DataFrame:
     return table.checkpoint()
 
 
+#: A settled table that many passes read keeps its tasks up to this number; beyond it, so many partitions are read by one task.
+PASS_TASKS, PASS_PARTS = 64, 4
+
+
+def for_passes(table: DataFrame) -> DataFrame:
+    """A settled table in fewer tasks, for fits that pass over it dozens of times: with small partitions a pass costs what its tasks cost to start.
+
+    Partitions are read one after the other, nothing is shuffled; up to PASS_TASKS partitions stay as they are."""
+    parts = table.rdd.getNumPartitions()
+    return table.coalesce(max(PASS_TASKS, parts // PASS_PARTS)) if parts > PASS_TASKS else table
+
+
 def attach(data: DataFrame, table: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join ``table`` (one row per key) to ``data``; a missing key is a key like any other.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from dailypanel.fixed import REGRESSION_GRIDS
 from dailypanel.operators import evaluate as V
 from dailypanel.operators.correlate import target_correlation
-from dailypanel.operators.lookup import settle
+from dailypanel.operators.lookup import for_passes, settle
 from dailypanel.operators.scale import scale_by_entity
 from dailypanel.operators.split import chrono_split, group_hash_split
 from dailypanel.plans import models as M
@@ -39,7 +39,7 @@ def scaled_rows(spark, sf, target: str = "target", kind: str = "standard"):
     """Ready panel, split by entity-day, scaled by entity; written once because every fit reads it often."""
     columns = ["entity", "date", "target", "categorical_target", *FEATURES]
     parts = group_hash_split(ready(spark, sf).select(*columns), test=0.1, val=0.1)
-    return settle(scale_by_entity(parts, FEATURES, kind).filter(F.col(target).isNotNull()))
+    return for_passes(settle(scale_by_entity(parts, FEATURES, kind).filter(F.col(target).isNotNull())))
 
 
 def _regression(name: str, build):

@@ -71,3 +71,28 @@ def test_tasks_of_a_panel_follow_its_days(spark, monkeypatch):
         assert panel.rdd.getNumPartitions() == 2 + 40 * 5 // 10
         assert panel.count() == 40 * 5 * (1 if build is P.daily_panel else 3)
     assert P.panel_tasks(readings.limit(0)) == 2
+
+
+def test_large_daily_panels_have_fewer_tasks_of_more_days(spark, monkeypatch):
+    from dailypanel.operators import panel as P
+    from dailypanel.sources.readings import readings_from_text_id
+
+    for name, value in (("TASK_DAYS", 10), ("MANY_TASKS", 4), ("DAILY_TASK_DAYS", 25)):
+        monkeypatch.setattr(P, name, value)
+    raw = spark.range(40).selectExpr("concat('user.', id % 20) AS id", "timestamp_ntz '2024-01-01 12:00:00' + make_dt_interval(CAST(9 * (id DIV 20) AS INT)) AS time", "id AS seq", "'mood' AS variable", "1D AS value")
+    readings = readings_from_text_id(raw)
+    assert P.daily_panel(readings, B.CATALOG).rdd.getNumPartitions() == 2 + 200 // 25
+    assert P.tod_panel(readings, B.CATALOG).rdd.getNumPartitions() == 2 + 200 // 10
+    assert P.daily_panel(readings, B.CATALOG).count() == 200
+    monkeypatch.setattr(P, "DAILY_TASK_DAYS", 1000)
+    assert P.daily_panel(readings, B.CATALOG).rdd.getNumPartitions() == 2 + 4
+
+
+def test_rows_of_fits_are_read_in_few_tasks(spark):
+    from dailypanel.operators.lookup import for_passes, settle
+
+    many = settle(spark.range(3000, numPartitions=300))
+    few = for_passes(many)
+    assert few.rdd.getNumPartitions() == 75 and few.agg({"id": "sum"}).first()[0] == 3000 * 2999 // 2
+    assert for_passes(settle(spark.range(100, numPartitions=70))).rdd.getNumPartitions() == 64
+    assert for_passes(settle(spark.range(100, numPartitions=9))).rdd.getNumPartitions() == 9
