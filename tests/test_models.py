@@ -93,6 +93,29 @@ def test_folds_and_search(spark, data):
     assert found[0]["score"] > found[1]["score"]
 
 
+@pytest.mark.parametrize("metric", ["r2", "rmse", "mae"])
+def test_tree_grids_share_fits_over_depths(spark, data, metric, monkeypatch):
+    from pyspark.ml import regression as R
+
+    x, y = data
+    folded = M.with_folds(rows(spark, x, y)).cache()
+    tree, grid, fits = R.DecisionTreeRegressor(seed=M.SEED), {"maxDepth": [1, 2, 3, 5], "minInstancesPerNode": [1, 30]}, []
+    want = M._search(folded, tree, M.combined(tree, grid), metric, 3, 4).avgMetrics
+    fit = R.DecisionTreeRegressor._fit
+    monkeypatch.setattr(R.DecisionTreeRegressor, "_fit", lambda self, df: fits.append(self.getMaxDepth()) or fit(self, df))
+    found = [r["score"] for r in M.grid_search(folded, tree, grid, metric).orderBy("trial").collect()]
+    assert found == pytest.approx(want, rel=1e-9) and len(set(np.round(found, 6))) > 5
+    assert fits == [5] * 6
+
+
+def test_tree_grid_with_an_empty_fold(spark, data):
+    from pyspark.ml import regression as R
+
+    folded = M.with_folds(rows(spark, *data)).filter("fold <> 1")
+    with pytest.raises(ValueError, match="fold 1 is empty"):
+        M.grid_search(folded, R.DecisionTreeRegressor(), {"maxDepth": [1, 2]}, "r2")
+
+
 def test_queries_pass_the_full_sets(spark, monkeypatch):
     import numpy as np
 
