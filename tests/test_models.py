@@ -116,6 +116,27 @@ def test_tree_grid_with_an_empty_fold(spark, data):
         M.grid_search(folded, R.DecisionTreeRegressor(), {"maxDepth": [1, 2]}, "r2")
 
 
+def test_experiment_scores_a_feature_set_in_one_pass(spark, data):
+    x, y = data
+    listed = [(i, "train" if i % 4 else "test", float(a), float(b), float(t)) for i, ((a, b), t) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(listed, "entity bigint, split string, a double, b double, y double").coalesce(2).cache()
+    df = df.withColumn("date", M.F.lit("2024-01-01").cast("date"))
+    names = ["linear", "ridge", "tree"]
+    found = M.experiment_grid(df, FEATURES, "y", "a", 1, names)
+    assert found.columns[:2] == ["split", "n"] and found.columns[-2:] == ["approach", "model"]
+    got = {(r["approach"], r["model"], r["split"]): r for r in found.collect()}
+    assert len(got) == 3 * len(names) * 2
+    for approach, chosen in (("baseline", ["a"]), ("all_features", FEATURES)):
+        some = M.assembled(df, chosen, "y")
+        for name in names:
+            model = M.regressor(name, some.filter("split = 'train'"))
+            for row in regression_metrics(M.fit_predict(model, some), ["split"]).collect():
+                one = got[approach, name, row["split"]]
+                assert one["n"] == row["n"] and one["r2"] == pytest.approx(row["r2"], rel=1e-9)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [split") == 3
+
+
 def test_queries_pass_the_full_sets(spark, monkeypatch):
     import numpy as np
 
