@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dailypanel.llm.common import settle
+from dailypanel.llm.common import scratch_table
+
+
+def settle(table: DataFrame) -> DataFrame:
+    """Write ``table`` as files, whose size the planner knows. A checkpoint keeps the planner's estimate instead, for a join the product of its sides: a
+    number that has twice as many digits after every step, until the driver is full. Not packed, or more rows than meant would be broadcast."""
+    return scratch_table(table, "none")
 
 
 def components(edges: DataFrame) -> DataFrame:

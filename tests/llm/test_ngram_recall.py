@@ -42,6 +42,13 @@ def test_a_chain_of_rising_ids(spark):
     assert {(r["node"], r["label"]) for r in C.components(edges).collect()} == {(k, 0) for k in range(101)} | {(k, 200) for k in (200, 250, 300)}
 
 
+def test_planned_size_of_components_does_not_grow_with_the_steps(spark):
+    order = random.Random(3).sample(range(200), 200)
+    found = C.components(spark.createDataFrame(list(zip(order, order[1:])), "a long, b long"))
+    assert {(r["node"], r["label"]) for r in found.collect()} == {(k, 0) for k in range(200)}
+    assert found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() < 2 ** 40
+
+
 @pytest.mark.parametrize("block", [J.BLOCK, 7])
 def test_recall_against_all_pairs(spark, small, block):
     docs = read(spark, small, "documents")
