@@ -91,3 +91,23 @@ def test_tasks_of_a_pass_follow_the_cores(spark, monkeypatch):
     rows = spark.range(0, 400, 1, 2 * cores + 9).select(array_to_vector(F.array(F.col("id").cast("double"))).alias("features"), (F.col("id") % 2).alias("label"))
     G.SoftmaxBoosting(rounds=1, depth=1).fit(rows)
     assert seen == [2 * cores]
+
+
+def test_one_task_grows_the_same_trees_as_passes_in_one_job(spark, data, monkeypatch):
+    x, y = data
+    rows, context = table(spark, x, y), spark.sparkContext
+
+    def fit(group):
+        context.setJobGroup(group, group)
+        model = B.SoftmaxBoosting(6, 2, 0.3).fit(rows)
+        context.setLocalProperty("spark.jobGroup.id", None)
+        return model, len(context.statusTracker().getJobIdsForGroup(group))
+
+    one, few = fit("one task")
+    monkeypatch.setattr(B, "ONE_TASK", 0, raising=False)
+    monkeypatch.setattr(B, "KEEP", 4)
+    passes, many = fit("passes")
+    for a, b in zip(one.rounds, passes.rounds, strict=True):
+        assert (a.feature == b.feature).all() and (a.cut == b.cut).all()
+        np.testing.assert_allclose(a.value, b.value, atol=1e-12)
+    assert few < 12 < many

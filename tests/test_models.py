@@ -161,3 +161,23 @@ def test_learning_curve_with_a_share_without_rows(spark, data):
     found = {(r["share"], r["side"]): r for r in M.learning_curve(folded, M.linear_regression(), [0.0, 1.0]).collect()}
     assert found[0.0, "train"]["mean_rows"] == 0 and found[0.0, "train"]["rmse_mean"] is None
     assert len(found) == 4 and found[1.0, "test"]["rmse_mean"] > 0
+
+
+def test_classifiers_are_fitted_in_few_tasks_and_score_as_alone(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    r = np.random.default_rng(9)
+    x = r.normal(size=(300, 2))
+    made = [(i, "train" if i % 4 else "test", *map(float, v), float(v[0] > 0) + float(v[1] > 0.5)) for i, v in enumerate(x)]
+    df = spark.createDataFrame(made, "entity long, split string, a double, b double, class_label double").repartition(40)
+    tasks, fitted = [], M._fitted
+    monkeypatch.setattr(M, "_fitted", lambda train, *a: (tasks.append(train.rdd.getNumPartitions()), fitted(train, *a))[1])
+    found = M.class_experiment_grid(df, ["a", "b"], "class_label", [0.0, 1.0, 2.0], "a", 1, ["tree", "boosted"]).collect()
+    assert tasks == [1, 1, 1] and len(found) == 3 * 2 * 2
+    assembled = M.assembled(df, ["a", "b"], "class_label")
+    for name in ("tree", "boosted"):
+        predictions = M.fit_predict(M.classifiers()[name], assembled)
+        right = {k["split"]: k["share"] for k in predictions.groupBy("split").agg(F.avg((F.col("actual") == F.col("predicted")).cast("int")).alias("share")).collect()}
+        for one in found:
+            if one["approach"] == "all_features" and one["model"] == name:
+                assert abs(one["accuracy"] - right[one["split"]]) < 1e-6
